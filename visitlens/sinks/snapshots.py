@@ -1,0 +1,91 @@
+"""Day-partitioned tables that a repeated micro-batch cannot corrupt.
+
+Batch ``n`` writes the days it touches to ``<root>/v=<n>/date=<day>/``. The
+content of a day is what the newest finished version holds for it. A version
+is finished when Spark's writer has left its ``_SUCCESS`` file, so a write cut
+short is never seen and the retry simply overwrites its own folder. Merging
+always starts from versions before ``n``, hence running a batch twice gives
+the same table. Batch numbers must come from one and the same stream.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keep: int = 10):
+        """``keep``: how many of the newest versions always stay."""
+        self.spark, self.root, self.schema, self.keep = spark, root.rstrip("/"), schema, keep
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        self._path = lambda *parts: path("/".join([self.root, *parts]))
+        self._files = self._path().getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _children(self, prefix: str, *parts: str) -> list[str]:
+        where = self._path(*parts)
+        if not self._files.exists(where):
+            return []
+        names = (status.getPath().getName() for status in self._files.listStatus(where))
+        return [name for name in names if name.startswith(prefix)]
+
+    def versions(self) -> list[int]:
+        """Finished versions, newest first."""
+        found = [
+            int(name[2:])
+            for name in self._children("v=")
+            if self._files.exists(self._path(name, "_SUCCESS"))
+        ]
+        return sorted(found, reverse=True)
+
+    def _days(self, before: int | None = None) -> dict[str, int]:
+        """The version that holds the current content of each day."""
+        newest: dict[str, int] = {}
+        for version in self.versions():
+            if before is None or version < before:
+                for name in self._children("date=", f"v={version}"):
+                    newest.setdefault(name[len("date="):], version)
+        return newest
+
+    def read(self, before: int | None = None, dates: Iterable[str] | None = None) -> DataFrame:
+        """The table, optionally as it was before a batch or for some days only.
+
+        Only folder names are listed here; the rows stay with the executors.
+        """
+        wanted = None if dates is None else set(dates)
+        folders = [
+            f"{self.root}/v={version}/date={day}"
+            for day, version in self._days(before).items()
+            if wanted is None or day in wanted
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return (
+            self.spark.read.schema(self.schema)
+            .option("basePath", self.root)
+            .parquet(*folders)
+            .select(*self.schema.names)
+        )
+
+    def write(self, batch: int, rows: DataFrame) -> None:
+        """Store the full new content of every day that occurs in ``rows``.
+
+        A batch that is already stored is left as it is.
+        """
+        if batch in self.versions():
+            return
+        balanced = rows.select(*self.schema.names).hint("rebalance", "date")
+        balanced.write.mode("overwrite").partitionBy("date").parquet(f"{self.root}/v={batch}")
+        self._clean(batch)
+
+    def _clean(self, batch: int) -> None:
+        """Remove old versions that hold no day's current content.
+
+        What was current before ``batch`` stays too: a repeat reads it.
+        """
+        needed = {*self._days().values(), *self._days(before=batch).values()}
+        for version in self.versions()[self.keep:]:
+            if version not in needed:
+                self._files.delete(self._path(f"v={version}"), True)
