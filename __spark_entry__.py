@@ -106,8 +106,10 @@ def area_product_click_count(spark, d):
 
 
 def area_product_info(spark, d):
+    counted = areas.city_product_clicks(area_click_actions(spark, d))
+    basic = areas.area_product_basic(counted, F.broadcast(city_dimension(spark)))
     return areas.area_product_info(
-        area_product_click_count(spark, d), derived.product_info(spark, d)
+        areas.area_product_click_count(basic), derived.product_info(spark, d)
     )
 
 
@@ -280,12 +282,6 @@ def upsert_add(spark, d):
     return merge.upsert_add(per_user(early), per_user(late), ["userid", "adid"], "clickCount")
 
 
-def _per_place(clicks):
-    return clicks.groupBy("province", F.col("ad_id").alias("adid")).agg(
-        F.count(F.lit(1)).alias("clickCount")
-    )
-
-
 def upsert_replace(spark, d):
     """Clicks of (hour of day, ad): keys of the late half replace early ones."""
 
@@ -299,10 +295,17 @@ def upsert_replace(spark, d):
 
 
 def replace_group(spark, d):
-    """Leading ads of provinces: those of the late half replace whole provinces."""
+    """Ads of (hour of day, user): the late half replaces whole groups."""
+
+    def per_user_hour(clicks):
+        return clicks.groupBy(
+            F.date_format("ts", "HH").alias("hour"),
+            F.col("user_id").alias("userid"),
+            F.col("ad_id").alias("adid"),
+        ).agg(F.count(F.lit(1)).alias("clickCount"))
+
     early, late = _halves(_clicks(spark, d))
-    few = _per_place(late).where(F.col("province").isin("1", "3", "5"))
-    return merge.replace_group(_per_place(early), few, ["province"])
+    return merge.replace_group(per_user_hour(early), per_user_hour(late), ["hour", "userid"])
 
 
 def insert_new(spark, d):

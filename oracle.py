@@ -48,7 +48,7 @@ cities(city_id, city_name, area) AS (
 """
 _CLICKS = """
 clicks AS (
-  SELECT make_timestamp(epoch_ms(ts) * 1000) AS ts, epoch_ms(ts) AS ts_millis,
+  SELECT make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts, epoch_us(ts) // 1000 AS ts_millis,
          CAST(user_id % 10 AS VARCHAR) AS province, CAST(user_id % 10 AS VARCHAR) AS city,
          user_id, k % 20 AS ad_id
   FROM (SELECT ts, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
@@ -388,12 +388,14 @@ ORACLES = {
     ),
     "replace_group": _with(
         [_CLICKS, _HALVES],
-        """SELECT province, ad_id AS adid, count(*) AS "clickCount" FROM late
-           WHERE province IN ('1', '3', '5') GROUP BY ALL
+        """, e AS (SELECT strftime(ts, '%H') AS hour, user_id AS userid, ad_id AS adid,
+                          count(*) AS "clickCount" FROM early GROUP BY ALL),
+             l AS (SELECT strftime(ts, '%H') AS hour, user_id AS userid, ad_id AS adid,
+                          count(*) AS "clickCount" FROM late GROUP BY ALL)
+           SELECT * FROM l
            UNION ALL
-           SELECT province, ad_id, count(*) FROM early
-           WHERE province NOT IN
-             (SELECT province FROM late WHERE province IN ('1', '3', '5')) GROUP BY ALL""",
+           SELECT * FROM e
+           WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.hour = e.hour AND l.userid = e.userid)""",
     ),
     "insert_new": _with(
         [_CLICKS, _HALVES],

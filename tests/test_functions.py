@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from visitlens.functions import predicates, text, times
+from visitlens.params import TaskParams
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("v")).first().v
+
+
+@pytest.mark.parametrize("given", ["2018-06-25 5:03:04", "2018-06-25 05:03:04"])
+def test_hour_may_be_unpadded(spark, given):
+    ts = times.parse_time(F.lit(given))
+    assert one(spark, times.time_text(ts)) == "2018-06-25 05:03:04"
+    assert one(spark, times.date_text(ts)) == "2018-06-25"
+    assert one(spark, times.date_key(ts)) == "20180625"
+    assert one(spark, times.minute_key(ts)) == "201806250503"
+    assert one(spark, times.date_hour(ts)) == "2018-06-25_05"
+    assert one(spark, times.hour_text(ts)) == "05"
+    assert one(spark, times.minute_text(ts)) == "03"
+
+
+def test_seconds_between_cuts_fractions(spark):
+    a, b = (F.lit(t).cast("timestamp") for t in ("2018-06-25 10:00:00.9", "2018-06-25 10:00:03.1"))
+    assert one(spark, times.seconds_between(a, b)) == 2
+
+
+def test_millis_outside_the_calendar_are_no_time(spark):
+    assert one(spark, times.time_text(times.from_millis(F.lit(1530262617000)))) == (
+        "2018-06-29 08:56:57"
+    )
+    assert one(spark, times.from_millis(F.lit(2**62))) is None
+    assert one(spark, times.from_millis(F.lit(-(2**62)))) is None
+
+
+@pytest.mark.parametrize(
+    ("n", "total", "rounded"), [(1, 8, 0.13), (29, 200, 0.15), (201, 200, 1.01), (1, 3, 0.33)]
+)
+def test_rounding_is_half_up(spark, n, total, rounded):
+    assert one(spark, text.half_up(F.lit(float(n)) / total, 2)) == rounded
+
+
+def test_text_helpers(spark):
+    assert one(spark, text.labelled(F.lit(7), F.lit("西安"))) == "7:西安"
+    assert one(spark, text.json_field(F.lit('{"product_status": 0}'), "product_status")) == "0"
+    assert one(spark, text.non_empty(F.lit(""))) is False
+    values = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "v string")
+    assert values.agg(text.concat_distinct(F.col("v"))).first()[0] == "a,b"
+
+
+def test_sql_functions(spark):
+    text.register_sql_functions(spark)
+    row = spark.sql(
+        "SELECT concat_long_string(3, '广州', ':') AS a,"
+        " get_json_value('{\"product_status\": 1}', 'product_status') AS b"
+    ).first()
+    assert (row.a, row.b) == ("3:广州", "1")
+
+
+def test_no_parameter_is_no_predicate():
+    column = F.lit(1)
+    assert predicates.between(column, 1, None) is None
+    assert predicates.between(column, None, 1) is None
+    assert predicates.one_of(column, ()) is None
+    assert predicates.any_of(column, ()) is None
+    assert predicates.equal_to(column, None) is None
+
+
+def test_params_from_json():
+    params = TaskParams.from_json(
+        '{"startDate": "2018-06-01", "endDate": "2018-06-30", "startAge": 20, "endAge": 50,'
+        ' "professionals": "", "cities": "a,b", "sex": "", "keywords": "",'
+        ' "categoryIds": "5,6", "targetPageFlow": "1,2,3"}'
+    )
+    assert (params.start_age, params.end_age) == (20, 50)
+    assert (params.professionals, params.cities, params.sex) == ((), ("a", "b"), None)
+    assert (params.category_ids, params.page_flow) == ((5, 6), (1, 2, 3))

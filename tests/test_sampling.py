@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+from datetime import datetime, timedelta
+from math import floor
+
+import pytest
+from conftest import tuples
+
+from visitlens.operators import sampling
+
+
+def frame(spark, starts):
+    return spark.createDataFrame(
+        [(f"s{i}", start) for i, start in enumerate(starts)],
+        "session_id string, start_time timestamp",
+    )
+
+
+def hours(**counts):
+    """hours(d1h10=3): three sessions on day 1 in hour 10."""
+    for name, count in counts.items():
+        day, hour = name[1:].split("h")
+        for i in range(count):
+            yield datetime(2018, 6, int(day), int(hour), i % 60)
+
+
+def test_quota(spark):
+    starts = list(hours(d1h10=10, d1h11=30, d2h1=1, d3h1=1, d4h1=1, d5h1=1))
+    got = sampling.session_sample_quota(frame(spark, starts), 100)
+    assert tuples(got.where("date = '2018-06-01'"), "hour", "quota") == [("10", 5), ("11", 15)]
+    assert tuples(got.where("date = '2018-06-02'"), "session_count", "quota") == [(1, 1)]
+
+
+def test_quota_is_capped_by_the_hour(spark):
+    starts = list(hours(d1h10=3, d1h11=1))
+    got = sampling.session_sample_quota(frame(spark, starts), 100)
+    assert tuples(got, "hour", "quota") == [("10", 3), ("11", 1)]
+
+
+def test_more_days_than_sessions_to_draw(spark):
+    starts = list(hours(d1h10=3, d2h10=3, d3h10=3))
+    assert sampling.session_stratified_sample(frame(spark, starts), 2).count() == 0
+
+
+def test_no_session(spark):
+    assert sampling.session_stratified_sample(frame(spark, []).limit(0), 5).count() == 0
+
+
+@pytest.mark.parametrize("size", [10, 100, 1000, 100_000])
+def test_against_brute_force(spark, size):
+    """One hour has a third of all sessions; slices must not change the draw."""
+    chance = random.Random(5)
+    base = datetime(2018, 6, 25)
+    starts = [
+        base + timedelta(hours=3, seconds=1)
+        if chance.random() < 0.34
+        else base + timedelta(minutes=chance.randrange(3 * 1440))
+        for _ in range(4000)
+    ]
+    groups = defaultdict(list)
+    for i, start in enumerate(starts):
+        session = f"s{i}"
+        digest = hashlib.md5(f"9:{session}".encode()).hexdigest()
+        groups[start.date(), start.hour].append((digest, session))
+    per_day = Counter()
+    for (day, _), members in groups.items():
+        per_day[day] += len(members)
+    expected = []
+    for (day, _), members in groups.items():
+        quota = min(floor(len(members) / per_day[day] * (size // len(per_day))), len(members))
+        expected += [session for _, session in sorted(members)[:quota]]
+    got = sampling.session_stratified_sample(frame(spark, starts), size, seed=9)
+    assert sorted(r.session_id for r in got.collect()) == sorted(expected)
+
+
+def test_words_of_the_sample(spark, actions):
+    rows = actions(
+        [
+            {"session_id": "s0", "search_keyword": "b"},
+            {"session_id": "s0", "search_keyword": "a"},
+            {"session_id": "s0", "click_category_id": 4},
+            {"session_id": "s1", "search_keyword": "z"},
+        ]
+    )
+    sample = frame(spark, [datetime(2018, 6, 25)])
+    got = sampling.sample_with_terms(sample, rows)
+    assert tuples(got, "session_id", "search_keywords", "click_category_ids") == [
+        ("s0", ["a", "b"], [4])
+    ]

@@ -10,11 +10,6 @@ def non_empty(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
-def field(line: Column, index: int, sep: str = " ") -> Column:
-    """The ``index``-th piece of a delimited line, NULL if there is none."""
-    return F.get(F.split(line, sep), F.lit(index))
-
-
 def labelled(ident: Column, name: Column, sep: str = ":") -> Column:
     return F.concat(ident.cast("string"), F.lit(sep), name)
 

@@ -1,8 +1,8 @@
 """Top products of each area.
 
-The click count is aggregated per (city, product) before the product join and
-the ranking, so only one row per pair ever meets them, and no task sees more
-than its share of a product that draws a large part of all clicks.
+Clicks are counted per (city, product) before the joins and the ranking, so
+only one row per pair ever meets them, and no task sees more than its share of
+a product that draws a large part of all clicks.
 """
 
 from __future__ import annotations
@@ -25,20 +25,29 @@ def area_click_actions(actions: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+def city_product_clicks(clicks: DataFrame) -> DataFrame:
+    """Clicks counted per (city, product), for use in place of the clicks."""
+    return clicks.groupBy("city_id", "click_product_id").agg(
+        F.count(F.lit(1)).alias("clicks")
+    )
+
+
 def area_product_basic(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     """Attach city name and area. ``cities`` is the fixed small dimension; a
     larger one is better passed through Spark's own size check (no hint)."""
+    counted = ["clicks"] if "clicks" in clicks.columns else []
     return clicks.join(cities, "city_id").select(
-        "city_id", "city_name", "area", F.col("click_product_id").alias("product_id")
+        "city_id", "city_name", "area", F.col("click_product_id").alias("product_id"), *counted
     )
 
 
 def area_product_click_count(basic: DataFrame) -> DataFrame:
     """Clicks and the distinct cities of each (area, product)."""
-    per_city = basic.groupBy("area", "product_id", "city_id", "city_name").agg(
-        F.count(F.lit(1)).alias("clicks")
-    )
-    return per_city.groupBy("area", "product_id").agg(
+    if "clicks" not in basic.columns:
+        basic = basic.groupBy("area", "product_id", "city_id", "city_name").agg(
+            F.count(F.lit(1)).alias("clicks")
+        )
+    return basic.groupBy("area", "product_id").agg(
         F.sum("clicks").alias("click_count"),
         concat_distinct(labelled(F.col("city_id"), F.col("city_name"))).alias("city_infos"),
     )

@@ -59,23 +59,20 @@ def category_pay_count(actions: DataFrame) -> DataFrame:
 
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (action, kind, category), from a single scan."""
-    nothing = F.lit(None)
-    stacked = (
-        actions.select("session_id", _clicked().alias("clicked"), "order_category_ids", "pay_category_ids")
-        .where(F.coalesce("clicked", "order_category_ids", "pay_category_ids").isNotNull())
-        .select(
-            "session_id",
-            F.stack(
-                F.lit(3),
-                F.lit("click"), F.col("clicked"), nothing.cast("string"),
-                F.lit("order"), nothing.cast("bigint"), F.col("order_category_ids"),
-                F.lit("pay"), nothing.cast("bigint"), F.col("pay_category_ids"),
-            ).alias("kind", "clicked", "ids"),
-        )
-        .where(F.col("clicked").isNotNull() | F.col("ids").isNotNull())
-    )
+    no_id, no_list = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    stacked = actions.select(
+        "session_id",
+        F.stack(
+            F.lit(3),
+            F.lit("click"), _clicked(), no_list,
+            F.lit("order"), no_id, F.col("order_category_ids"),
+            F.lit("pay"), no_id, F.col("pay_category_ids"),
+        ).alias("kind", "clicked", "ids"),
+    ).where(F.col("clicked").isNotNull() | F.col("ids").isNotNull())
     return (
-        stacked.select("session_id", "kind", "clicked", F.explode_outer(F.split("ids", ",")).alias("id"))
+        stacked.select(
+            "session_id", "kind", "clicked", F.explode_outer(F.split("ids", ",")).alias("id")
+        )
         .where(F.col("clicked").isNotNull() | (F.col("id") != ""))
         .select(
             "session_id",

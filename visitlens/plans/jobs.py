@@ -144,6 +144,7 @@ def run_area_job(
     task_id: str,
 ) -> dict[str, DataFrame]:
     clicks = areas.area_click_actions(actions, params.start_date, params.end_date)
-    basic = areas.area_product_basic(clicks, F.broadcast(city_dimension(spark)))
+    counted = areas.city_product_clicks(clicks)
+    basic = areas.area_product_basic(counted, F.broadcast(city_dimension(spark)))
     info = areas.area_product_info(areas.area_product_click_count(basic), products)
     return {"area_top3_product": area_top3_product(areas.area_top3_products(info), task_id)}

@@ -23,30 +23,40 @@ class SnapshotTable:
         path = spark._jvm.org.apache.hadoop.fs.Path
         self._path = lambda *parts: path("/".join([self.root, *parts]))
         self._files = self._path().getFileSystem(spark._jsc.hadoopConfiguration())
+        self._finished: dict[int, list[str]] = {}
 
     def _children(self, prefix: str, *parts: str) -> list[str]:
         where = self._path(*parts)
         if not self._files.exists(where):
             return []
         names = (status.getPath().getName() for status in self._files.listStatus(where))
-        return [name for name in names if name.startswith(prefix)]
+        return [name[len(prefix):] for name in names if name.startswith(prefix)]
+
+    def _days_of_versions(self) -> dict[int, list[str]]:
+        """The days each finished version holds, newest version first.
+
+        A finished version never changes, so each is looked into once.
+        """
+        found = {}
+        for version in sorted(map(int, self._children("v=")), reverse=True):
+            if version in self._finished:
+                found[version] = self._finished[version]
+            elif self._files.exists(self._path(f"v={version}", "_SUCCESS")):
+                found[version] = self._children("date=", f"v={version}")
+        self._finished = found
+        return found
 
     def versions(self) -> list[int]:
         """Finished versions, newest first."""
-        found = [
-            int(name[2:])
-            for name in self._children("v=")
-            if self._files.exists(self._path(name, "_SUCCESS"))
-        ]
-        return sorted(found, reverse=True)
+        return list(self._days_of_versions())
 
     def _days(self, before: int | None = None) -> dict[str, int]:
         """The version that holds the current content of each day."""
         newest: dict[str, int] = {}
-        for version in self.versions():
+        for version, days in self._days_of_versions().items():
             if before is None or version < before:
-                for name in self._children("date=", f"v={version}"):
-                    newest.setdefault(name[len("date="):], version)
+                for day in days:
+                    newest.setdefault(day, version)
         return newest
 
     def read(self, before: int | None = None, dates: Iterable[str] | None = None) -> DataFrame:

@@ -66,7 +66,9 @@ def process_batch(
 ) -> None:
     """Apply one micro-batch of ad lines to all tables."""
     lines = lines.persist()
-    rejected_ad_lines(lines).write.mode("overwrite").text(f"{tables.rejected}/v={batch_id}")
+    rejected = rejected_ad_lines(lines)
+    if not rejected.isEmpty():
+        rejected.write.mode("overwrite").text(f"{tables.rejected}/v={batch_id}")
 
     listed = tables.blacklist.read(before=batch_id)
     clean = ads.ad_blacklist_filter(parse_ad_log(lines), listed).persist()
