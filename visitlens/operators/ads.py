@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import date_key, date_text, hour_text, minute_text
+from visitlens.operators.joins import rows_without_key
 
 # Clicks on one ad in one day that list a user, ads per
 # province, minutes of the trend.
@@ -27,11 +28,11 @@ def _clicks() -> Column:
 def ad_blacklist_filter(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Clicks of users who are not listed.
 
-    No hint: the list grows with the users, so the join is left to Spark's
-    size check, and a skewed user to its skew handling.
+    No broadcast hint: the list grows with the users, so that choice is left
+    to Spark's size check.
     """
     listed = blacklist.select(F.col("userid").alias("user_id"))
-    return clicks.join(listed, "user_id", "left_anti").select(*clicks.columns)
+    return rows_without_key(clicks, listed, "user_id")
 
 
 def ad_user_daily_clicks(clicks: DataFrame) -> DataFrame:

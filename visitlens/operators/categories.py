@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitlens.operators.joins import rows_with_key
+
 # A broadcast list of category ids of at most this many rows is tiny.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -93,7 +95,7 @@ def session_category_counts(actions: DataFrame) -> DataFrame:
 
 def counts_of_sessions(counts: DataFrame, sessions: DataFrame) -> DataFrame:
     """The counts that belong to the given sessions."""
-    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+    return rows_with_key(counts, sessions, "session_id")
 
 
 def category_full_counts(counts: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from visitlens.functions.predicates import all_of, any_of, between, equal_to, one_of
 from visitlens.functions.text import half_up, non_empty
 from visitlens.functions.times import parse_time, seconds_between
+from visitlens.operators.joins import rows_with_key
 from visitlens.params import TaskParams
 
 # Name, lowest and highest visit length in whole seconds.
@@ -184,7 +185,7 @@ def flagged_sessions(sessions: DataFrame, params: TaskParams) -> DataFrame:
 
 def filtered_session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Raw actions of the given sessions."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    return rows_with_key(actions, sessions, "session_id")
 
 
 def _share(length: str, low: int, high: int | None, total: Column) -> Column:
