@@ -61,25 +61,18 @@ def category_pay_count(actions: DataFrame) -> DataFrame:
 
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (action, kind, category), from a single scan."""
-    no_id, no_list = F.lit(None).cast("bigint"), F.lit(None).cast("string")
-    stacked = actions.select(
+    stacked = actions.selectExpr(
         "session_id",
-        F.stack(
-            F.lit(3),
-            F.lit("click"), _clicked(), no_list,
-            F.lit("order"), no_id, F.col("order_category_ids"),
-            F.lit("pay"), no_id, F.col("pay_category_ids"),
-        ).alias("kind", "clicked", "ids"),
-    ).where(F.col("clicked").isNotNull() | F.col("ids").isNotNull())
+        """stack(3,
+             'click', nullif(click_category_id, -1), NULL,
+             'order', NULL, order_category_ids,
+             'pay', NULL, pay_category_ids) AS (kind, clicked, ids)""",
+    ).where("clicked IS NOT NULL OR ids IS NOT NULL")
     return (
-        stacked.select(
-            "session_id", "kind", "clicked", F.explode_outer(F.split("ids", ",")).alias("id")
-        )
-        .where(F.col("clicked").isNotNull() | (F.col("id") != ""))
-        .select(
-            "session_id",
-            "kind",
-            F.coalesce(F.col("clicked"), F.col("id").cast("bigint")).alias("category_id"),
+        stacked.selectExpr("session_id", "kind", "clicked", "explode_outer(split(ids, ',')) AS id")
+        .where("clicked IS NOT NULL OR id <> ''")
+        .selectExpr(
+            "session_id", "kind", "coalesce(clicked, CAST(id AS BIGINT)) AS category_id"
         )
     )
 

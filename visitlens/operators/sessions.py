@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.predicates import all_of, any_of, between, equal_to, one_of
-from visitlens.functions.text import half_up, non_empty
+from visitlens.functions.text import non_empty
 from visitlens.functions.times import parse_time, seconds_between
 from visitlens.operators.joins import rows_with_key
 from visitlens.params import TaskParams
@@ -188,19 +188,20 @@ def filtered_session_detail(actions: DataFrame, sessions: DataFrame) -> DataFram
     return rows_with_key(actions, sessions, "session_id")
 
 
-def _share(length: str, low: int, high: int | None, total: Column) -> Column:
-    value = F.col(length)
-    inside = value >= low if high is None else value.between(low, high)
-    return half_up(F.try_divide(F.count_if(inside).cast("double"), total), 2)
+def _share(length: str, low: int, high: int | None) -> str:
+    inside = f"{length} >= {low}" if high is None else f"{length} BETWEEN {low} AND {high}"
+    return f"round(try_divide(count_if({inside}), count(1)), 2)"
 
 
 def session_bucket_ratios(sessions: DataFrame) -> DataFrame:
-    """Session count and the share of each visit-length and step bucket."""
-    total = F.count(F.lit(1))
+    """Session count and the share of each visit-length and step bucket.
+
+    Shares are rounded half up; without any session they are NULL.
+    """
     return sessions.agg(
-        total.alias("session_count"),
+        F.count(F.lit(1)).alias("session_count"),
         *[
-            _share(column, low, high, total).alias(f"{name}_ratio")
+            F.expr(_share(column, low, high)).alias(f"{name}_ratio")
             for column, buckets in (("visit_length", VISIT_LENGTHS), ("step_length", STEP_LENGTHS))
             for name, low, high in buckets
         ],

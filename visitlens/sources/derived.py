@@ -6,32 +6,40 @@ pruning reaches the files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.functions.times import date_text
+_EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,"
+    " props STRING"
+)
+_CUSTOMER = (
+    "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+)
+_PART = (
+    "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
+    " p_retailprice DOUBLE"
+)
+
+
+def _read(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
 
 
 def _events(spark: SparkSession, folder: str, start: str | None, end: str | None) -> DataFrame:
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = _read(spark, folder, "events", _EVENTS)
     if start is not None and end is not None:
         # On the stored column, so that it is pushed to the Parquet scan.
         events = events.where(
             (F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
             & (F.col("ts") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
         )
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        "CAST(ts AS TIMESTAMP) AS ts",
         "user_id",
         "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-    )
-
-
-def _id_pair(step: int) -> Column:
-    return F.concat_ws(
-        ",", (F.col("k") % 20).cast("string"), ((F.col("k") + step) % 20).cast("string")
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
     )
 
 
@@ -39,66 +47,52 @@ def visit_actions(
     spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """``user_visit_action`` plus ``event_id``, which orders equal times."""
-    kind, k = F.col("event_type"), F.col("k")
-    day = date_text(F.col("ts"))
-    return _events(spark, folder, start, end).select(
-        day.alias("date"),
+    return _events(spark, folder, start, end).selectExpr(
+        "CAST(CAST(ts AS DATE) AS STRING) AS date",
         "user_id",
-        F.concat_ws("_", F.col("user_id").cast("string"), day).alias("session_id"),
-        (k % 10).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-        F.when(kind == "view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias(
-            "search_keyword"
-        ),
-        F.when(kind == "click", k % 20).otherwise(F.lit(-1)).cast("bigint").alias(
-            "click_category_id"
-        ),
-        F.when(kind == "click", k).otherwise(F.lit(-1)).cast("bigint").alias("click_product_id"),
-        F.when(kind == "signup", _id_pair(7)).alias("order_category_ids"),
-        F.when(kind == "signup", k.cast("string")).alias("order_product_ids"),
-        F.when(kind == "purchase", _id_pair(3)).alias("pay_category_ids"),
-        F.when(kind == "purchase", k.cast("string")).alias("pay_product_ids"),
-        (F.col("user_id") % 10).alias("city_id"),
+        "concat_ws('_', user_id, CAST(ts AS DATE)) AS session_id",
+        "k % 10 AS page_id",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw', k % 10) END AS search_keyword",
+        "CASE WHEN event_type = 'click' THEN k % 20 ELSE -1L END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN k ELSE -1L END AS click_product_id",
+        "CASE WHEN event_type = 'signup' THEN concat_ws(',', k % 20, (k + 7) % 20) END"
+        " AS order_category_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(k AS STRING) END AS order_product_ids",
+        "CASE WHEN event_type = 'purchase' THEN concat_ws(',', k % 20, (k + 3) % 20) END"
+        " AS pay_category_ids",
+        "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END AS pay_product_ids",
+        "user_id % 10 AS city_id",
         "event_id",
     )
 
 
 def user_info(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return spark.read.parquet(f"{folder}/customer.parquet").select(
-        key.alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (F.lit(10) + key % 60).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.concat(F.lit("city"), F.col("c_nationkey").cast("string")).alias("city"),
-        F.when(key % 2 == 0, "male").otherwise("female").alias("sex"),
+    return _read(spark, folder, "customer", _CUSTOMER).selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(10 + c_custkey % 60 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "concat('city', c_nationkey) AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
     )
 
 
 def product_info(spark: SparkSession, folder: str) -> DataFrame:
-    status = (F.col("p_size") % 2).cast("string")
-    return spark.read.parquet(f"{folder}/part.parquet").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), status, F.lit("}")).alias("extend_info"),
+    return _read(spark, folder, "part", _PART).selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        """concat('{"product_status": ', p_size % 2, '}') AS extend_info""",
     )
 
 
 def ad_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Ad-click lines as text, column ``value``."""
-    place = (F.col("user_id") % 10).cast("string")
     return (
         _events(spark, folder, None, None)
-        .where(F.col("event_type") == "click")
-        .select(
-            F.concat_ws(
-                " ",
-                F.unix_millis("ts").cast("string"),
-                place,
-                place,
-                F.col("user_id").cast("string"),
-                (F.col("k") % 20).cast("string"),
-            ).alias("value")
+        .where("event_type = 'click'")
+        .selectExpr(
+            "concat_ws(' ', unix_millis(ts), user_id % 10, user_id % 10, user_id, k % 20) AS value"
         )
     )
