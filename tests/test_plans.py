@@ -52,6 +52,14 @@ def test_ranking_cuts_groups_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit .* Final(.|\n)*Exchange(.|\n)*WindowGroupLimit .* Partial", text)
 
 
+def test_session_ranking_shuffles_the_actions_once(spark):
+    text = plan(registered.queries()["top_sessions_per_category"](spark, FOLDER), final=True)
+    final = text.split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+    # Once for the category counts and once for the session filter.
+    assert final.count("events.parquet") == 2
+
+
 def test_global_top_is_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(registered.queries()["top_categories"](spark, FOLDER))
 

@@ -61,7 +61,26 @@ def test_snapshot_keeps_untouched_days(table, listed):
     table.write(1, listed(("2018-06-02", 2), ("2018-06-02", 3)))
     assert tuples(table.read()) == [("2018-06-01", 1), ("2018-06-02", 2), ("2018-06-02", 3)]
     assert tuples(table.read(before=1)) == [("2018-06-01", 1), ("2018-06-02", 2)]
-    assert tuples(table.read(dates=["2018-06-01", "2018-06-09"])) == [("2018-06-01", 1)]
+    assert tuples(table.read(parts=[("2018-06-01",), ("2018-06-09",)])) == [("2018-06-01", 1)]
+
+
+def test_two_partition_columns(spark, scratch):
+    trend = SnapshotTable(
+        spark, f"{scratch}/trend", schemas.AD_CLICK_TREND, ("date", "hour"), keep=1
+    )
+
+    def rows(*given):
+        return spark.createDataFrame(list(given), schemas.AD_CLICK_TREND)
+
+    trend.write(0, rows(("20180601", "08", "00", 1, 1), ("20180601", "09", "00", 1, 1)))
+    trend.write(1, rows(("20180601", "09", "00", 1, 5), ("20180602", "09", "30", 1, 7)))
+    assert tuples(trend.read()) == [
+        ("20180601", "08", "00", 1, 1),
+        ("20180601", "09", "00", 1, 5),
+        ("20180602", "09", "30", 1, 7),
+    ]
+    assert tuples(trend.read(parts=[("20180601", "08")])) == [("20180601", "08", "00", 1, 1)]
+    assert sorted(trend.versions()) == [0, 1]
 
 
 def test_unfinished_version_is_not_seen_and_is_overwritten(table, listed):

@@ -16,6 +16,8 @@ from visitlens.streaming.pipeline import (
     AdTables,
     process_batch,
     start_ad_pipeline,
+    start_blacklist_query,
+    store_user_counts,
     trailing_trend,
 )
 
@@ -143,6 +145,41 @@ def test_batch_cut_short_is_completed(spark, scratch, tables, lines):
     assert contents(tables) == contents(whole)
 
 
+def test_counts_from_the_state_store_list_the_same_users(spark, scratch, lines):
+    """Raw running counts against the pipeline's filtered ones, batch by batch."""
+    batches = [
+        [line(b * 60 + i, 1, (i * (b + 3)) % 6, i % 2) for i in range(20 + 7 * b)]
+        for b in range(4)
+    ]
+    whole = AdTables.under(spark, f"{scratch}/whole")
+    split = AdTables.under(spark, f"{scratch}/split")
+    seen = []
+    for batch_id, batch in enumerate(batches):
+        process_batch(lines(batch), batch_id, whole, threshold=12)
+        seen += batch
+        running = ads.ad_user_daily_clicks(adlog.parse_ad_log(lines(seen)))
+        now = ads.ad_user_daily_clicks(adlog.parse_ad_log(lines(batch)))
+        keys = ["date", "userid", "adid"]
+        updates = running.join(now.select(*keys), keys, "left_semi")
+        store_user_counts(updates, batch_id, split, threshold=12)
+        assert tuples(split.blacklist.read()) == tuples(whole.blacklist.read())
+    assert 0 < len(tuples(whole.blacklist.read())) < 6
+    written = spark.read.parquet(f"{split.folder}/user_count_updates")
+    latest = written.groupBy("date", "userid", "adid").agg({"clickCount": "max"})
+    assert tuples(latest) == tuples(whole.user_click_count.read())
+
+
+def test_blacklist_query_and_pipeline_without_user_counts(spark, tables, folder):
+    given = [line(i, 1, i % 3, 1) for i in range(60)] + [line(99, 2, 9, 1)]
+    where = folder([given])
+    stream = adlog.text_ad_lines(spark, where)
+    start_blacklist_query(stream, tables, threshold=20, every=None).awaitTermination()
+    assert tuples(tables.blacklist.read(), "userid") == [(0,), (1,), (2,)]
+    start_ad_pipeline(stream, tables, every=None, count_users=False).awaitTermination()
+    assert tuples(tables.stat.read()) == [("20180629", "2", "2", 1, 1)]
+    assert tuples(tables.user_click_count.read()) == []
+
+
 def test_batch_without_clicks(tables, lines):
     process_batch(lines(["abc"]), 0, tables)
     process_batch(lines([]), 1, tables)

@@ -70,10 +70,10 @@ def category_events(actions: DataFrame) -> DataFrame:
     ).where("clicked IS NOT NULL OR ids IS NOT NULL")
     return (
         stacked.selectExpr("session_id", "kind", "clicked", "explode_outer(split(ids, ',')) AS id")
-        .where("clicked IS NOT NULL OR id <> ''")
         .selectExpr(
-            "session_id", "kind", "coalesce(clicked, CAST(id AS BIGINT)) AS category_id"
+            "session_id", "kind", "coalesce(clicked, CAST(nullif(id, '') AS BIGINT)) AS category_id"
         )
+        .where("category_id IS NOT NULL")
     )
 
 
@@ -115,7 +115,12 @@ def top_sessions_per_category(
     wanted = categories.select("category_id")
     if categories_limit <= MAX_BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    most = Window.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id")
+    # The session decides every tie. The counts after it keep the columns of
+    # this branch equal to those behind ``categories``, so that Spark shuffles
+    # the actions once and reuses the result.
+    most = Window.partitionBy("category_id").orderBy(
+        F.desc("click_count"), "session_id", "order_count", "pay_count"
+    )
     return (
         counts.where(F.col("click_count") > 0)
         .join(wanted, "category_id", "left_semi")

@@ -1,39 +1,64 @@
-"""Day-partitioned tables that a repeated micro-batch cannot corrupt.
-
-Batch ``n`` writes the days it touches to ``<root>/v=<n>/date=<day>/``. The
-content of a day is what the newest finished version holds for it. A version
-is finished when Spark's writer has left its ``_SUCCESS`` file, so a write cut
-short is never seen and the retry simply overwrites its own folder. Merging
-always starts from versions before ``n``, hence running a batch twice gives
-the same table. Batch numbers must come from one and the same stream.
+"""Partitioned tables that a repeated micro-batch cannot corrupt.
+
+Batch ``n`` writes the partitions it touches, for instance
+``<root>/v=<n>/date=<day>/``. The content of a partition is what the newest
+finished version holds for it. A version is finished when Spark's writer has
+left its ``_SUCCESS`` file, so a write cut short is never seen and the retry
+simply overwrites its own folder. Merging always starts from versions before
+``n``, hence running a batch twice gives the same table. Batch numbers must
+come from one and the same stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+Part = tuple[str, ...]
+
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keep: int = 10):
-        """``keep``: how many of the newest versions always stay."""
-        self.spark, self.root, self.schema, self.keep = spark, root.rstrip("/"), schema, keep
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        partition_by: Sequence[str] = ("date",),
+        keep: int = 10,
+    ):
+        """``partition_by`` names text columns without special characters;
+        ``keep`` is how many of the newest versions always stay."""
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.partition_by, self.keep = tuple(partition_by), keep
         path = spark._jvm.org.apache.hadoop.fs.Path
-        self._path = lambda *parts: path("/".join([self.root, *parts]))
+        self._path = lambda *names: path("/".join([self.root, *names]))
         self._files = self._path().getFileSystem(spark._jsc.hadoopConfiguration())
-        self._finished: dict[int, list[str]] = {}
+        self._finished: dict[int, list[Part]] = {}
 
-    def _children(self, prefix: str, *parts: str) -> list[str]:
-        where = self._path(*parts)
+    def _children(self, prefix: str, *names: str) -> list[str]:
+        where = self._path(*names)
         if not self._files.exists(where):
             return []
-        names = (status.getPath().getName() for status in self._files.listStatus(where))
-        return [name[len(prefix):] for name in names if name.startswith(prefix)]
+        found = (status.getPath().getName() for status in self._files.listStatus(where))
+        return [name[len(prefix):] for name in found if name.startswith(prefix)]
+
+    def _parts_of(self, version: int) -> list[Part]:
+        parts: list[Part] = [()]
+        for column in self.partition_by:
+            parts = [
+                (*part, value)
+                for part in parts
+                for value in self._children(f"{column}=", *self._folders(version, part))
+            ]
+        return parts
 
-    def _days_of_versions(self) -> dict[int, list[str]]:
-        """The days each finished version holds, newest version first.
+    def _folders(self, version: int, part: Part) -> list[str]:
+        return [f"v={version}", *[f"{c}={v}" for c, v in zip(self.partition_by, part)]]
+
+    def _parts_of_versions(self) -> dict[int, list[Part]]:
+        """The partitions each finished version holds, newest version first.
 
         A finished version never changes, so each is looked into once.
         """
@@ -42,33 +67,33 @@ class SnapshotTable:
             if version in self._finished:
                 found[version] = self._finished[version]
             elif self._files.exists(self._path(f"v={version}", "_SUCCESS")):
-                found[version] = self._children("date=", f"v={version}")
+                found[version] = self._parts_of(version)
         self._finished = found
         return found
 
     def versions(self) -> list[int]:
         """Finished versions, newest first."""
-        return list(self._days_of_versions())
+        return list(self._parts_of_versions())
 
-    def _days(self, before: int | None = None) -> dict[str, int]:
-        """The version that holds the current content of each day."""
-        newest: dict[str, int] = {}
-        for version, days in self._days_of_versions().items():
+    def _current(self, before: int | None = None) -> dict[Part, int]:
+        """The version that holds the current content of each partition."""
+        newest: dict[Part, int] = {}
+        for version, parts in self._parts_of_versions().items():
             if before is None or version < before:
-                for day in days:
-                    newest.setdefault(day, version)
+                for part in parts:
+                    newest.setdefault(part, version)
         return newest
 
-    def read(self, before: int | None = None, dates: Iterable[str] | None = None) -> DataFrame:
-        """The table, optionally as it was before a batch or for some days only.
+    def read(self, before: int | None = None, parts: Iterable[Part] | None = None) -> DataFrame:
+        """The table, optionally as it was before a batch or some partitions only.
 
         Only folder names are listed here; the rows stay with the executors.
         """
-        wanted = None if dates is None else set(dates)
+        wanted = None if parts is None else set(parts)
         folders = [
-            f"{self.root}/v={version}/date={day}"
-            for day, version in self._days(before).items()
-            if wanted is None or day in wanted
+            "/".join([self.root, *self._folders(version, part)])
+            for part, version in self._current(before).items()
+            if wanted is None or part in wanted
         ]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
@@ -80,22 +105,24 @@ class SnapshotTable:
         )
 
     def write(self, batch: int, rows: DataFrame) -> None:
-        """Store the full new content of every day that occurs in ``rows``.
+        """Store the full new content of every partition that occurs in ``rows``.
 
         A batch that is already stored is left as it is.
         """
         if batch in self.versions():
             return
-        balanced = rows.select(*self.schema.names).hint("rebalance", "date")
-        balanced.write.mode("overwrite").partitionBy("date").parquet(f"{self.root}/v={batch}")
+        balanced = rows.select(*self.schema.names).hint("rebalance", *self.partition_by)
+        balanced.write.mode("overwrite").partitionBy(*self.partition_by).parquet(
+            f"{self.root}/v={batch}"
+        )
         self._clean(batch)
 
     def _clean(self, batch: int) -> None:
-        """Remove old versions that hold no day's current content.
+        """Remove old versions that hold no partition's current content.
 
         What was current before ``batch`` stays too: a repeat reads it.
         """
-        needed = {*self._days().values(), *self._days(before=batch).values()}
+        needed = {*self._current().values(), *self._current(before=batch).values()}
         for version in self.versions()[self.keep:]:
             if version not in needed:
                 self._files.delete(self._path(f"v={version}"), True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.functions.times import date_key, hour_text, minute_text
+from visitlens.functions.times import date_key, date_text, hour_text, minute_text
 from visitlens.operators.ads import ad_trend_windows
 
 DAY = "1 day"
@@ -33,6 +33,18 @@ def realtime_stat_stream(clicks: DataFrame, watermark: str | None = None) -> Dat
     )
 
 
+def user_daily_clicks_stream(clicks: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Running clicks per (day, user, ad); write in ``update`` mode."""
+    day = F.window("ts", DAY).alias("day")
+    counted = _bounded(clicks, watermark).groupBy(day, "user_id", "ad_id")
+    return counted.agg(F.count(F.lit(1)).alias("clickCount")).select(
+        date_text(F.col("day.start")).alias("date"),
+        F.col("user_id").alias("userid"),
+        F.col("ad_id").alias("adid"),
+        "clickCount",
+    )
+
+
 def click_trend_stream(clicks: DataFrame, watermark: str | None = None) -> DataFrame:
     """Running clicks per (minute, ad); write in ``update`` mode.
 

@@ -3,6 +3,11 @@
 One ``foreachBatch`` does the steps in order, so that users listed by one
 batch are filtered from the next one on. All tables are snapshots by batch:
 running a batch again after a failure leaves the same tables.
+
+A batch rewrites the partitions it touches. For streams with so many users
+that rewriting a day of per-user counts is too much, leave these counts to
+Spark's state store: run :func:`start_blacklist_query` next to a pipeline with
+``count_users=False``.
 """
 
 from __future__ import annotations
@@ -14,55 +19,63 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from visitlens import schemas
-from visitlens.functions.times import date_text
+from visitlens.functions.times import date_text, hour_text
 from visitlens.operators import ads
+from visitlens.operators.joins import rows_without_key
 from visitlens.sinks.merge import insert_new, replace_group, upsert_add
-from visitlens.sinks.snapshots import SnapshotTable
+from visitlens.sinks.snapshots import Part, SnapshotTable
 from visitlens.sources.adlog import parse_ad_log, rejected_ad_lines
+from visitlens.streaming.native import user_daily_clicks_stream
 
 
 @dataclass
 class AdTables:
-    """The result tables and the checkpoint below one folder all executors share."""
+    """The result tables and checkpoints below one folder all executors share."""
 
+    folder: str
     blacklist: SnapshotTable
     user_click_count: SnapshotTable
     stat: SnapshotTable
     province_top3: SnapshotTable
     click_trend: SnapshotTable
-    rejected: str
-    checkpoint: str
 
     @classmethod
     def under(cls, spark: SparkSession, folder: str) -> AdTables:
-        def table(name, schema):
-            return SnapshotTable(spark, f"{folder}/{name}", schema)
+        def table(name, schema, *partition_by):
+            return SnapshotTable(spark, f"{folder}/{name}", schema, partition_by or ("date",))
 
         return cls(
+            folder,
             table("ad_blacklist", schemas.AD_BLACKLIST),
             table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT),
             table("ad_stat", schemas.AD_STAT),
             table("ad_province_top3", schemas.AD_PROVINCE_TOP3),
-            table("ad_click_trend", schemas.AD_CLICK_TREND),
-            f"{folder}/rejected_lines",
-            f"{folder}/checkpoint",
+            table("ad_click_trend", schemas.AD_CLICK_TREND, "date", "hour"),
         )
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.folder}/rejected_lines"
+
 
-def _days(df: DataFrame) -> list[str]:
-    """The distinct days of a batch: a handful of values."""
-    return sorted(row.date for row in df.select("date").distinct().collect())
+def _parts(df: DataFrame, *columns: str) -> list[Part]:
+    """The distinct days or hours of a batch: a handful of values."""
+    return sorted(tuple(row) for row in df.select(*columns).distinct().collect())
 
 
 def _add_counts(
-    table: SnapshotTable, batch_id: int, delta: DataFrame, keys: list[str], days: list[str]
+    table: SnapshotTable, batch_id: int, delta: DataFrame, keys: list[str], parts: list[Part]
 ) -> None:
-    current = table.read(before=batch_id, dates=days)
+    current = table.read(before=batch_id, parts=parts)
     table.write(batch_id, upsert_add(current, delta, keys, "clickCount"))
 
 
 def process_batch(
-    lines: DataFrame, batch_id: int, tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD
+    lines: DataFrame,
+    batch_id: int,
+    tables: AdTables,
+    threshold: int = ads.BLACKLIST_THRESHOLD,
+    count_users: bool = True,
 ) -> None:
     """Apply one micro-batch of ad lines to all tables."""
     lines = lines.persist()
@@ -70,83 +83,130 @@ def process_batch(
     if not rejected.isEmpty():
         rejected.write.mode("overwrite").text(f"{tables.rejected}/v={batch_id}")
 
-    listed = tables.blacklist.read(before=batch_id)
+    # Without user counts the list is kept by another stream: take its newest.
+    listed = tables.blacklist.read(before=batch_id if count_users else None)
     clean = ads.ad_blacklist_filter(parse_ad_log(lines), listed).persist()
     try:
-        days = _days(clean.select(date_text(F.col("ts")).alias("date")))
-        if days:
-            _apply(clean, batch_id, tables, threshold, listed, days)
+        ts = F.col("ts")
+        hours = _parts(
+            clean.select(date_text(ts).alias("date"), hour_text(ts).alias("hour")), "date", "hour"
+        )
+        if hours:
+            if count_users:
+                _count_users(clean, batch_id, tables, threshold, listed, hours)
+            _publish(clean, batch_id, tables, hours)
     finally:
         clean.unpersist()
         lines.unpersist()
 
 
-def _apply(
-    clean: DataFrame,
-    batch_id: int,
-    tables: AdTables,
-    threshold: int,
-    listed: DataFrame,
-    days: list[str],
-) -> None:
-    day_keys = [day.replace("-", "") for day in days]
-
-    daily = ads.ad_user_daily_clicks(clean)
-    _add_counts(tables.user_click_count, batch_id, daily, ["date", "userid", "adid"], days)
-    _list_offenders(tables, batch_id, daily, listed, threshold, days)
+def _publish(clean: DataFrame, batch_id: int, tables: AdTables, hours: list[Part]) -> None:
+    hours = [(date.replace("-", ""), hour) for date, hour in hours]
+    days = sorted({(date,) for date, _ in hours})
 
     stat = ads.ad_realtime_stat(clean)
-    _add_counts(tables.stat, batch_id, stat, ["date", "province", "city", "adid"], day_keys)
+    _add_counts(tables.stat, batch_id, stat, ["date", "province", "city", "adid"], days)
 
-    top = ads.ad_province_top3(tables.stat.read(before=batch_id + 1, dates=day_keys))
-    current = tables.province_top3.read(before=batch_id, dates=day_keys)
+    top = ads.ad_province_top3(tables.stat.read(before=batch_id + 1, parts=days))
+    current = tables.province_top3.read(before=batch_id, parts=days)
     tables.province_top3.write(batch_id, replace_group(current, top, ["date", "province"]))
 
     trend = ads.ad_minute_counts(clean)
-    keys = ["date", "hour", "minute", "adid"]
-    _add_counts(tables.click_trend, batch_id, trend, keys, day_keys)
+    _add_counts(tables.click_trend, batch_id, trend, ["date", "hour", "minute", "adid"], hours)
 
 
-def _list_offenders(
-    tables: AdTables,
+def _count_users(
+    clean: DataFrame,
     batch_id: int,
-    daily: DataFrame,
-    listed: DataFrame,
+    tables: AdTables,
     threshold: int,
-    days: list[str],
+    listed: DataFrame,
+    hours: list[Part],
 ) -> None:
-    """Look up the running counts of this batch's keys and list new users."""
+    """Add to the running counts, look up this batch's keys, list new users."""
     keys = ["date", "userid", "adid"]
-    running = tables.user_click_count.read(before=batch_id + 1, dates=days)
+    days = sorted({(date,) for date, _ in hours})
+    daily = ads.ad_user_daily_clicks(clean)
+    _add_counts(tables.user_click_count, batch_id, daily, keys, days)
+    running = tables.user_click_count.read(before=batch_id + 1, parts=days)
     touched = running.join(daily.select(*keys), keys, "left_semi")
-    new = ads.ad_blacklist_update(touched, listed, threshold).persist()
+    _list_users(ads.ad_blacklist_update(touched, listed, threshold), batch_id, tables)
+
+
+def _list_users(new: DataFrame, batch_id: int, tables: AdTables) -> None:
+    new = new.persist()
     try:
-        listing_days = _days(new)
-        if listing_days:
-            current = tables.blacklist.read(before=batch_id, dates=listing_days)
+        days = _parts(new, "date")
+        if days:
+            current = tables.blacklist.read(before=batch_id, parts=days)
             tables.blacklist.write(batch_id, insert_new(current, new, ["userid"]))
     finally:
         new.unpersist()
 
 
+def store_user_counts(
+    updates: DataFrame,
+    batch_id: int,
+    tables: AdTables,
+    threshold: int = ads.BLACKLIST_THRESHOLD,
+) -> None:
+    """Take the running counts a batch changed: list users, publish the rest.
+
+    The counts include clicks of listed users. That lists the same users in
+    the same batches, since no click of a user is filtered before the user is
+    listed; rows of users listed earlier are left out here.
+    """
+    listed = tables.blacklist.read(before=batch_id)
+    fresh = rows_without_key(updates, listed, "userid").persist()
+    try:
+        fresh.write.mode("overwrite").parquet(f"{tables.folder}/user_count_updates/v={batch_id}")
+        _list_users(ads.ad_blacklist_update(fresh, threshold=threshold), batch_id, tables)
+    finally:
+        fresh.unpersist()
+
+
+def _trigger(every: str | None) -> dict:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
 def start_ad_pipeline(
     lines: DataFrame,
     tables: AdTables,
     threshold: int = ads.BLACKLIST_THRESHOLD,
     every: str | None = "5 seconds",
+    count_users: bool = True,
 ) -> StreamingQuery:
     """Run the pipeline on a stream of lines.
 
     The checkpoint lies next to the tables, whose versions are its batch ids.
     ``every=None`` takes what is there, in batches, and stops.
     """
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         lines.writeStream.foreachBatch(
-            lambda batch, batch_id: process_batch(batch, batch_id, tables, threshold)
+            lambda batch, batch_id: process_batch(batch, batch_id, tables, threshold, count_users)
+        )
+        .option("checkpointLocation", f"{tables.folder}/checkpoint")
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
+def start_blacklist_query(
+    lines: DataFrame,
+    tables: AdTables,
+    threshold: int = ads.BLACKLIST_THRESHOLD,
+    every: str | None = "5 seconds",
+    watermark: str | None = None,
+) -> StreamingQuery:
+    """Keep the per-user counts in the state store and the blacklist as a table."""
+    return (
+        user_daily_clicks_stream(parse_ad_log(lines), watermark)
+        .writeStream.outputMode("update")
+        .foreachBatch(
+            lambda updates, batch_id: store_user_counts(updates, batch_id, tables, threshold)
         )
-        .option("checkpointLocation", tables.checkpoint)
-        .trigger(**trigger)
+        .option("checkpointLocation", f"{tables.folder}/blacklist_checkpoint")
+        .trigger(**_trigger(every))
         .start()
     )
 
