@@ -6,11 +6,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from sql_equivalents import SQL_EQUIVALENTS
 from visitlens.functions.times import time_text
 from visitlens.operators import ads, areas, categories, funnel, sampling, sessions
 from visitlens.params import TaskParams
@@ -381,6 +386,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle import ORACLES
-
-    return ORACLES
+    return dict(SQL_EQUIVALENTS)

@@ -281,7 +281,7 @@ def _with(parts: list[str], body: str) -> str:
     return "WITH " + ",".join(parts) + body
 
 
-ORACLES = {
+SQL_EQUIVALENTS = {
     "area_top3_products": _with(_AREA, "SELECT * FROM area_top"),
     "area_click_actions": _with(_AREA, "SELECT * FROM area_clicks"),
     "area_product_basic": _with(_AREA, "SELECT * FROM area_basic"),

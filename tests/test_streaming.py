@@ -31,7 +31,9 @@ def line(seconds, place, user, ad):
 
 def many_lines():
     """Several days and places, no user near the threshold."""
-    return [line(i * 977, i % 4, i % 29, i % 7) for i in range(400)] + ["abc 1 1", ""]
+    seconds = (i % 3 * 86_400 + i * 37 % 7200 for i in range(400))
+    clicks = [line(s, i % 4, i % 29, i % 7) for i, s in enumerate(seconds)]
+    return clicks + ["abc 1 1", ""]
 
 
 @pytest.fixture

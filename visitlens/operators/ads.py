@@ -120,18 +120,21 @@ def ad_trend_windows(clicks: DataFrame, minutes: int = TREND_MINUTES) -> DataFra
     """The trend as seen at the end of every minute: sliding windows.
 
     Clicks are counted per minute first, so the copies that sliding windows
-    make are of counts. Works on tables and, with a watermark, on streams.
+    make are of counts. A table needs no second aggregation, since a window
+    holds each (minute, ad) once; a stream, which must have a watermark, uses
+    one to emit windows when they are final.
     """
-    per_minute = clicks.groupBy(F.window("ts", "1 minute").alias("minute"), "ad_id").agg(
-        _clicks()
-    )
-    sliding = F.window(F.col("minute"), f"{minutes} minutes", "1 minute").alias("seen")
-    return (
-        per_minute.groupBy(sliding, F.col("minute.start").alias("ts"), "ad_id")
-        .agg(F.sum("clickCount").alias("clickCount"))
-        .select(
-            F.date_format("seen.end", "yyyyMMddHHmm").alias("window_end"),
-            *_trend_columns(F.col("ts")),
-            "clickCount",
+    per_minute = clicks.groupBy(F.window("ts", "1 minute").alias("slot"), "ad_id").agg(_clicks())
+    seen = F.window("slot", f"{minutes} minutes", "1 minute").alias("seen")
+    minute = F.col("slot.start").alias("ts")
+    if clicks.isStreaming:
+        windows = per_minute.groupBy(seen, minute, "ad_id").agg(
+            F.sum("clickCount").alias("clickCount")
         )
+    else:
+        windows = per_minute.select(seen, minute, "ad_id", "clickCount")
+    return windows.select(
+        F.date_format("seen.end", "yyyyMMddHHmm").alias("window_end"),
+        *_trend_columns(F.col("ts")),
+        "clickCount",
     )
