@@ -17,7 +17,7 @@ from visitlens.functions.text import pair_key
 from visitlens.functions.times import parse_time
 from visitlens.sources.tables import in_date_range
 
-SLOT_SECONDS = 600
+SLOT_SECONDS = 60
 
 
 def _is_pair(a: str, b: str, pair: tuple[int, int]) -> Column:
