@@ -12,8 +12,11 @@ Spark's state store: run :func:`start_blacklist_query` next to a pipeline with
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -92,18 +95,35 @@ def process_batch(
             clean.select(date_text(ts).alias("date"), hour_text(ts).alias("hour")), "date", "hour"
         )
         if hours:
+            steps = [
+                lambda: _store_stat(clean, batch_id, tables, hours),
+                lambda: _store_trend(clean, batch_id, tables, hours),
+            ]
             if count_users:
-                _count_users(clean, batch_id, tables, threshold, listed, hours)
-            _publish(clean, batch_id, tables, hours)
+                steps.append(
+                    lambda: _count_users(clean, batch_id, tables, threshold, listed, hours)
+                )
+            _together(lines.sparkSession, steps)
     finally:
         clean.unpersist()
         lines.unpersist()
 
 
-def _publish(clean: DataFrame, batch_id: int, tables: AdTables, hours: list[Part]) -> None:
-    hours = [(date.replace("-", ""), hour) for date, hour in hours]
-    days = sorted({(date,) for date, _ in hours})
+def _together(spark: SparkSession, steps: list[Callable[[], None]]) -> None:
+    """Run steps that share no table at once, so that their jobs fill the cluster."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inherit(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
+def _without_dashes(hours: list[Part]) -> list[Part]:
+    return [(date.replace("-", ""), hour) for date, hour in hours]
 
+
+def _store_stat(clean: DataFrame, batch_id: int, tables: AdTables, hours: list[Part]) -> None:
+    days = sorted({(date,) for date, _ in _without_dashes(hours)})
     stat = ads.ad_realtime_stat(clean)
     _add_counts(tables.stat, batch_id, stat, ["date", "province", "city", "adid"], days)
 
@@ -111,8 +131,11 @@ def _publish(clean: DataFrame, batch_id: int, tables: AdTables, hours: list[Part
     current = tables.province_top3.read(before=batch_id, parts=days)
     tables.province_top3.write(batch_id, replace_group(current, top, ["date", "province"]))
 
+
+def _store_trend(clean: DataFrame, batch_id: int, tables: AdTables, hours: list[Part]) -> None:
+    keys = ["date", "hour", "minute", "adid"]
     trend = ads.ad_minute_counts(clean)
-    _add_counts(tables.click_trend, batch_id, trend, ["date", "hour", "minute", "adid"], hours)
+    _add_counts(tables.click_trend, batch_id, trend, keys, _without_dashes(hours))
 
 
 def _count_users(
