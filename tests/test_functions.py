@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,12 +71,14 @@ def test_no_parameter_is_no_predicate():
     assert predicates.equal_to(column, None) is None
 
 
-def test_params_from_json():
-    params = TaskParams.from_json(
+@pytest.mark.parametrize("quote", ['"', ""])
+def test_params_from_json(quote):
+    text = (
         '{"startDate": "2018-06-01", "endDate": "2018-06-30", "startAge": 20, "endAge": 50,'
         ' "professionals": "", "cities": "a,b", "sex": "", "keywords": "",'
         ' "categoryIds": "5,6", "targetPageFlow": "1,2,3"}'
     )
+    params = TaskParams.from_json(re.sub(r'"(\w+)":', rf"{quote}\1{quote}:", text))
     assert (params.start_age, params.end_age) == (20, 50)
     assert (params.professionals, params.cities, params.sex) == ((), ("a", "b"), None)
     assert (params.category_ids, params.page_flow) == ((5, 6), (1, 2, 3))

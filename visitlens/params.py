@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
 
@@ -45,4 +46,9 @@ class TaskParams:
 
     @classmethod
     def from_json(cls, text: str) -> TaskParams:
-        return cls.from_dict(json.loads(text))
+        """Read a JSON object; its keys may lack their quotes."""
+        try:
+            raw = json.loads(text)
+        except json.JSONDecodeError:
+            raw = json.loads(re.sub(r"([{,]\s*)([A-Za-z]\w*)(\s*:)", r'\1"\2"\3', text))
+        return cls.from_dict(raw)
