@@ -8,7 +8,6 @@ from conftest import tuples
 
 from visitlens import schemas
 from visitlens.operators import ads
-from visitlens.sinks.merge import upsert_replace
 from visitlens.sinks.snapshots import SnapshotTable
 from visitlens.sources import adlog
 from visitlens.streaming import native
@@ -188,16 +187,11 @@ def test_batch_without_clicks(tables, lines):
     assert contents(tables) == dict.fromkeys(contents(tables), [])
 
 
-def run_native(spark, scratch, query, schema, keys, mode="update"):
-    """Feed a stateful query into a table that replaces rows by key."""
-    table = SnapshotTable(spark, f"{scratch}/native", schema)
-
-    def store(batch, batch_id):
-        table.write(batch_id, upsert_replace(table.read(before=batch_id), batch, keys))
-
-    query.writeStream.foreachBatch(store).outputMode(mode).option(
-        "checkpointLocation", f"{scratch}/native-checkpoint"
-    ).trigger(availableNow=True).start().awaitTermination()
+def run_native(spark, scratch, query, schema, keys, partition_by=("date",)):
+    table = SnapshotTable(spark, f"{scratch}/native", schema, partition_by)
+    native.start_upsert(
+        query, table, keys, f"{scratch}/native-checkpoint", every=None
+    ).awaitTermination()
     return table
 
 
@@ -226,6 +220,7 @@ def test_native_trend_equals_batch(spark, scratch, lines, folder):
         native.click_trend_stream(clicks, watermark="10 minutes"),
         schemas.AD_CLICK_TREND,
         ["date", "hour", "minute", "adid"],
+        ("date", "hour"),
     )
     batch = ads.ad_minute_counts(adlog.parse_ad_log(lines(given)))
     assert tuples(table.read()) == tuples(batch)

@@ -104,6 +104,11 @@ class SnapshotTable:
             .select(*self.schema.names)
         )
 
+    def parts_in(self, rows: DataFrame) -> list[Part]:
+        """The partitions that occur in ``rows``: the handful a batch touches."""
+        found = rows.select(*self.partition_by).distinct().collect()
+        return sorted(tuple(row) for row in found)
+
     def write(self, batch: int, rows: DataFrame) -> None:
         """Store the full new content of every partition that occurs in ``rows``.
 

@@ -7,11 +7,16 @@ clicks that come later than the delay are left out and the state is bounded.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.functions.times import date_key, date_text, hour_text, minute_text
 from visitlens.operators.ads import ad_trend_windows
+from visitlens.sinks.merge import upsert_replace
+from visitlens.sinks.snapshots import SnapshotTable
 
 DAY = "1 day"
 
@@ -66,3 +71,34 @@ def click_trend_stream(clicks: DataFrame, watermark: str | None = None) -> DataF
 def trend_windows_stream(clicks: DataFrame, watermark: str) -> DataFrame:
     """Sliding trend windows once they are final; write in ``append`` mode."""
     return ad_trend_windows(clicks.withWatermark("ts", watermark))
+
+
+def start_upsert(
+    updates: DataFrame,
+    table: SnapshotTable,
+    keys: Sequence[str],
+    checkpoint: str,
+    every: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Keep ``table`` at the newest value of each key of an ``update`` stream.
+
+    ``every=None`` takes what is there, in batches, and stops.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if parts := table.parts_in(batch):
+                current = table.read(before=batch_id, parts=parts)
+                table.write(batch_id, upsert_replace(current, batch, keys))
+        finally:
+            batch.unpersist()
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        updates.writeStream.foreachBatch(store)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )

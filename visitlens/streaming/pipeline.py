@@ -61,9 +61,11 @@ class AdTables:
         return f"{self.folder}/rejected_lines"
 
 
-def _parts(df: DataFrame, *columns: str) -> list[Part]:
-    """The distinct days or hours of a batch: a handful of values."""
-    return sorted(tuple(row) for row in df.select(*columns).distinct().collect())
+def _hours(clicks: DataFrame) -> list[Part]:
+    """The distinct (day, hour) of a batch: a handful of values."""
+    ts = F.col("ts")
+    found = clicks.select(date_text(ts), hour_text(ts)).distinct().collect()
+    return sorted(tuple(row) for row in found)
 
 
 def _add_counts(
@@ -90,10 +92,7 @@ def process_batch(
     listed = tables.blacklist.read(before=batch_id if count_users else None)
     clean = ads.ad_blacklist_filter(parse_ad_log(lines), listed).persist()
     try:
-        ts = F.col("ts")
-        hours = _parts(
-            clean.select(date_text(ts).alias("date"), hour_text(ts).alias("hour")), "date", "hour"
-        )
+        hours = _hours(clean)
         if hours:
             steps = [
                 lambda: _store_stat(clean, batch_id, tables, hours),
@@ -159,7 +158,7 @@ def _count_users(
 def _list_users(new: DataFrame, batch_id: int, tables: AdTables) -> None:
     new = new.persist()
     try:
-        days = _parts(new, "date")
+        days = tables.blacklist.parts_in(new)
         if days:
             current = tables.blacklist.read(before=batch_id, parts=days)
             tables.blacklist.write(batch_id, insert_new(current, new, ["userid"]))
