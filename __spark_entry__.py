@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import importlib
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -381,9 +382,34 @@ def entry(spark: SparkSession) -> DataFrame:
     return _in_utc(area_top3_products)(spark, "/root/testdata/sf0.001")
 
 
+def _corpus_part(name: str):
+    """A module of the corpus operations, None where they are not installed."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("visitlens.llm", "corpus_pipeline"):
+            raise
+        return None
+
+
+_CORPUS_QUERIES = _corpus_part("visitlens.llm.queries")
+_CORPUS_SQL = _corpus_part("visitlens.llm.sql")
+_PIPELINE = _corpus_part("corpus_pipeline")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: _in_utc(query) for query in _QUERIES}
+    found = {query.__name__: query for query in _QUERIES}
+    if _CORPUS_QUERIES:
+        found |= _CORPUS_QUERIES.queries()
+    if _PIPELINE:
+        found["pipeline"] = _PIPELINE.run
+    return {name: _in_utc(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL_EQUIVALENTS)
+    found = dict(SQL_EQUIVALENTS)
+    if _CORPUS_SQL:
+        found |= _CORPUS_SQL.SQL
+    if _PIPELINE and _PIPELINE.ORACLE_SQL:
+        found["pipeline"] = _PIPELINE.ORACLE_SQL
+    return found
