@@ -13,10 +13,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import mixing, near_dup, pieces, pii, toxicity
+from visitlens.llm import mixing, near_dup, pieces, pii, token_files, toxicity, warc
 
 #: Where the public vocabulary files are; a parameter of the operators.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 DUPLICATE_WORDS = 4
 
 
@@ -48,6 +49,11 @@ def _count(kind: str):
     return F.size(own).cast("long").alias(f"n_{kind}")
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_files.round_trip(docs, BYTE_VOCABULARY)
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select(
@@ -57,6 +63,13 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return warc.records(warc.round_trip(pages)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Per document the number and checksum of its ids, and the checksum and
     length of the text decoded from them."""
@@ -90,5 +103,5 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op2_pii, op4_mixing, op7_pieces, op8_toxicity, op9_minhash)
+        for f in (op2_pii, op3_token_files, op4_mixing, op6_warc, op7_pieces, op8_toxicity, op9_minhash)
     }

@@ -56,7 +56,7 @@ _WORDS = r"""
 words AS (
     SELECT doc_id, list_filter(
         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 )"""
 
@@ -67,7 +67,7 @@ sets AS (
         WHEN len(w) = 0 THEN []
         WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
         ELSE list_distinct(list_transform(range(1, len(w) - 2),
-            i -> array_to_string(w[i : i + 3], ' '))) END AS s
+            lambda i: array_to_string(w[i : i + 3], ' '))) END AS s
     FROM words
 ),
 shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
@@ -91,3 +91,16 @@ SELECT s.doc_id, s.n::BIGINT AS n_shingles, min(r.other) AS component_id,
     s.doc_id = min(r.other) AS kept
 FROM sizes s JOIN reach r ON s.doc_id = r.doc_id GROUP BY s.doc_id, s.n
 """
+
+SQL["op6_warc"] = """
+WITH plain AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
+        sha256(coalesce(html, '')) AS digest
+    FROM pages
+),
+first AS (SELECT digest, min(page_id) AS first FROM plain WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
+    CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to
+FROM plain p LEFT JOIN first f ON p.digest = f.digest
+"""
