@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import mixing, near_dup, pieces, pii, token_files, toxicity, warc
+from visitlens.llm import embed_dup, html_extract, mixing, near_dup, pieces, pii, token_files, toxicity, warc
 
 #: Where the public vocabulary files are; a parameter of the operators.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -33,6 +33,10 @@ def _listed(spans, kinds):
     )
 
 
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = pii.find_pii(docs).select("doc_id", "pii")
@@ -100,8 +104,13 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(docs, words=DUPLICATE_WORDS)
 
 
+def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return embed_dup.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op2_pii, op3_token_files, op4_mixing, op6_warc, op7_pieces, op8_toxicity, op9_minhash)
-    }
+    found = (
+        op1_html, op2_pii, op3_token_files, op4_mixing, op6_warc, op7_pieces, op8_toxicity,
+        op9_minhash, op10_lattice,
+    )
+    return {f.__name__: f for f in found}

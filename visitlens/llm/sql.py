@@ -104,3 +104,23 @@ SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
     CASE WHEN first <> page_id THEN first END AS refers_to
 FROM plain p LEFT JOIN first f ON p.digest = f.digest
 """
+
+SQL["op10_lattice"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reach AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a
+),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, coalesce(any_value(d.n), 0)::BIGINT AS n_links,
+    min(r.other) AS component_id, r.vec_id = min(r.other) AS kept
+FROM reach r LEFT JOIN degree d ON r.vec_id = d.a GROUP BY r.vec_id
+"""
