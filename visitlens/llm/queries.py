@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import embed_dup, html_extract, mixing, near_dup, pieces, pii, token_files, toxicity, warc
+from visitlens.llm import embed_dup, fingerprint, html_extract, mixing, near_dup, pieces, pii, token_files, toxicity, warc
 
 #: Where the public vocabulary files are; a parameter of the operators.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -67,6 +67,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return warc.records(warc.round_trip(pages)).select(
@@ -110,7 +114,7 @@ def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_html, op2_pii, op3_token_files, op4_mixing, op6_warc, op7_pieces, op8_toxicity,
-        op9_minhash, op10_lattice,
+        op1_html, op2_pii, op3_token_files, op4_mixing, op5_fingerprint, op6_warc, op7_pieces,
+        op8_toxicity, op9_minhash, op10_lattice,
     )
     return {f.__name__: f for f in found}
