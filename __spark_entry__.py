@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -19,17 +20,22 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from sql_equivalents import SQL_EQUIVALENTS
 from visitlens.functions.times import time_text
 from visitlens.operators import ads, areas, categories, funnel, sampling, sessions
+from visitlens import schemas
 from visitlens.params import TaskParams
 from visitlens.plans import jobs
 from visitlens.plans.area_sql import area_top3_by_sql
+from visitlens.session import shared_dir
 from visitlens.sinks import merge
+from visitlens.sinks.batches import BatchTable
 from visitlens.sources import adlog, derived
+from visitlens.streaming import native, pipeline
 from visitlens.sources.dimensions import city_dimension
 
 TASK_ID = "task-1"
 SAMPLE_SIZE = 3000
 SEED = 7
 THRESHOLD = 2  # no user of the test tables clicks one ad 100 times a day
+TREND_DAYS = 5
 HALF = "2024-01-16"  # where the merge queries split "current" from "delta"
 
 PARAMS = TaskParams.from_dict(
@@ -55,6 +61,9 @@ SEARCHERS = TaskParams.from_dict(
         "categoryIds": "1,2,3,4,5,6,7,8,9",
     }
 )
+CITY_VISITORS = TaskParams.from_dict(
+    {"startDate": "2024-01-01", "endDate": "2024-12-31", "cities": "city1,city3,city7,city12"}
+)
 
 
 # ---- inputs ----------------------------------------------------------------
@@ -168,6 +177,13 @@ def matching_sessions(spark, d):
     return found.withColumn("start_time", time_text(F.col("start_time")))
 
 
+def sessions_of_cities(spark, d):
+    found = sessions.matching_sessions(
+        _actions(spark, d), derived.user_info(spark, d), CITY_VISITORS
+    )
+    return found.withColumn("start_time", time_text(F.col("start_time")))
+
+
 def session_bucket_ratios(spark, d):
     return jobs.session_aggr_stat(
         sessions.session_bucket_ratios(_matching(spark, d)), TASK_ID
@@ -185,7 +201,7 @@ def session_sample_quota(spark, d):
 def session_stratified_sample(spark, d):
     sample = sampling.session_stratified_sample(_user_sessions(spark, d), SAMPLE_SIZE, SEED)
     return jobs.session_random_extract(
-        sampling.sample_with_terms(sample, _actions(spark, d), SAMPLE_SIZE), TASK_ID
+        sampling.sample_with_terms(sample, _actions(spark, d)), TASK_ID
     )
 
 
@@ -264,10 +280,67 @@ def ad_click_trend(spark, d):
     return ads.ad_click_trend(_clicks(spark, d))
 
 
+def ad_click_trend_days(spark, d):
+    """The trend of the last days instead of the last hour."""
+    return ads.ad_click_trend(_clicks(spark, d), minutes=TREND_DAYS * 24 * 60)
+
+
 def ad_trend_windows(spark, d):
     return ads.ad_trend_windows(_clicks(spark, d))
 
 
+# ---- ads as streams: the given events through a file source ----------------
+
+
+def _click_lines(spark: SparkSession, d: str) -> DataFrame:
+    return derived.ad_line_stream(spark, d)
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _newest(spark, updates, schema, keys):
+    folder = _new_folder(spark)
+    table = BatchTable(spark, f"{folder}/table", schema)
+    native.start_updates(updates, table, f"{folder}/checkpoint", every=None).awaitTermination()
+    return table.newest(keys)
+
+
+def stream_realtime_stat(spark, d):
+    clicks = adlog.parse_ad_log(_click_lines(spark, d))
+    updates = native.realtime_stat_stream(clicks)
+    return _newest(spark, updates, schemas.AD_STAT, pipeline.STAT_KEYS)
+
+
+def stream_user_daily_clicks(spark, d):
+    clicks = adlog.parse_ad_log(_click_lines(spark, d))
+    updates = native.user_daily_clicks_stream(clicks)
+    return _newest(spark, updates, schemas.AD_USER_CLICK_COUNT, pipeline.USER_KEYS)
+
+
+def stream_blacklist_update(spark, d):
+    tables = pipeline.AdTables.under(spark, _new_folder(spark))
+    pipeline.start_blacklist_query(
+        _click_lines(spark, d), tables, THRESHOLD, every=None
+    ).awaitTermination()
+    return tables.blacklist()
+
+
+def _after_pipeline(spark, d):
+    tables = pipeline.AdTables.under(spark, _new_folder(spark))
+    pipeline.start_ad_pipeline(_click_lines(spark, d), tables, every=None).awaitTermination()
+    return tables
+
+
+def stream_click_trend(spark, d):
+    return _after_pipeline(spark, d).click_trend()
+
+
+def stream_province_top3(spark, d):
+    return _after_pipeline(spark, d).province_top3()
+
+
 # ---- table merges ----------------------------------------------------------
 
 
@@ -341,6 +414,7 @@ _QUERIES = [
     session_aggregate,
     session_filter,
     matching_sessions,
+    sessions_of_cities,
     session_bucket_ratios,
     filtered_session_detail,
     session_sample_quota,
@@ -361,7 +435,13 @@ _QUERIES = [
     ad_province_top3_overall,
     ad_minute_counts,
     ad_click_trend,
+    ad_click_trend_days,
     ad_trend_windows,
+    stream_realtime_stat,
+    stream_user_daily_clicks,
+    stream_blacklist_update,
+    stream_click_trend,
+    stream_province_top3,
     upsert_add,
     upsert_replace,
     replace_group,

@@ -310,6 +310,11 @@ SQL_EQUIVALENTS = {
     "matching_sessions": _with(
         _SESSION, f"SELECT {_SESSION_COLUMNS}, {_USER_COLUMNS} FROM sessions WHERE {_SEARCHERS}"
     ),
+    "sessions_of_cities": _with(
+        _SESSION,
+        f"""SELECT {_SESSION_COLUMNS}, {_USER_COLUMNS} FROM sessions
+            WHERE city IN ('city1', 'city3', 'city7', 'city12')""",
+    ),
     "session_bucket_ratios": _with(
         _SESSION, f"SELECT {_TASK}, count(*) AS session_count, {_RATIOS} FROM matching"
     ),
@@ -367,6 +372,12 @@ SQL_EQUIVALENTS = {
         f"""SELECT {_TREND_COLUMNS} FROM minutes
             WHERE m >= (SELECT date_trunc('minute', max(ts)) FROM clicks) - INTERVAL 59 MINUTE""",
     ),
+    "ad_click_trend_days": _with(
+        _AD,
+        f"""SELECT {_TREND_COLUMNS} FROM minutes
+            WHERE m >= (SELECT date_trunc('minute', max(ts)) FROM clicks)
+                - INTERVAL {5 * 24 * 60 - 1} MINUTE""",
+    ),
     "ad_trend_windows": _with(
         _AD,
         f"""SELECT strftime(seen, '%Y%m%d%H%M') AS window_end, {_TREND_COLUMNS}
@@ -403,3 +414,13 @@ SQL_EQUIVALENTS = {
            FROM clicks GROUP BY user_id""",
     ),
 }
+
+# The streams hold the same as the batch forms.
+for _stream, _batch in {
+    "stream_realtime_stat": "ad_realtime_stat",
+    "stream_user_daily_clicks": "ad_user_daily_clicks",
+    "stream_blacklist_update": "ad_blacklist_update",
+    "stream_click_trend": "ad_minute_counts",
+    "stream_province_top3": "ad_province_top3",
+}.items():
+    SQL_EQUIVALENTS[_stream] = SQL_EQUIVALENTS[_batch]

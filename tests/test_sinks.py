@@ -1,14 +1,12 @@
 from __future__ import annotations
 
-import os
-
 import pytest
 from conftest import tuples
 
 from visitlens import schemas
 from visitlens.session import materialize, shared_dir
 from visitlens.sinks import merge, tables
-from visitlens.sinks.snapshots import SnapshotTable
+from visitlens.sinks.batches import BatchTable
 from visitlens.sources import tables as sources
 
 
@@ -47,69 +45,44 @@ def test_merges(kv):
 
 @pytest.fixture
 def table(spark, scratch):
-    return SnapshotTable(spark, f"{scratch}/t", schemas.AD_BLACKLIST, keep=2)
+    return BatchTable(spark, f"{scratch}/t", schemas.AD_USER_CLICK_COUNT)
 
 
 @pytest.fixture
-def listed(spark):
-    return lambda *rows: spark.createDataFrame(list(rows), schemas.AD_BLACKLIST)
+def counts(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), schemas.AD_USER_CLICK_COUNT)
 
 
-def test_snapshot_keeps_untouched_days(table, listed):
-    assert tuples(table.read()) == []
-    table.write(0, listed(("2018-06-01", 1), ("2018-06-02", 2)))
-    table.write(1, listed(("2018-06-02", 2), ("2018-06-02", 3)))
-    assert tuples(table.read()) == [("2018-06-01", 1), ("2018-06-02", 2), ("2018-06-02", 3)]
-    assert tuples(table.read(before=1)) == [("2018-06-01", 1), ("2018-06-02", 2)]
-    assert tuples(table.read(parts=[("2018-06-01",), ("2018-06-09",)])) == [("2018-06-01", 1)]
+KEYS = ["date", "userid", "adid"]
 
 
-def test_two_partition_columns(spark, scratch):
-    trend = SnapshotTable(
-        spark, f"{scratch}/trend", schemas.AD_CLICK_TREND, ("date", "hour"), keep=1
-    )
+def test_batches_add_up_or_replace(table, counts):
+    assert tuples(table.rows()) == []
+    assert tuples(table.newest(KEYS)) == []
+    table.append(0, counts(("d1", 1, 1, 5), ("d1", 2, 1, 1)))
+    table.append(1, counts(("d1", 1, 1, 7)))
+    assert tuples(table.added(KEYS, "clickCount")) == [("d1", 1, 1, 12), ("d1", 2, 1, 1)]
+    assert tuples(table.newest(KEYS)) == [("d1", 1, 1, 7), ("d1", 2, 1, 1)]
+    assert tuples(table.newest(KEYS, before=1)) == [("d1", 1, 1, 5), ("d1", 2, 1, 1)]
 
-    def rows(*given):
-        return spark.createDataFrame(list(given), schemas.AD_CLICK_TREND)
 
-    trend.write(0, rows(("20180601", "08", "00", 1, 1), ("20180601", "09", "00", 1, 1)))
-    trend.write(1, rows(("20180601", "09", "00", 1, 5), ("20180602", "09", "30", 1, 7)))
-    assert tuples(trend.read()) == [
-        ("20180601", "08", "00", 1, 1),
-        ("20180601", "09", "00", 1, 5),
-        ("20180602", "09", "30", 1, 7),
-    ]
-    assert tuples(trend.read(parts=[("20180601", "08")])) == [("20180601", "08", "00", 1, 1)]
-    assert sorted(trend.versions()) == [0, 1]
-
-
-def test_unfinished_version_is_not_seen_and_is_overwritten(table, listed):
-    table.write(0, listed(("2018-06-01", 1)))
-    table.write(1, listed(("2018-06-01", 2)))
-    os.remove(f"{table.root}/v=1/_SUCCESS")
-    again = SnapshotTable(table.spark, table.root, table.schema)
-    assert tuples(again.read()) == [("2018-06-01", 1)]
-    again.write(1, listed(("2018-06-01", 5)))
-    assert tuples(again.read()) == [("2018-06-01", 5)]
-
-
-def test_finished_version_is_left_alone(table, listed):
-    table.write(0, listed(("2018-06-01", 1)))
-    table.write(0, listed(("2018-06-01", 9)))
-    assert tuples(table.read()) == [("2018-06-01", 1)]
-
-
-def test_cleaning_keeps_what_a_repeat_needs(table, listed):
-    table.write(0, listed(("2018-06-01", 1)))
-    for version in range(1, 6):
-        table.write(version, listed(("2018-06-05", version)))
-    table.write(6, listed(("2018-06-01", 2), ("2018-06-05", 6)))
-    # Version 0 is no longer current, but a repeat of batch 6 starts from it.
-    assert sorted(table.versions()) == [0, 5, 6]
-    assert tuples(table.read(before=6)) == [("2018-06-01", 1), ("2018-06-05", 5)]
-    table.write(7, listed(("2018-06-05", 7)))
-    assert sorted(table.versions()) == [6, 7]
-    assert tuples(table.read()) == [("2018-06-01", 2), ("2018-06-05", 7)]
+def test_newest_batch_of_a_group(table, counts):
+    table.append(0, counts(("d1", 1, 1, 5), ("d1", 2, 1, 1), ("d2", 9, 9, 9)))
+    table.append(1, counts(("d1", 3, 3, 3)))
+    assert tuples(table.newest_group(["date"])) == [("d1", 3, 3, 3), ("d2", 9, 9, 9)]
+
+
+def test_repeat_replaces_its_own_rows_only(table, counts):
+    table.append(0, counts(("d1", 1, 1, 5)))
+    table.append(1, counts(("d1", 2, 1, 2), ("d1", 3, 1, 3)))
+    table.append(1, counts(("d1", 2, 1, 4)))
+    assert tuples(table.rows()) == [("d1", 1, 1, 5, 0), ("d1", 2, 1, 4, 1)]
+
+
+def test_batches_prune(table, counts):
+    table.append(0, counts(("d1", 1, 1, 5)))
+    plan = table.rows(before=1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch" in plan
 
 
 def test_task_id_comes_first(kv):

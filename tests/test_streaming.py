@@ -8,7 +8,7 @@ from conftest import tuples
 
 from visitlens import schemas
 from visitlens.operators import ads
-from visitlens.sinks.snapshots import SnapshotTable
+from visitlens.sinks.batches import BatchTable
 from visitlens.sources import adlog
 from visitlens.streaming import native
 from visitlens.streaming.pipeline import (
@@ -59,7 +59,7 @@ def folder(scratch):
 
 def contents(tables):
     return {
-        name: tuples(getattr(tables, name).read())
+        name: tuples(getattr(tables, name)())
         for name in ("blacklist", "user_click_count", "stat", "province_top3", "click_trend")
     }
 
@@ -80,8 +80,7 @@ def test_pipeline_equals_batch(spark, tables, lines, folder):
         "click_trend": tuples(ads.ad_minute_counts(clicks)),
     }
     assert tuples(trailing_trend(tables)) == tuples(ads.ad_click_trend(clicks))
-    rejected = spark.read.option("recursiveFileLookup", True).text(tables.rejected)
-    assert tuples(rejected) == [("",), ("abc 1 1",)]
+    assert tuples(tables.rejected()) == [("",), ("abc 1 1",)]
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, tables, lines, folder):
@@ -92,21 +91,21 @@ def test_restart_goes_on_from_the_checkpoint(spark, tables, lines, folder):
         start_ad_pipeline(stream, tables, every=None).awaitTermination()
         (Path(where) / "later.txt").write_text("\n".join(given[200:]))
     clicks = adlog.parse_ad_log(lines(given))
-    assert tuples(tables.stat.read()) == tuples(ads.ad_realtime_stat(clicks))
+    assert tuples(tables.stat()) == tuples(ads.ad_realtime_stat(clicks))
 
 
 def test_listed_user_is_dropped_from_the_next_batch(tables, lines):
     process_batch(lines([line(i, 1, 7, 3) for i in range(4)]), 0, tables, threshold=5)
-    assert tuples(tables.blacklist.read()) == []
+    assert tuples(tables.blacklist()) == []
     process_batch(lines([line(10, 1, 7, 3), line(11, 1, 7, 4)]), 1, tables, threshold=5)
-    assert tuples(tables.blacklist.read()) == [("2018-06-29", 7)]
+    assert tuples(tables.blacklist()) == [("2018-06-29", 7)]
     process_batch(lines([line(20, 1, 7, 3), line(21, 1, 8, 3)]), 2, tables, threshold=5)
-    assert tuples(tables.user_click_count.read()) == [
+    assert tuples(tables.user_click_count()) == [
         ("2018-06-29", 7, 3, 5),
         ("2018-06-29", 7, 4, 1),
         ("2018-06-29", 8, 3, 1),
     ]
-    assert tuples(tables.stat.read()) == [
+    assert tuples(tables.stat()) == [
         ("20180629", "1", "1", 3, 6),
         ("20180629", "1", "1", 4, 1),
     ]
@@ -138,10 +137,10 @@ def test_batch_cut_short_is_completed(spark, scratch, tables, lines):
         raise Failure
 
     process_batch(lines(first), 0, tables, threshold=15)
-    write, tables.stat.write = tables.stat.write, fail
+    append, tables.trend_rows.append = tables.trend_rows.append, fail
     with pytest.raises(Failure):
         process_batch(lines(second), 1, tables, threshold=15)
-    tables.stat.write = write
+    tables.trend_rows.append = append
     process_batch(lines(second), 1, tables, threshold=15)
     assert contents(tables) == contents(whole)
 
@@ -163,11 +162,9 @@ def test_counts_from_the_state_store_list_the_same_users(spark, scratch, lines):
         keys = ["date", "userid", "adid"]
         updates = running.join(now.select(*keys), keys, "left_semi")
         store_user_counts(updates, batch_id, split, threshold=12)
-        assert tuples(split.blacklist.read()) == tuples(whole.blacklist.read())
-    assert 0 < len(tuples(whole.blacklist.read())) < 6
-    written = spark.read.parquet(f"{split.folder}/user_count_updates")
-    latest = written.groupBy("date", "userid", "adid").agg({"clickCount": "max"})
-    assert tuples(latest) == tuples(whole.user_click_count.read())
+        assert tuples(split.blacklist()) == tuples(whole.blacklist())
+    assert 0 < len(tuples(whole.blacklist())) < 6
+    assert tuples(split.user_click_count()) == tuples(whole.user_click_count())
 
 
 def test_blacklist_query_and_pipeline_without_user_counts(spark, tables, folder):
@@ -175,10 +172,67 @@ def test_blacklist_query_and_pipeline_without_user_counts(spark, tables, folder)
     where = folder([given])
     stream = adlog.text_ad_lines(spark, where)
     start_blacklist_query(stream, tables, threshold=20, every=None).awaitTermination()
-    assert tuples(tables.blacklist.read(), "userid") == [(0,), (1,), (2,)]
+    assert tuples(tables.blacklist(), "userid") == [(0,), (1,), (2,)]
     start_ad_pipeline(stream, tables, every=None, count_users=False).awaitTermination()
-    assert tuples(tables.stat.read()) == [("20180629", "2", "2", 1, 1)]
-    assert tuples(tables.user_click_count.read()) == []
+    assert tuples(tables.stat()) == [("20180629", "2", "2", 1, 1)]
+    assert tuples(tables.user_click_count()) == [
+        ("2018-06-29", 0, 1, 20), ("2018-06-29", 1, 1, 20), ("2018-06-29", 2, 1, 20),
+        ("2018-06-29", 9, 1, 1),
+    ]
+
+
+def test_repeat_uses_the_blacklist_of_the_first_try(tables, lines, monkeypatch):
+    """Another stream lists a user between a batch's first try and its repeat."""
+    clicks = lines([line(0, 1, 7, 3), line(1, 1, 7, 3)])
+
+    class Failure(Exception):
+        pass
+
+    def fail(*_):
+        raise Failure
+
+    with monkeypatch.context() as cut_short:
+        cut_short.setattr(tables.trend_rows, "append", fail)
+        with pytest.raises(Failure):
+            process_batch(clicks, 0, tables, count_users=False)
+    store_user_counts(
+        ads.ad_user_daily_clicks(adlog.parse_ad_log(clicks)), 0, tables, threshold=2
+    )
+    assert len(tuples(tables.blacklist())) == 1
+    process_batch(clicks, 0, tables, count_users=False)
+    assert [r[-1] for r in tuples(tables.stat())] == [2]
+    assert sum(r[-1] for r in tuples(tables.click_trend())) == 2
+    process_batch(clicks, 1, tables, count_users=False)
+    assert [r[-1] for r in tuples(tables.stat())] == [2]
+
+
+def test_batch_writes_only_what_it_changes(tables, lines):
+    process_batch(lines([line(i, i % 9, i, i % 5) for i in range(300)]), 0, tables)
+    early = tables.stat()
+    for batch_id in range(1, 4):
+        process_batch(lines([line(900 + batch_id, 1, 1, 1)]), batch_id, tables)
+        for name in ("user_rows", "stat_rows", "trend_rows"):
+            rows = getattr(tables, name).rows().where(f"batch = {batch_id}")
+            assert rows.count() == 1
+    assert sum(r[-1] for r in tuples(early)) == 300  # its files are all still there
+
+
+def test_compacted_table_goes_on(tables, lines, scratch):
+    for batch_id in range(3):
+        process_batch(lines([line(batch_id, 1, 1, 1)]), batch_id, tables)
+    whole = tables.stat_rows.compact(tables.stat(), f"{scratch}/compacted", 2)
+    assert whole.rows().count() == 1
+    assert tuples(whole.added(["date", "province", "city", "adid"], "clickCount")) == tuples(
+        tables.stat()
+    )
+
+
+def test_trend_reads_only_the_last_hours(tables, lines):
+    process_batch(lines([line(h * 3600, 1, 1, 1) for h in range(100)]), 0, tables)
+    trend = trailing_trend(tables)
+    assert [r[-1] for r in tuples(trend)] == [1]
+    plan = trend._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan.split("Subquery")[0]
 
 
 def test_batch_without_clicks(tables, lines):
@@ -187,60 +241,44 @@ def test_batch_without_clicks(tables, lines):
     assert contents(tables) == dict.fromkeys(contents(tables), [])
 
 
-def run_native(spark, scratch, query, schema, keys, partition_by=("date",)):
-    table = SnapshotTable(spark, f"{scratch}/native", schema, partition_by)
-    native.start_upsert(
-        query, table, keys, f"{scratch}/native-checkpoint", every=None
+def run_native(spark, scratch, query, schema, keys):
+    table = BatchTable(spark, f"{scratch}/native", schema)
+    native.start_updates(
+        query, table, f"{scratch}/native-checkpoint", every=None
     ).awaitTermination()
-    return table
+    return tuples(table.newest(keys))
 
 
 def test_native_stat_equals_batch(spark, scratch, lines, folder):
     given = many_lines()
     where = folder([given[i::3] for i in range(3)])
     clicks = adlog.parse_ad_log(adlog.text_ad_lines(spark, where, files_per_batch=1))
-    table = run_native(
-        spark,
-        scratch,
-        native.realtime_stat_stream(clicks),
-        schemas.AD_STAT,
+    got = run_native(
+        spark, scratch, native.realtime_stat_stream(clicks), schemas.AD_STAT,
         ["date", "province", "city", "adid"],
     )
-    batch = ads.ad_realtime_stat(adlog.parse_ad_log(lines(given)))
-    assert tuples(table.read()) == tuples(batch)
+    assert got == tuples(ads.ad_realtime_stat(adlog.parse_ad_log(lines(given))))
 
 
 def test_native_trend_equals_batch(spark, scratch, lines, folder):
     given = many_lines()
     where = folder([given[:150], given[150:]])
     clicks = adlog.parse_ad_log(adlog.text_ad_lines(spark, where, files_per_batch=1))
-    table = run_native(
-        spark,
-        scratch,
-        native.click_trend_stream(clicks, watermark="10 minutes"),
-        schemas.AD_CLICK_TREND,
+    got = run_native(
+        spark, scratch, native.click_trend_stream(clicks), schemas.AD_CLICK_TREND,
         ["date", "hour", "minute", "adid"],
-        ("date", "hour"),
     )
-    batch = ads.ad_minute_counts(adlog.parse_ad_log(lines(given)))
-    assert tuples(table.read()) == tuples(batch)
+    assert got == tuples(ads.ad_minute_counts(adlog.parse_ad_log(lines(given))))
 
 
-def test_native_sliding_windows_equal_batch_once_final(spark, scratch, lines, folder):
+def test_native_sliding_windows_hold_late_clicks(spark, scratch, lines, folder):
     given = [line(i * 20, 1, 1, i % 2) for i in range(30)]
-    later = line(3 * 3600, 1, 1, 0)  # moves the watermark past all windows above
-    where = folder([given, [later], [later]])
+    later, late = line(3 * 3600, 1, 1, 0), line(5, 1, 1, 1)
+    where = folder([given, [later], [late]])
     clicks = adlog.parse_ad_log(adlog.text_ad_lines(spark, where, files_per_batch=1))
-    query = (
-        native.trend_windows_stream(clicks, "1 minute")
-        .writeStream.format("memory")
-        .queryName("trend_windows")
-        .outputMode("append")
-        .option("checkpointLocation", f"{scratch}/windows")
-        .trigger(availableNow=True)
-        .start()
+    batch = ads.ad_trend_windows(adlog.parse_ad_log(lines([*given, later, late])))
+    got = run_native(
+        spark, scratch, native.trend_windows_stream(clicks), batch.schema,
+        ["window_end", "date", "hour", "minute", "adid"],
     )
-    query.awaitTermination()
-    batch = ads.ad_trend_windows(adlog.parse_ad_log(lines(given)))
-    final = spark.table("trend_windows").where("date = '20180629' AND hour < '11'")
-    assert tuples(final) == tuples(batch)
+    assert got == tuples(batch)

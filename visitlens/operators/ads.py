@@ -109,30 +109,24 @@ def ad_click_trend(
 
     The last minute is that of ``as_of``, by default of the newest click.
     """
-    newest = clicks.agg(F.max("ts")).scalar() if as_of is None else as_of
+    counts = _per_minute(clicks)
+    newest = counts.agg(F.max("ts")).scalar() if as_of is None else as_of
     last = F.date_trunc("minute", newest)
     oldest = last - F.make_dt_interval(mins=F.lit(minutes - 1))
-    recent = clicks.where((F.col("ts") >= oldest) & (F.date_trunc("minute", "ts") <= last))
-    return ad_minute_counts(recent)
+    recent = counts.where(F.col("ts").between(oldest, last))
+    return recent.select(*_trend_columns(F.col("ts")), "clickCount")
 
 
 def ad_trend_windows(clicks: DataFrame, minutes: int = TREND_MINUTES) -> DataFrame:
     """The trend as seen at the end of every minute: sliding windows.
 
     Clicks are counted per minute first, so the copies that sliding windows
-    make are of counts. A table needs no second aggregation, since a window
-    holds each (minute, ad) once; a stream, which must have a watermark, uses
-    one to emit windows when they are final.
+    make are of counts, and a window holds each (minute, ad) once.
     """
     per_minute = clicks.groupBy(F.window("ts", "1 minute").alias("slot"), "ad_id").agg(_clicks())
     seen = F.window("slot", f"{minutes} minutes", "1 minute").alias("seen")
     minute = F.col("slot.start").alias("ts")
-    if clicks.isStreaming:
-        windows = per_minute.groupBy(seen, minute, "ad_id").agg(
-            F.sum("clickCount").alias("clickCount")
-        )
-    else:
-        windows = per_minute.select(seen, minute, "ad_id", "clickCount")
+    windows = per_minute.select(seen, minute, "ad_id", "clickCount")
     return windows.select(
         F.date_format("seen.end", "yyyyMMddHHmm").alias("window_end"),
         *_trend_columns(F.col("ts")),

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from visitlens.operators.joins import rows_with_key
 
-# A broadcast list of category ids of at most this many rows is tiny.
-MAX_BROADCAST_ROWS = 100_000
-
 _KINDS = ("click", "order", "pay")
 _COUNTS = [f"{kind}_count" for kind in _KINDS]
 
@@ -106,15 +103,14 @@ def top_categories(counts: DataFrame, k: int = 10) -> DataFrame:
 
 
 def top_sessions_per_category(
-    counts: DataFrame, categories: DataFrame, k: int = 10, categories_limit: int = 10
+    counts: DataFrame, categories: DataFrame, k: int = 10
 ) -> DataFrame:
     """For each given category the ``k`` sessions that clicked it most.
 
-    ``categories_limit`` is the number of rows ``categories`` was limited to.
+    Any number of categories may be given; how they are joined is left to
+    Spark's size check.
     """
     wanted = categories.select("category_id")
-    if categories_limit <= MAX_BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
     # The session decides every tie. The counts after it keep the columns of
     # this branch equal to those behind ``categories``, so that Spark shuffles
     # the actions once and reuses the result.

@@ -12,19 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import date_text, hour_text
+from visitlens.operators.joins import rows_with_key
 from visitlens.operators.sessions import session_terms
 
 SLICE_DIGITS = 3  # hex digits: 4096 slices per hour
 
-# A broadcast side is a few dozen bytes per row; its row number is proven to
-# be at most the sample size.
-MAX_BROADCAST_ROWS = 500_000
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
-
-
 def _by_hour(sessions: DataFrame) -> DataFrame:
     start = F.col("start_time")
     return sessions.select(
@@ -85,21 +77,19 @@ def session_stratified_sample(
         .where(F.col("before") < F.col("quota"))
         .select("date", "hour", "slice", (F.col("quota") - F.col("before")).alias("take"))
     )
-    # Every kept slice gives at least one session, so there are at most
-    # sample_size of them.
+    # Whether the kept slices fit a broadcast is left to Spark's size check.
     order = Window.partitionBy("date", "hour", "slice").orderBy("digest", "session_id")
     return (
-        keyed.join(_small(planned, sample_size), ["date", "hour", "slice"])
+        keyed.join(planned, ["date", "hour", "slice"])
         .withColumn("position", F.row_number().over(order))
         .where(F.col("position") <= F.col("take"))
         .select("session_id", "start_time", "date", "hour")
     )
 
 
-def sample_with_terms(sample: DataFrame, actions: DataFrame, sample_size: int = 100) -> DataFrame:
+def sample_with_terms(sample: DataFrame, actions: DataFrame) -> DataFrame:
     """Add search words and clicked categories, built for the sample only."""
-    keys = _small(sample.select("session_id"), sample_size)
-    terms = session_terms(actions.join(keys, "session_id", "left_semi"))
+    terms = session_terms(rows_with_key(actions, sample, "session_id"))
     return sample.join(terms, "session_id").select(
         "session_id", "start_time", "search_keywords", "click_category_ids"
     )

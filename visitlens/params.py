@@ -7,6 +7,10 @@ import re
 from dataclasses import dataclass
 
 
+# A quoted string, which stays as it is, or else a bare key.
+_BARE_KEY = re.compile(r'("(?:[^"\\]|\\.)*")|([A-Za-z_]\w*)(?=\s*:)')
+
+
 def _words(text: str | None) -> tuple[str, ...]:
     return tuple(w for w in (text or "").split(",") if w)
 
@@ -50,5 +54,5 @@ class TaskParams:
         try:
             raw = json.loads(text)
         except json.JSONDecodeError:
-            raw = json.loads(re.sub(r"([{,]\s*)([A-Za-z]\w*)(\s*:)", r'\1"\2"\3', text))
+            raw = json.loads(_BARE_KEY.sub(lambda m: m[1] or f'"{m[2]}"', text))
         return cls.from_dict(raw)

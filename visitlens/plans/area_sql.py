@@ -1,45 +1,49 @@
-"""The area ranking written as SQL over published steps."""
+"""The area ranking in SQL text, over DataFrames passed by name.
+
+The statement reads its inputs as ``{name}`` parameters, so nothing is
+registered in the session but the scalar functions, and calls with other inputs
+don't meet.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlens.functions.text import register_sql_functions
+from visitlens.sources.dimensions import AREA_LEVELS, OTHER_LEVEL
 
-_PRODUCT_INFO = """
-WITH per_city AS (
-  SELECT area, product_id, city_id, city_name, count(*) AS clicks
-  FROM area_product_basic
-  GROUP BY area, product_id, city_id, city_name),
-counts AS (
-  SELECT area, product_id, sum(clicks) AS click_count,
-         array_join(array_sort(collect_set(
-           concat_long_string(city_id, city_name, ':'))), ',') AS city_infos
-  FROM per_city
-  GROUP BY area, product_id)
-SELECT c.area, c.city_infos, c.product_id, c.click_count, p.product_name,
-       if(get_json_value(p.extend_info, 'product_status') = '0',
-          'Self', 'Third Party') AS product_status
-FROM counts c JOIN product_info p ON c.product_id = p.product_id
-"""
-
-_TOP3 = """
-SELECT area,
-       CASE WHEN area IN ('华北', '华东') THEN 'A Level'
-            WHEN area IN ('华南', '华中') THEN 'B Level'
-            WHEN area IN ('西南', '西北') THEN 'C Level'
-            ELSE 'D Level' END AS area_level,
-       product_id, city_infos, click_count, product_name, product_status
-FROM (SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS position
-      FROM area_product_info)
-WHERE position <= 3
+RANKED = """
+WITH hits AS (
+    SELECT area, product_id, concat_long_string(city_id, city_name, ':') AS city, count(1) AS n
+    FROM {clicked} GROUP BY ALL
+),
+popular AS (
+    SELECT area, product_id, sum(n) AS click_count,
+        listagg(DISTINCT city, ',') WITHIN GROUP (ORDER BY city) AS city_infos
+    FROM hits GROUP BY ALL
+),
+placed AS (
+    SELECT popular.*, {catalog}.product_name,
+        get_json_value({catalog}.extend_info, 'product_status') <=> '0' AS own,
+        rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS place
+    FROM popular JOIN {catalog} USING (product_id)
+)
+SELECT area, ifnull(level_name, {other}) AS area_level, product_id, city_infos, click_count,
+    product_name, if(own, 'Self', 'Third Party') AS product_status
+FROM placed LEFT JOIN {levels} USING (area)
+WHERE place <= {k}
 """
 
 
-def area_top3_by_sql(spark: SparkSession, basic: DataFrame, products: DataFrame) -> DataFrame:
-    """Publish each step as a temporary view and rank with SQL text."""
+def area_top3_by_sql(
+    spark: SparkSession, clicked: DataFrame, catalog: DataFrame, k: int = 3
+) -> DataFrame:
+    """The ``k`` most clicked products of each area, from (area, product, city)
+    clicks and the product table."""
     register_sql_functions(spark)
-    basic.createOrReplaceTempView("area_product_basic")
-    products.createOrReplaceTempView("product_info")
-    spark.sql(_PRODUCT_INFO).createOrReplaceTempView("area_product_info")
-    return spark.sql(_TOP3)
+    levels = spark.createDataFrame(
+        [(area, name) for name, areas in AREA_LEVELS.items() for area in areas],
+        "area string, level_name string",
+    )
+    return spark.sql(RANKED, clicked=clicked, catalog=catalog, levels=levels,
+                     other=OTHER_LEVEL, k=k)

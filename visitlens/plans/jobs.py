@@ -111,7 +111,7 @@ def run_session_job(
             sessions.session_bucket_ratios(matching), task_id
         ),
         "session_random_extract": session_random_extract(
-            sampling.sample_with_terms(sample, actions, sample_size), task_id
+            sampling.sample_with_terms(sample, actions), task_id
         ),
         "top10_category": top10_category(top, task_id),
         "top10_session": top10_session(

@@ -28,6 +28,10 @@ def _read(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame
 
 def _events(spark: SparkSession, folder: str, start: str | None, end: str | None) -> DataFrame:
     events = _read(spark, folder, "events", _EVENTS)
+    return _typed_events(events, start, end)
+
+
+def _typed_events(events: DataFrame, start: str | None, end: str | None) -> DataFrame:
     if start is not None and end is not None:
         # On the stored column, so that it is pushed to the Parquet scan.
         events = events.where(
@@ -87,12 +91,20 @@ def product_info(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _lines_of(events: DataFrame) -> DataFrame:
+    return _typed_events(events, None, None).where("event_type = 'click'").selectExpr(
+        "concat_ws(' ', unix_millis(ts), user_id % 10, user_id % 10, user_id, k % 20) AS value"
+    )
+
+
 def ad_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Ad-click lines as text, column ``value``."""
-    return (
-        _events(spark, folder, None, None)
-        .where("event_type = 'click'")
-        .selectExpr(
-            "concat_ws(' ', unix_millis(ts), user_id % 10, user_id % 10, user_id, k % 20) AS value"
-        )
-    )
+    return _lines_of(_read(spark, folder, "events", _EVENTS))
+
+
+def ad_line_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines as a stream over the files of the events.
+
+    A pattern may name a single file, which a plain path of a stream may not.
+    """
+    return _lines_of(spark.readStream.schema(_EVENTS).parquet(f"{folder}/events.parque[t]"))

@@ -1,34 +1,26 @@
 """Ad counts kept in Spark's own state store.
 
-Their cost per micro-batch follows the batch, not the table. Without a
-watermark nothing is ever dropped and the state holds every key; with one,
-clicks that come later than the delay are left out and the state is bounded.
+Their cost per micro-batch follows the batch, not the table. The running counts
+have no watermark: nothing is dropped and the state holds every key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.functions.times import date_key, date_text, hour_text, minute_text
-from visitlens.operators.ads import ad_trend_windows
-from visitlens.sinks.merge import upsert_replace
-from visitlens.sinks.snapshots import SnapshotTable
+from visitlens.operators.ads import TREND_MINUTES
+from visitlens.sinks.batches import BatchTable
 
 DAY = "1 day"
 
 
-def _bounded(clicks: DataFrame, watermark: str | None) -> DataFrame:
-    return clicks.withWatermark("ts", watermark) if watermark else clicks
-
-
-def realtime_stat_stream(clicks: DataFrame, watermark: str | None = None) -> DataFrame:
+def realtime_stat_stream(clicks: DataFrame) -> DataFrame:
     """Running clicks per (day, province, city, ad); write in ``update`` mode."""
     day = F.window("ts", DAY).alias("day")
-    counted = _bounded(clicks, watermark).groupBy(day, "province", "city", "ad_id")
+    counted = clicks.groupBy(day, "province", "city", "ad_id")
     return counted.agg(F.count(F.lit(1)).alias("clickCount")).select(
         date_key(F.col("day.start")).alias("date"),
         "province",
@@ -38,10 +30,10 @@ def realtime_stat_stream(clicks: DataFrame, watermark: str | None = None) -> Dat
     )
 
 
-def user_daily_clicks_stream(clicks: DataFrame, watermark: str | None = None) -> DataFrame:
+def user_daily_clicks_stream(clicks: DataFrame) -> DataFrame:
     """Running clicks per (day, user, ad); write in ``update`` mode."""
     day = F.window("ts", DAY).alias("day")
-    counted = _bounded(clicks, watermark).groupBy(day, "user_id", "ad_id")
+    counted = clicks.groupBy(day, "user_id", "ad_id")
     return counted.agg(F.count(F.lit(1)).alias("clickCount")).select(
         date_text(F.col("day.start")).alias("date"),
         F.col("user_id").alias("userid"),
@@ -50,14 +42,14 @@ def user_daily_clicks_stream(clicks: DataFrame, watermark: str | None = None) ->
     )
 
 
-def click_trend_stream(clicks: DataFrame, watermark: str | None = None) -> DataFrame:
+def click_trend_stream(clicks: DataFrame) -> DataFrame:
     """Running clicks per (minute, ad); write in ``update`` mode.
 
     Replacing rows by key in the sink yields the trend table; its trailing
     hour is a filter on read.
     """
     minute = F.window("ts", "1 minute").alias("slot")
-    counted = _bounded(clicks, watermark).groupBy(minute, "ad_id")
+    counted = clicks.groupBy(minute, "ad_id")
     start = F.col("slot.start")
     return counted.agg(F.count(F.lit(1)).alias("clickCount")).select(
         date_key(start).alias("date"),
@@ -68,35 +60,32 @@ def click_trend_stream(clicks: DataFrame, watermark: str | None = None) -> DataF
     )
 
 
-def trend_windows_stream(clicks: DataFrame, watermark: str) -> DataFrame:
-    """Sliding trend windows once they are final; write in ``append`` mode."""
-    return ad_trend_windows(clicks.withWatermark("ts", watermark))
+def trend_windows_stream(clicks: DataFrame, minutes: int = TREND_MINUTES) -> DataFrame:
+    """The trend as seen at the end of every minute; write in ``update`` mode.
+
+    One aggregation and no watermark, so that a late click still updates all the
+    windows that hold it.
+    """
+    seen = F.window("ts", f"{minutes} minutes", "1 minute").alias("seen")
+    minute = F.date_trunc("minute", "ts").alias("ts")
+    ts = F.col("ts")
+    return clicks.groupBy(seen, minute, "ad_id").agg(F.count(F.lit(1)).alias("clickCount")).select(
+        F.date_format("seen.end", "yyyyMMddHHmm").alias("window_end"),
+        date_key(ts).alias("date"), hour_text(ts).alias("hour"), minute_text(ts).alias("minute"),
+        F.col("ad_id").alias("adid"), "clickCount",
+    )
 
 
-def start_upsert(
-    updates: DataFrame,
-    table: SnapshotTable,
-    keys: Sequence[str],
-    checkpoint: str,
-    every: str | None = "5 seconds",
+def start_updates(
+    updates: DataFrame, table: BatchTable, checkpoint: str, every: str | None = "5 seconds"
 ) -> StreamingQuery:
-    """Keep ``table`` at the newest value of each key of an ``update`` stream.
+    """Append the changed rows of an ``update`` stream; ``table.newest`` reads them.
 
     ``every=None`` takes what is there, in batches, and stops.
     """
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if parts := table.parts_in(batch):
-                current = table.read(before=batch_id, parts=parts)
-                table.write(batch_id, upsert_replace(current, batch, keys))
-        finally:
-            batch.unpersist()
-
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        updates.writeStream.foreachBatch(store)
+        updates.writeStream.foreachBatch(lambda rows, batch_id: table.append(batch_id, rows))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

@@ -1,78 +1,98 @@
 """The ad-click pipeline: filter, count, list offenders, publish.
 
-One ``foreachBatch`` does the steps in order, so that users listed by one
-batch are filtered from the next one on. All tables are snapshots by batch:
-running a batch again after a failure leaves the same tables.
-
-A batch rewrites the partitions it touches. For streams with so many users
-that rewriting a day of per-user counts is too much, leave these counts to
-Spark's state store: run :func:`start_blacklist_query` next to a pipeline with
-``count_users=False``.
+One ``foreachBatch`` does the steps in order, so that users listed by one batch
+are filtered from the next one on. A batch appends the rows it changes and
+nothing else; running it again after a failure replaces them, from the same
+inputs: the state of all tables before the batch, and the blacklist that the
+first try noted down before it wrote anything.
+
+The per-user counts of a day are read again for the users of a batch. Where a day
+holds too many for that, leave them to Spark's state store: run
+:func:`start_blacklist_query` next to a pipeline with ``count_users=False``.
+Both ways keep the same tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from visitlens import schemas
-from visitlens.functions.times import date_text, hour_text
 from visitlens.operators import ads
 from visitlens.operators.joins import rows_without_key
-from visitlens.sinks.merge import insert_new, replace_group, upsert_add
-from visitlens.sinks.snapshots import Part, SnapshotTable
+from visitlens.sinks.batches import BATCH, BatchTable
 from visitlens.sources.adlog import parse_ad_log, rejected_ad_lines
 from visitlens.streaming.native import user_daily_clicks_stream
 
+STAT_KEYS = ("date", "province", "city", "adid")
+TREND_KEYS = ("date", "hour", "minute", "adid")
+USER_KEYS = ("date", "userid", "adid")
+_LINE = T.StructType([T.StructField("value", T.StringType())])
+_USED = T.StructType([T.StructField("listed_before", T.LongType())])
+
 
 @dataclass
 class AdTables:
-    """The result tables and checkpoints below one folder all executors share."""
+    """The tables and checkpoints below one folder all executors share."""
 
     folder: str
-    blacklist: SnapshotTable
-    user_click_count: SnapshotTable
-    stat: SnapshotTable
-    province_top3: SnapshotTable
-    click_trend: SnapshotTable
+    blacklist_rows: BatchTable
+    blacklist_used: BatchTable
+    user_rows: BatchTable
+    stat_rows: BatchTable
+    top3_rows: BatchTable
+    trend_rows: BatchTable
+    rejected_rows: BatchTable
 
     @classmethod
     def under(cls, spark: SparkSession, folder: str) -> AdTables:
         def table(name, schema, *partition_by):
-            return SnapshotTable(spark, f"{folder}/{name}", schema, partition_by or ("date",))
+            return BatchTable(spark, f"{folder}/{name}", schema, partition_by)
 
         return cls(
             folder,
             table("ad_blacklist", schemas.AD_BLACKLIST),
+            table("ad_blacklist_used", _USED),
             table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT),
             table("ad_stat", schemas.AD_STAT),
             table("ad_province_top3", schemas.AD_PROVINCE_TOP3),
-            table("ad_click_trend", schemas.AD_CLICK_TREND, "date", "hour"),
+            table("ad_click_trend", schemas.AD_CLICK_TREND, "date"),
+            table("rejected_lines", _LINE),
         )
 
-    @property
-    def rejected(self) -> str:
-        return f"{self.folder}/rejected_lines"
+    def blacklist(self, before: int | None = None) -> DataFrame:
+        return self.blacklist_rows.rows(before).select("date", "userid")
 
+    def user_click_count(self, before: int | None = None) -> DataFrame:
+        return self.user_rows.newest(USER_KEYS, before)
 
-def _hours(clicks: DataFrame) -> list[Part]:
-    """The distinct (day, hour) of a batch: a handful of values."""
-    ts = F.col("ts")
-    found = clicks.select(date_text(ts), hour_text(ts)).distinct().collect()
-    return sorted(tuple(row) for row in found)
+    def stat(self, before: int | None = None) -> DataFrame:
+        return self.stat_rows.added(STAT_KEYS, "clickCount", before)
 
+    def province_top3(self, before: int | None = None) -> DataFrame:
+        return self.top3_rows.newest_group(("date", "province"), before)
+
+    def click_trend(self, before: int | None = None) -> DataFrame:
+        return self.trend_rows.added(TREND_KEYS, "clickCount", before)
+
+    def rejected(self) -> DataFrame:
+        return self.rejected_rows.rows().select("value")
 
-def _add_counts(
-    table: SnapshotTable, batch_id: int, delta: DataFrame, keys: list[str], parts: list[Part]
-) -> None:
-    current = table.read(before=batch_id, parts=parts)
-    table.write(batch_id, upsert_add(current, delta, keys, "clickCount"))
+
+def _listed_before(batch_id: int, tables: AdTables) -> int:
+    """Up to which batch the blacklist counts for a batch: noted at its first try."""
+    used = tables.blacklist_used
+    noted = used.rows().where(F.col(BATCH) == batch_id).first()
+    if noted:
+        return noted["listed_before"]
+    newest = tables.blacklist_rows.rows().agg(F.max(BATCH)).first()[0]
+    before = 0 if newest is None else newest + 1
+    used.append(batch_id, used.spark.createDataFrame([(before,)], _USED))
+    return before
 
 
 def process_batch(
@@ -84,86 +104,37 @@ def process_batch(
 ) -> None:
     """Apply one micro-batch of ad lines to all tables."""
     lines = lines.persist()
-    rejected = rejected_ad_lines(lines)
-    if not rejected.isEmpty():
-        rejected.write.mode("overwrite").text(f"{tables.rejected}/v={batch_id}")
-
-    # Without user counts the list is kept by another stream: take its newest.
-    listed = tables.blacklist.read(before=batch_id if count_users else None)
-    clean = ads.ad_blacklist_filter(parse_ad_log(lines), listed).persist()
+    # Another stream may add to the list meanwhile; this one's own batches can't.
+    before = batch_id if count_users else _listed_before(batch_id, tables)
+    clean = ads.ad_blacklist_filter(parse_ad_log(lines), tables.blacklist(before)).persist()
     try:
-        hours = _hours(clean)
-        if hours:
-            steps = [
-                lambda: _store_stat(clean, batch_id, tables, hours),
-                lambda: _store_trend(clean, batch_id, tables, hours),
-            ]
-            if count_users:
-                steps.append(
-                    lambda: _count_users(clean, batch_id, tables, threshold, listed, hours)
-                )
-            _together(lines.sparkSession, steps)
+        tables.rejected_rows.append(batch_id, rejected_ad_lines(lines))
+        stat = ads.ad_realtime_stat(clean)
+        tables.stat_rows.append(batch_id, stat)
+        tables.trend_rows.append(batch_id, ads.ad_minute_counts(clean))
+        # only provinces with clicks in this batch change their ranking
+        touched = stat.select("date", "province").distinct()
+        current = tables.stat(before=batch_id + 1).join(touched, ["date", "province"], "left_semi")
+        tables.top3_rows.append(batch_id, ads.ad_province_top3(current))
+        if count_users:
+            _count_users(clean, batch_id, tables, threshold)
     finally:
         clean.unpersist()
         lines.unpersist()
 
 
-def _together(spark: SparkSession, steps: list[Callable[[], None]]) -> None:
-    """Run steps that share no table at once, so that their jobs fill the cluster."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inherit(step)) for step in steps]
-    for step in running:
-        step.result()
-
-
-def _without_dashes(hours: list[Part]) -> list[Part]:
-    return [(date.replace("-", ""), hour) for date, hour in hours]
-
-
-def _store_stat(clean: DataFrame, batch_id: int, tables: AdTables, hours: list[Part]) -> None:
-    days = sorted({(date,) for date, _ in _without_dashes(hours)})
-    stat = ads.ad_realtime_stat(clean)
-    _add_counts(tables.stat, batch_id, stat, ["date", "province", "city", "adid"], days)
-
-    top = ads.ad_province_top3(tables.stat.read(before=batch_id + 1, parts=days))
-    current = tables.province_top3.read(before=batch_id, parts=days)
-    tables.province_top3.write(batch_id, replace_group(current, top, ["date", "province"]))
-
-
-def _store_trend(clean: DataFrame, batch_id: int, tables: AdTables, hours: list[Part]) -> None:
-    keys = ["date", "hour", "minute", "adid"]
-    trend = ads.ad_minute_counts(clean)
-    _add_counts(tables.click_trend, batch_id, trend, keys, _without_dashes(hours))
-
-
-def _count_users(
-    clean: DataFrame,
-    batch_id: int,
-    tables: AdTables,
-    threshold: int,
-    listed: DataFrame,
-    hours: list[Part],
-) -> None:
-    """Add to the running counts, look up this batch's keys, list new users."""
-    keys = ["date", "userid", "adid"]
-    days = sorted({(date,) for date, _ in hours})
+def _count_users(clean: DataFrame, batch_id: int, tables: AdTables, threshold: int) -> None:
+    """Append the running counts of this batch's keys, list new users."""
     daily = ads.ad_user_daily_clicks(clean)
-    _add_counts(tables.user_click_count, batch_id, daily, keys, days)
-    running = tables.user_click_count.read(before=batch_id + 1, parts=days)
-    touched = running.join(daily.select(*keys), keys, "left_semi")
-    _list_users(ads.ad_blacklist_update(touched, listed, threshold), batch_id, tables)
-
-
-def _list_users(new: DataFrame, batch_id: int, tables: AdTables) -> None:
-    new = new.persist()
-    try:
-        days = tables.blacklist.parts_in(new)
-        if days:
-            current = tables.blacklist.read(before=batch_id, parts=days)
-            tables.blacklist.write(batch_id, insert_new(current, new, ["userid"]))
-    finally:
-        new.unpersist()
+    keys = list(USER_KEYS)
+    earlier = tables.user_click_count(before=batch_id).join(
+        daily.select(*keys), keys, "left_semi"
+    )
+    running = earlier.unionByName(daily).groupBy(*keys).agg(F.sum("clickCount").alias("clickCount"))
+    tables.user_rows.append(batch_id, running)
+    mine = tables.user_rows.rows().where(F.col(BATCH) == batch_id)
+    listed = tables.blacklist(before=batch_id)
+    tables.blacklist_rows.append(batch_id, ads.ad_blacklist_update(mine, listed, threshold))
 
 
 def store_user_counts(
@@ -172,17 +143,19 @@ def store_user_counts(
     tables: AdTables,
     threshold: int = ads.BLACKLIST_THRESHOLD,
 ) -> None:
-    """Take the running counts a batch changed: list users, publish the rest.
+    """Append the running counts that a batch of the state store changed, list users.
 
-    The counts include clicks of listed users. That lists the same users in
-    the same batches, since no click of a user is filtered before the user is
-    listed; rows of users listed earlier are left out here.
+    The counts include clicks of listed users. That lists the same users in the
+    same batches, since no click of a user is filtered before the user is listed;
+    rows of users listed earlier are left out here.
     """
-    listed = tables.blacklist.read(before=batch_id)
+    listed = tables.blacklist(before=batch_id)
     fresh = rows_without_key(updates, listed, "userid").persist()
     try:
-        fresh.write.mode("overwrite").parquet(f"{tables.folder}/user_count_updates/v={batch_id}")
-        _list_users(ads.ad_blacklist_update(fresh, threshold=threshold), batch_id, tables)
+        tables.user_rows.append(batch_id, fresh)
+        tables.blacklist_rows.append(
+            batch_id, ads.ad_blacklist_update(fresh, threshold=threshold)
+        )
     finally:
         fresh.unpersist()
 
@@ -200,7 +173,7 @@ def start_ad_pipeline(
 ) -> StreamingQuery:
     """Run the pipeline on a stream of lines.
 
-    The checkpoint lies next to the tables, whose versions are its batch ids.
+    The checkpoint lies next to the tables, whose batches are its batch ids.
     ``every=None`` takes what is there, in batches, and stops.
     """
     return (
@@ -218,11 +191,10 @@ def start_blacklist_query(
     tables: AdTables,
     threshold: int = ads.BLACKLIST_THRESHOLD,
     every: str | None = "5 seconds",
-    watermark: str | None = None,
 ) -> StreamingQuery:
-    """Keep the per-user counts in the state store and the blacklist as a table."""
+    """Keep the per-user counts in the state store, the counts and list as tables."""
     return (
-        user_daily_clicks_stream(parse_ad_log(lines), watermark)
+        user_daily_clicks_stream(parse_ad_log(lines))
         .writeStream.outputMode("update")
         .foreachBatch(
             lambda updates, batch_id: store_user_counts(updates, batch_id, tables, threshold)
@@ -234,8 +206,16 @@ def start_blacklist_query(
 
 
 def trailing_trend(tables: AdTables, minutes: int = ads.TREND_MINUTES) -> DataFrame:
-    """The last ``minutes`` minutes of the trend table, up to its newest row."""
-    trend = tables.click_trend.read()
+    """The last ``minutes`` minutes of the trend table, up to its newest row.
+
+    The newest day comes from partition values; only the days that the minutes
+    can reach are read for the newest minute and the counts.
+    """
+    rows = tables.trend_rows.rows()
+    newest_day = F.to_date(rows.agg(F.max("date")).scalar(), "yyyyMMdd")
+    oldest_day = F.date_format(F.date_sub(newest_day, -(-minutes // 1440)), "yyyyMMdd")
+    recent = rows.where(F.col("date") >= oldest_day)
     minute = F.to_timestamp(F.concat("date", "hour", "minute"), "yyyyMMddHHmm")
-    newest = trend.agg(F.max(minute)).scalar()
-    return trend.where(minute >= newest - F.make_dt_interval(mins=F.lit(minutes - 1)))
+    newest = recent.agg(F.max(minute)).scalar()
+    kept = recent.where(minute >= newest - F.make_dt_interval(mins=F.lit(minutes - 1)))
+    return kept.groupBy(*TREND_KEYS).agg(F.sum("clickCount").alias("clickCount"))
