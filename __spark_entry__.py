@@ -166,6 +166,10 @@ def session_aggregate(spark, d):
     return _listed_text(_aggregate(spark, d))
 
 
+def session_terms_long(spark, d):
+    return sessions.session_terms_long(_actions(spark, d))
+
+
 def session_filter(spark, d):
     return _listed_text(sessions.session_filter(_aggregate(spark, d), SEARCHERS))
 
@@ -412,6 +416,7 @@ _QUERIES = [
     page_flow_steps,
     page_flow_conversion,
     session_aggregate,
+    session_terms_long,
     session_filter,
     matching_sessions,
     sessions_of_cities,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from visitlens.sources.dimensions import AREA_LEVELS, CITIES, OTHER_LEVEL
+
 _TASK = "'task-1' AS taskid"
 
 # The shop tables, derived from events, customer and part.
@@ -40,12 +42,9 @@ products AS (
          CASE WHEN p_size % 2 = 0 THEN 'Self' ELSE 'Third Party' END AS product_status
   FROM part)
 """
-_CITIES = """
-cities(city_id, city_name, area) AS (
-  VALUES (0, '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'),
-         (4, '三亚', '华南'), (5, '武汉', '华中'), (6, '长沙', '华中'), (7, '西安', '西北'),
-         (8, '成都', '西南'), (9, '哈尔滨', '东北'))
-"""
+_CITIES = "cities(city_id, city_name, area) AS (VALUES {})".format(
+    ", ".join(f"({city_id}, '{name}', '{area}')" for city_id, name, area in CITIES)
+)
 _CLICKS = """
 clicks AS (
   SELECT make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts, epoch_us(ts) // 1000 AS ts_millis,
@@ -79,17 +78,21 @@ area_info AS (
   SELECT a.area, a.city_infos, a.product_id, a.click_count, p.product_name, p.product_status
   FROM area_counts a JOIN products p ON a.product_id = p.product_id)
 """
-_AREA_TOP = """
+_LEVELS = "levels(area, area_level) AS (VALUES {})".format(
+    ", ".join(f"('{area}', '{name}')" for name, areas in AREA_LEVELS.items() for area in areas)
+)
+_AREA_TOP = f"""
 area_top AS (
-  SELECT area,
-         CASE WHEN area IN ('华北', '华东') THEN 'A Level'
-              WHEN area IN ('华南', '华中') THEN 'B Level'
-              WHEN area IN ('西南', '西北') THEN 'C Level' ELSE 'D Level' END AS area_level,
+  SELECT area, coalesce(area_level, '{OTHER_LEVEL}') AS area_level,
          product_id, city_infos, click_count, product_name, product_status
   FROM (SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS r FROM area_info)
+  LEFT JOIN levels USING (area)
   WHERE r <= 3)
 """
-_AREA = [_ACTIONS, _CITIES, _PRODUCTS, _AREA_CLICKS, _AREA_BASIC, _AREA_COUNTS, _AREA_INFO, _AREA_TOP]
+_AREA = [
+    _ACTIONS, _CITIES, _PRODUCTS, _LEVELS, _AREA_CLICKS, _AREA_BASIC, _AREA_COUNTS, _AREA_INFO,
+    _AREA_TOP,
+]
 
 # ---- page flow
 
@@ -303,6 +306,14 @@ SQL_EQUIVALENTS = {
     "session_aggregate": _with(
         _SESSION, f"SELECT {_SESSION_COLUMNS}, {_LISTS}, {_USER_COLUMNS} FROM sessions"
     ),
+    "session_terms_long": _with(
+        [_ACTIONS],
+        """SELECT DISTINCT session_id, 'word' AS kind, search_keyword AS value
+           FROM actions WHERE search_keyword <> ''
+           UNION ALL
+           SELECT DISTINCT session_id, 'category', CAST(click_category_id AS VARCHAR)
+           FROM actions WHERE click_category_id <> -1""",
+    ),
     "session_filter": _with(
         _SESSION,
         f"SELECT {_SESSION_COLUMNS}, {_LISTS}, {_USER_COLUMNS} FROM sessions WHERE {_SEARCHERS}",

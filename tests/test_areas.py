@@ -94,3 +94,19 @@ def test_sql_form_agrees(spark):
     by_sql = area_top3_by_sql(spark, basic, products)
     assert by_sql.columns == native.columns
     assert tuples(by_sql) == tuples(native)
+
+
+def test_sql_ranking_leaves_the_session_views_alone(spark):
+    from visitlens.sources.tables import read_products
+
+    shop = spark.createDataFrame(
+        [(i, f"p{i}", "{}") for i in range(9)],
+        "product_id bigint, product_name string, extend_info string",
+    )
+    shop.createOrReplaceTempView("product_info")
+    clicked = spark.createDataFrame(
+        [("x", 1, "c", 1)], "area string, city_id bigint, city_name string, product_id bigint"
+    )
+    assert area_top3_by_sql(spark, clicked, shop.where("product_id < 5")).count() == 1
+    assert read_products(spark).count() == 9
+    spark.catalog.dropTempView("product_info")

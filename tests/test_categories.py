@@ -67,3 +67,14 @@ def test_only_given_sessions_count(spark):
     kept = spark.createDataFrame([("a",)], "session_id string")
     got = categories.category_full_counts(categories.counts_of_sessions(rows, kept))
     assert tuples(got) == [(1, 1, 0, 0)]
+
+
+def test_many_categories_are_not_forced_into_a_broadcast(spark):
+    counts = spark.range(3).selectExpr(
+        "'s' AS session_id", "id AS category_id", "id + 1 AS click_count", "0L AS order_count",
+        "0L AS pay_count",
+    )
+    wanted = spark.range(200_000).withColumnRenamed("id", "category_id")
+    top = categories.top_sessions_per_category(counts, wanted)
+    assert top.count() == 3
+    assert "broadcast" not in top._jdf.queryExecution().analyzed().toString().lower()

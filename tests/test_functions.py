@@ -82,3 +82,12 @@ def test_params_from_json(quote):
     assert (params.start_age, params.end_age) == (20, 50)
     assert (params.professionals, params.cities, params.sex) == ((), ("a", "b"), None)
     assert (params.category_ids, params.page_flow) == ((5, 6), (1, 2, 3))
+
+
+def test_bare_keys_leave_strings_alone():
+    from visitlens.params import TaskParams
+
+    given = TaskParams.from_json(
+        '{startDate:"2018-06-01", endDate: "2018-06-30", keywords:"a,b:c", "sex":"x{y:z"}'
+    )
+    assert given.keywords == ("a", "b:c") and given.sex == "x{y:z"

@@ -2,7 +2,7 @@
 
 A session may hold a very large part of all actions. Times, counts and filter
 flags are fixed-size and combine before the shuffle. The word and category
-lists are deduplicated by (session, word, category) first, so the task that
+lists are deduplicated by (session, kind, value) first, so the task that
 builds a session's list gets each distinct entry, not each action.
 """
 
@@ -102,20 +102,62 @@ def session_facts(
     return _with_lengths(grouped, *flags)
 
 
-def session_terms(actions: DataFrame) -> DataFrame:
-    """Sorted distinct search words and clicked categories of each session."""
-    distinct = actions.select(*_step_columns()).select("session_id", "word", "category").distinct()
-    return distinct.groupBy("session_id").agg(
+FACT, WORD, CATEGORY = 0, 1, 2
+
+
+def _items(actions: DataFrame) -> DataFrame:
+    """One row for each action, and one for each word and category it names.
+
+    Words and categories come as rows of their own, so a session has as many
+    distinct ones as words plus categories, not words times categories.
+    """
+    word, category = F.col("word"), F.col("category")
+
+    def item(kind: int, w: Column, c: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), w.alias("word"), c.alias("category"))
+
+    no_word, no_category = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    named = F.array(
+        item(FACT, no_word, no_category), item(WORD, word, no_category),
+        item(CATEGORY, no_word, category),
+    )
+    told = F.filter(
+        named,
+        lambda i: (i["kind"] == FACT) | i["word"].isNotNull() | i["category"].isNotNull(),
+    )
+    steps = actions.select(*_step_columns())
+    return steps.select("session_id", "user_id", "ts", F.explode(told).alias("item")).select(
+        "session_id", "user_id", "ts", "item.*"
+    )
+
+
+def _lists() -> list[Column]:
+    return [
         F.array_sort(F.collect_set("word")).alias("search_keywords"),
         F.array_sort(F.collect_set("category")).alias("click_category_ids"),
-    )
+    ]
+
+
+def session_terms(actions: DataFrame) -> DataFrame:
+    """Sorted distinct search words and clicked categories of each session."""
+    distinct = _items(actions).select("session_id", "kind", "word", "category").distinct()
+    return distinct.groupBy("session_id").agg(*_lists())
+
+
+def session_terms_long(actions: DataFrame) -> DataFrame:
+    """The same as one row for each (session, word) and (session, category), for
+    sessions whose lists don't fit a row."""
+    items = _items(actions).where(F.col("kind") != FACT)
+    value = F.coalesce("word", F.col("category").cast("string"))
+    kind = F.when(F.col("kind") == WORD, "word").otherwise("category")
+    return items.select("session_id", kind.alias("kind"), value.alias("value")).distinct()
 
 
 def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
     """One row per session of a known user: who, when, how long, what."""
     distinct = (
-        actions.select(*_step_columns())
-        .groupBy("session_id", "word", "category")
+        _items(actions)
+        .groupBy("session_id", "kind", "word", "category")
         .agg(
             F.min("user_id").alias("user_id"),
             F.min("ts").alias("start_time"),
@@ -127,9 +169,8 @@ def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
         F.min("user_id").alias("user_id"),
         F.min("start_time").alias("start_time"),
         F.max("end_time").alias("end_time"),
-        F.sum("steps").alias("step_length"),
-        F.array_sort(F.collect_set("word")).alias("search_keywords"),
-        F.array_sort(F.collect_set("category")).alias("click_category_ids"),
+        F.sum(F.when(F.col("kind") == FACT, F.col("steps"))).alias("step_length"),
+        *_lists(),
     )
     return with_user(
         _with_lengths(grouped, "search_keywords", "click_category_ids"), users
