@@ -30,11 +30,17 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     Of rows that repeat an id one stays. Rows without an id stay.
     """
     del spark, folder
+    docs = docs.select(*COLUMNS)
     copies = near_dup.near_duplicates(docs, words=DUPLICATE_WORDS)
     gone = copies.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    known = left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return known.union(left.where(F.col("doc_id").isNull()))
+    left = docs.join(gone, "doc_id", "left_anti")
+    # ids hardly repeat, so only the rows of those that do are shuffled by id
+    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
+    repeated = ids.where("count > 1").select("doc_id")
+    again = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").select(*COLUMNS).union(
+        again.select(*COLUMNS)
+    )
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
