@@ -1,0 +1,77 @@
+import html as entities
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from visitlens.llm import html_extract, queries
+from visitlens.llm.html_extract import main_text
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
+<header><h1>Site name</h1><nav><ul><li><a href="/">Home</a><li><a>About</a></ul></nav></header>
+<div id="page" class="has-sidebar"><div class="content">
+<h2>The &amp; title</h2><p>First   paragraph with
+several <b>bold</b> words&nbsp;in it, long enough to count.
+<p class="ad">Buy now and save a lot of money with this great offer for everyone!
+<p>Second paragraph &lt;here&gt; with many more words than tags, as articles have.</p>
+<ul><li>one<li>two</ul><form><label>Mail</label><input name="q"></form>
+<div class="share-buttons">Share this</div><p>End.</p></div>
+<div class="sidebar"><p>Popular posts are listed here with quite a few words in a row.</p></div></div>
+<section id="comments"><p>I do not agree with anything that was written above, not at all.</p></section>
+<div role="contentinfo">Imprint</div><footer>&copy; somebody</footer><script>if(a<b){"</p>"}</script>
+</body></html>"""
+TEXT = [
+    "The & title", "First paragraph with several bold words in it, long enough to count.",
+    "Second paragraph <here> with many more words than tags, as articles have.", "one", "two", "End.",
+]
+
+
+def test_page_without_article_element():
+    assert main_text(PAGE) == "\n\n".join(TEXT)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (None, ""), ("", ""), ("plain &lt;text&gt;", "plain <text>"), ("<p>a<p>b", "a\n\nb"),
+        ("<article><p>x y", "x y"), ("<p>cut <a hre", "cut"), ("<p>a &am", "a &am"),
+        ("<nav>menu</nav><article><h1>H</h1><p>A b.</p><article class='comment'><p>No!</p></article>"
+         "</article><p>out</p>", "H\n\nA b."),
+        ("<article><header><h1>H</h1></header><p>t</p><aside>s</aside></article>", "H\n\nt"),
+        ("<main><p>a</p><div style='display: none'>b</div><div hidden>c</div></main>", "a"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a b\n\nc"), ("<p>a</div></p></b>b", "a\n\nb"),
+        ("<article>" + "<div>" * 2000 + "deep", "deep"), ("<p>a<br>b<!-- c --></p>", "a b"),
+    ],
+)
+def test_cases(html, text):
+    assert main_text(html) == text
+
+
+def test_smoothing_and_threshold():
+    flat = html_extract.smoothed(np.full(7, 3.0))
+    assert np.allclose(flat, 3.0)
+    values = np.array([1.0, 2.0, 1.0, 50.0, 60.0])
+    assert 2.0 < html_extract.cluster_threshold(values) < 50.0
+    assert html_extract.cluster_threshold(np.array([4.0, 4.0])) == 4.0
+
+
+def test_query_keeps_the_whole_article(spark):
+    pages = {r.page_id: r for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
+    rows = queries.op1_html(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        whole = re.sub(r"<[A-Za-z/!?][^<>]*\Z", "", pages[r.page_id].html or "")
+        body = re.search(r"<article>(.*?)(?:</article>|\Z)", whole, re.DOTALL)[1].replace("<br>", " ")
+        blocks = re.split(r"</?(?:p|h\d|li|ul|div|blockquote)[^>]*>", body)
+        plain = (" ".join(entities.unescape(re.sub("<[^>]+>", "", b)).split()) for b in blocks)
+        assert r.text == "\n\n".join(b for b in plain if b)
+        assert r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+def test_frames(spark):
+    rows = [(1, None, None), (None, "u", "<p>x"), (1, "u", "<p>" + "long " * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_extract.extract(pages.withColumn("text", F.lit("clash"))).collect()
+    assert sorted((r.n_chars for r in got)) == [0, 1, 499_999]
+    assert html_extract.extract(pages.where("false")).count() == 0

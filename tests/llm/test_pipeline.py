@@ -1,0 +1,65 @@
+import importlib
+import sys
+
+import corpus_pipeline
+import pytest
+
+from visitlens.llm import mixing, queries, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_each_stage_on_what_its_predecessor_kept(spark, sf_docs):
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "minhash", "pii", "mixing", "pieces"]
+    docs, kept = sf_docs, [{r.doc_id: r.text for r in sf_docs.collect()}]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.save(stage(spark, docs, SF))
+        assert docs.columns == list(corpus_pipeline.COLUMNS)
+        rows = docs.collect()
+        assert all(r.n_chars == len(r.text) for r in rows)
+        kept.append({r.doc_id: r.text for r in rows})
+        assert kept[-1].keys() <= kept[-2].keys()
+    model = toxicity.learn(sf_docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    reader = toxicity.Reader(model)
+    assert kept[1].keys() == {i for i, t in kept[0].items() if reader.score(t) < 0.3}
+    assert len(kept[2]) < len(kept[1])
+    assert any("<EMAIL>" in t for t in kept[3].values())
+    assert "@mail" not in "".join(kept[3].values())
+    encoded = corpus_pipeline.encode_pieces(spark, docs, SF).collect()
+    assert len(encoded) == docs.count() and all(r.n_pieces == len(r.piece_ids) for r in encoded)
+    words = sum(r["n"] for r in docs.select(mixing.word_count(docs.text).alias("n")).collect())
+    assert words > 0
+
+
+def test_run_gives_the_last_stage(spark):
+    rows = corpus_pipeline.run(spark, SF)
+    assert rows.columns == ["doc_id", "lang", "source", "piece_ids", "n_pieces"]
+    assert rows.count() > 0
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
+def test_stages_take_nulls_and_nothing(spark, documents, stage):
+    docs = documents((None, None, None), (1, "", None), (1, "a b c d e", "x"), (2, "a b c d e", "x"))
+    assert stage(spark, docs, SF).count() >= 0
+    assert stage(spark, documents(), SF).count() == 0
+
+
+def test_entry_works_without_this_part(monkeypatch):
+    import __spark_entry__ as entry
+
+    assert {"pipeline", *queries.queries()} <= entry.queries().keys()
+
+    class Gone:
+        def find_spec(self, name, *_):
+            if name == "corpus_pipeline" or name.startswith("visitlens.llm"):
+                raise ModuleNotFoundError(name=".".join(name.split(".")[:2]))
+
+    kept = {n: m for n, m in sys.modules.items() if n.startswith(("visitlens.llm", "corpus_pipeline"))}
+    for name in kept:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setattr(sys, "meta_path", [Gone(), *sys.meta_path])
+    alone = importlib.reload(entry)
+    assert alone.queries().keys() == set(alone.oracle_sql())
+    monkeypatch.undo()
+    assert "pipeline" in importlib.reload(entry).queries()
