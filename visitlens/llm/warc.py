@@ -39,7 +39,9 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 # An empty member: header, empty deflate block, checksum 0, size 0.
 SEPARATOR = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00" + bytes(8)
 _MAGIC = b"\x1f\x8b\x08"
-_CANDIDATE = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.")
+# A record cut off in its middle leaves the next version line inside a line.
+_VERSION = re.compile(rb"WARC/1\.[0-9]\r\n")
+_CANDIDATE = re.compile(rb"\x1f\x8b\x08|" + _VERSION.pattern)
 _STEP = 1 << 16
 
 RECORD_FIELDS = (
@@ -125,7 +127,7 @@ class Damaged(ValueError):
 
 def _parse(data: bytes, at: int) -> tuple[dict, int]:
     """The record that starts at ``at`` and its end."""
-    if not re.compile(rb"WARC/1\.[0-9]\r\n").match(data, at):
+    if not _VERSION.match(data, at):
         raise Damaged("version")
     middle = data.find(b"\r\n\r\n", at)
     if middle < 0:
