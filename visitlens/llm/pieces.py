@@ -28,12 +28,13 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlens.llm.shingles import mixed
 
@@ -55,6 +56,13 @@ def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return values[at + np.repeat(starts - (ends - sizes), sizes)]
 
 
+def numbered(words: list[str]) -> tuple[np.ndarray, list[str]]:
+    """(number of each word, the distinct words in the order of their numbers)."""
+    number = defaultdict(count().__next__)
+    codes = np.fromiter((number[w] for w in words), dtype=np.int64, count=len(words))
+    return codes, list(number)
+
+
 def _hash(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of (n, length) code points, and the inverse powers."""
     length = chars.shape[1]
@@ -266,7 +274,7 @@ class PieceModel:
             own = _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
             words += own
             counts.append(len(own))
-        codes, distinct = pd.factorize(np.array([*words, ""], dtype=object)[:-1])
+        codes, distinct = numbered(words)
         new = self._ids_of([w for w in distinct if w not in self._words])
         told = [self._words.get(w) or new[w] for w in distinct]
         if len(self._words) < REMEMBERED:  # the first words are the frequent ones
@@ -326,7 +334,7 @@ def encode(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",)) ->
                 )
 
     kept = docs.select(*keep).schema
-    return chosen.mapInArrow(run, kept.add("piece_ids", "array<int>"))
+    return chosen.mapInArrow(run, kept.add("piece_ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -345,4 +353,4 @@ def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",))
             )
 
     kept = encoded.select(*keep).schema
-    return chosen.mapInArrow(run, kept.add("text", "string"))
+    return chosen.mapInArrow(run, kept.add("text", T.StringType()))
