@@ -38,6 +38,7 @@ THRESHOLD = 2  # no user of the test tables clicks one ad 100 times a day
 TREND_DAYS = 5
 HALF = "2024-01-16"  # where the merge queries split "current" from "delta"
 
+# The keys of the job parameters.
 PARAMS = TaskParams.from_dict(
     {
         "startDate": "2024-01-01",

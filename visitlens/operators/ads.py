@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.functions.times import date_key, date_text, hour_text, minute_text
+from visitlens.functions.times import date_key, date_text, hour_text, minute_key, minute_text
 from visitlens.operators.joins import rows_without_key
 
 # Clicks on one ad in one day that list a user, ads per
@@ -128,7 +128,7 @@ def ad_trend_windows(clicks: DataFrame, minutes: int = TREND_MINUTES) -> DataFra
     minute = F.col("slot.start").alias("ts")
     windows = per_minute.select(seen, minute, "ad_id", "clickCount")
     return windows.select(
-        F.date_format("seen.end", "yyyyMMddHHmm").alias("window_end"),
+        minute_key(F.col("seen.end")).alias("window_end"),
         *_trend_columns(F.col("ts")),
         "clickCount",
     )

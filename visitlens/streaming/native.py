@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from visitlens.functions.times import date_key, date_text, hour_text, minute_text
+from visitlens.functions.times import date_key, date_text, hour_text, minute_key, minute_text
 from visitlens.operators.ads import TREND_MINUTES
 from visitlens.sinks.batches import BatchTable
 
@@ -70,7 +70,7 @@ def trend_windows_stream(clicks: DataFrame, minutes: int = TREND_MINUTES) -> Dat
     minute = F.date_trunc("minute", "ts").alias("ts")
     ts = F.col("ts")
     return clicks.groupBy(seen, minute, "ad_id").agg(F.count(F.lit(1)).alias("clickCount")).select(
-        F.date_format("seen.end", "yyyyMMddHHmm").alias("window_end"),
+        minute_key(F.col("seen.end")).alias("window_end"),
         date_key(ts).alias("date"), hour_text(ts).alias("hour"), minute_text(ts).alias("minute"),
         F.col("ad_id").alias("adid"), "clickCount",
     )
