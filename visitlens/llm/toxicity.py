@@ -245,7 +245,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
         for r in found
         if _surprise(r["toxic"], r["n"] - r["toxic"], in_toxic / in_all) > bound
     }
-    rows_seen = _weigh(known, Model(lexicon), "toxic").collect()
+    rows_seen = sorted(_weigh(known, Model(lexicon), "toxic").collect())  # reruns agree
     x = np.array([features(r["weight"], r["words"]) for r in rows_seen])
     y = np.array([float(r["toxic"]) for r in rows_seen])
     return Model(lexicon, tuple(_fit(x, y).tolist()))
