@@ -34,8 +34,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _is_star(edges: DataFrame) -> bool:
+    """True if each smaller end is the end of no other edge."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    mixed = (
+        ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        .where("up + down > 1")
+    )
+    return mixed.isEmpty()
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -49,9 +56,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .distinct()
     )
-    state, last = _state(edges), None
-    while state != last:
-        edges = save(_small_star(save(_large_star(edges).distinct())).distinct())
-        state, last = _state(edges), state
+    while not _is_star(edges):
+        edges = save(_small_star(save(_large_star(edges))).distinct())
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -8,9 +8,13 @@
    confirmed on their full sets. That joins large groups of copies in one pass,
    with as many checks as members.
 4. Members of a bucket that are still in different components are compared by
-   their signatures, in blocks; those that may be similar are confirmed on the
-   full sets. No bucket is cut off.
-5. Components by large-star and small-star.
+   their signatures, in blocks. Components with similar signatures form a
+   cluster; a block names only which components it joins to clusters.
+5. In a cluster all pairs of different components are compared, each once, by
+   signature and, if that agrees, on the full sets, in blocks that different tasks
+   may hold. A block gives only the links that join its components. No bucket or
+   cluster is cut off, and no list of pairs is written.
+6. Components by large-star and small-star after steps 3, 4 and 5.
 
 Cases: a null or empty text, or one without words, has an empty set and is
 linked with nothing. Rows with the same id count as linked. A row with a null id
@@ -37,8 +41,8 @@ PERCENT = 80
 #: Pairs whose signatures agree in fewer places are not similar: 5 standard
 #: deviations below what a similarity of 0.8 gives.
 LEAST_AGREEING = 80
-#: Members of a bucket that one task compares with as many others at once.
-BLOCK = 256
+#: Members of a bucket, or a cluster, that a task compares with as many others at once.
+BLOCK, CLUSTER_BLOCK = 256, 1024
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,63 +124,119 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return save(both.mapInArrow(_confirm(words), "a long, b long"))
 
 
-def _similar_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components whose signatures agree, block by block.
+def _rows(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """Columns of a batch as arrays, the signatures as a matrix of bytes."""
+    raw = b"".join(batch.column("signature").to_pylist())
+    return {
+        c: batch.column(c).to_numpy(zero_copy_only=False)
+        for c in batch.schema.names if c != "signature"
+    } | {"signature": np.frombuffer(raw, np.uint8).reshape(-1, HASHES)}
 
-    Rows come sorted by (key, low, high); rows of one such block may go on in
-    the next batch, so the last block of a batch waits for it.
-    """
-    names = ("key", "low", "high", "block", "node", "component")
-    waiting: dict[str, np.ndarray] | None = None
-
-    def rows(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        raw = b"".join(batch.column("signature").to_pylist())
-        return {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names} | {
-            "signature": np.frombuffer(raw, np.uint8).reshape(-1, HASHES)
-        }
-
-    def compare(r: dict[str, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
-        left, right = [], []
-        sizes = ends - starts
-        group = np.repeat(np.arange(len(starts)), sizes)
-        for apart in range(1, int(sizes.max(initial=0))):
-            i = np.flatnonzero(group[apart:] == group[:-apart])
-            j = i + apart
-            # within a pair of different blocks, only across the two
-            across = (r["low"][i] == r["high"][i]) | (r["block"][i] != r["block"][j])
-            keep = across & (r["component"][i] != r["component"][j])
-            i, j = i[keep], j[keep]
-            agreeing = (r["signature"][i] == r["signature"][j]).sum(axis=1)
-            found = agreeing >= LEAST_AGREEING
-            left.append(r["node"][i[found]])
-            right.append(r["node"][j[found]])
-        one = np.concatenate([np.empty(0, np.int64), *left])
-        two = np.concatenate([np.empty(0, np.int64), *right])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))], ["a", "b"]
-        )
 
-    def blocks(r: dict[str, np.ndarray]) -> np.ndarray:
-        new = np.zeros(len(r["key"]), dtype=bool)
-        new[:1] = True
-        for c in ("key", "low", "high"):
-            new[1:] |= r[c][1:] != r[c][:-1]
-        return np.flatnonzero(new)
+def _blocks(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """(rows of whole blocks, number of each row's block).
 
+    Rows come sorted by (key, low, high); a block may go on in the next batch, so
+    the last one of a batch waits for it.
+    """
+    waiting: dict[str, np.ndarray] | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = rows(batch)
+        now = _rows(batch)
         if waiting is not None:
             now = {c: np.concatenate((waiting[c], now[c])) for c in now}
-        starts = blocks(now)
-        last = starts[-1]
+        new = np.zeros(len(now["key"]), dtype=bool)
+        for c in ("key", "low", "high"):
+            new[1:] |= now[c][1:] != now[c][:-1]
+        number = np.cumsum(new)
+        last = int(np.searchsorted(number, number[-1]))
         if last:
-            yield compare(now, starts[:-1], starts[1:])
+            yield {c: v[:last] for c, v in now.items()}, number[:last]
         waiting = {c: v[last:].copy() for c, v in now.items()}
     if waiting is not None:
-        n = len(waiting["key"])
-        yield compare(waiting, np.array([0]), np.array([n]))
+        yield waiting, np.zeros(len(waiting["key"]), dtype=np.int64)
+
+
+def _similar(
+    r: dict[str, np.ndarray], number: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows i and j of one block, of different components, whose signatures agree,
+    and in how many places."""
+    most = int(np.bincount(number).max(initial=0))
+    for apart in range(1, most):
+        i = np.flatnonzero(number[apart:] == number[:-apart])
+        j = i + apart
+        # within a pair of different blocks, only across the two
+        across = (r["low"][i] == r["high"][i]) | (r["block"][i] != r["block"][j])
+        use = across & (r["component"][i] != r["component"][j])
+        i, j = i[use], j[use]
+        agreeing = (r["signature"][i] == r["signature"][j]).sum(axis=1)
+        found = agreeing >= LEAST_AGREEING
+        if found.any():
+            yield i[found], j[found], agreeing[found]
+
+
+def _clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(component, smaller component of its cluster) as blocks of buckets tell."""
+    for r, number in _blocks(batches):
+        components, own = np.unique(r["component"], return_inverse=True)
+        ends = [(own[i], own[j]) for i, j, _ in _similar(r, number)]
+        if not ends:
+            continue
+        i, j = (np.concatenate(e) for e in zip(*ends, strict=True))
+        least, before = np.arange(len(components)), None
+        while before is None or (least != before).any():
+            before = least.copy()
+            np.minimum.at(least, i, before[j])
+            np.minimum.at(least, j, before[i])
+        moved = np.flatnonzero(least != np.arange(len(components)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(components[moved]), pa.array(components[least[moved]])], ["a", "b"]
+        )
+
+
+def _links_in_clusters(words: int):
+    """Confirmed links that join components, from blocks of clusters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, number in _blocks(batches):
+            told = list(_similar(r, number))
+            if not told:
+                continue
+            i, j, agreeing = (np.concatenate(t) for t in zip(*told, strict=True))
+            _, own = np.unique(r["component"], return_inverse=True)
+            joined = list(range(int(own.max()) + 1))
+
+            def root(c: int) -> int:
+                while joined[c] != c:
+                    joined[c] = joined[joined[c]]
+                    c = joined[c]
+                return c
+
+            sets: dict[int, np.ndarray] = {}
+            links: list[tuple[int, int]] = []
+            order = np.argsort(-agreeing, kind="stable")  # likely links come first
+            for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+                one, two = root(int(own[a])), root(int(own[b]))
+                if one == two:  # joined already: no further link is needed
+                    continue
+                for row in (a, b):
+                    if row not in sets:
+                        sets[row] = shingles(r["text"][row], words)
+                common = overlap(sets[a], sets[b])
+                if 100 * common >= PERCENT * (len(sets[a]) + len(sets[b]) - common):
+                    joined[max(one, two)] = min(one, two)
+                    links.append((int(r["node"][a]), int(r["node"][b])))
+            if links:
+                ends = list(zip(*links, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(e, pa.int64()) for e in ends], ["a", "b"]
+                )
+
+    return run
 
 
 def _leading_links(shared: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -187,42 +247,60 @@ def _leading_links(shared: DataFrame, texts: DataFrame, words: int) -> DataFrame
     return _confirmed(pairs, texts, words)
 
 
-def _open_links(
-    shared: DataFrame, components: DataFrame, nodes: DataFrame, texts: DataFrame, words: int
-) -> DataFrame:
-    """Confirmed links between members of a bucket in different components."""
-    placed = save(
-        shared.select("key", "node")
-        .join(components, "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("component"))
+def _in_blocks(members: DataFrame, size: int, *more: str) -> DataFrame:
+    """Members (key, node, component, signature, members) dealt to blocks of about
+    ``size``: each member meets every block of its key, its own included."""
+    dealt = members.withColumn("blocks", F.ceil(F.col("members") / size).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
-    open_keys = save(
+    spread = dealt.withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    ).select(
+        "key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
+        "block", "node", "component", "signature", *more,
+    )
+    return spread.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+
+def _several_components(placed: DataFrame) -> DataFrame:
+    """(key, members) of the keys whose members are in different components."""
+    return (
         placed.groupBy("key")
         .agg(
             F.min("component").alias("one"), F.max("component").alias("other"),
             F.count("*").alias("members"),
         )
-        .where("one != other")
-        .select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        .where("one != other").select("key", "members")
     )
+
+
+def _open_links(
+    shared: DataFrame, components: DataFrame, nodes: DataFrame, texts: DataFrame, words: int
+) -> DataFrame:
+    """Confirmed links between nodes in different components."""
+    # the lowest byte of each minimum is enough to compare by
     small = F.expr(f"transform(sequence(0, {HASHES - 1}), i -> substring(signature, 4 * i + 1, 1))")
-    short = nodes.select("node", F.array_join(F.transform(small, F.hex), "").alias("signature"))
-    members = save(placed.join(open_keys, "key"))
-    signed = members.join(
-        short.select("node", F.unhex("signature").alias("signature")), "node"
-    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # each member meets every block of its bucket, its own included
-    spread = signed.withColumn(
-        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    ).select(
-        "key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
-        "block", "node", "component", "signature",
+    short = nodes.select(
+        "node", F.unhex(F.array_join(F.transform(small, F.hex), "")).alias("signature")
     )
-    sorted_blocks = spread.repartition("key", "low", "high").sortWithinPartitions(
-        "key", "low", "high"
+    placed = save(
+        shared.select("key", "node")
+        .join(components, "node", "left")
+        .select("key", "node", F.coalesce("component", "node").alias("component"))
     )
-    pairs = save(sorted_blocks.mapInArrow(_similar_in_blocks, "a long, b long").distinct())
-    return _confirmed(pairs, texts, words)
+    members = save(placed.join(save(_several_components(placed)), "key")).join(short, "node")
+    near = _in_blocks(members, BLOCK).mapInArrow(_clusters, "a long, b long")
+    cluster = save(connected_components(near)).select(
+        F.col("node").alias("component"), F.col("component").alias("key")
+    )
+    of_node = placed.select("node", "component").distinct().join(cluster, "component")
+    in_cluster = save(of_node.select("key", "node", "component"))
+    with_texts = (
+        in_cluster.join(save(_several_components(in_cluster)), "key")
+        .join(short, "node").join(texts.withColumnRenamed("id", "node"), "node")
+    )
+    blocks = _in_blocks(with_texts, CLUSTER_BLOCK, "text")
+    return save(blocks.mapInArrow(_links_in_clusters(words), "a long, b long"))
 
 
 def near_duplicates(
@@ -257,9 +335,11 @@ def near_duplicates(
     wanted = save(shared.select(F.col("node").alias("id")).distinct())
     texts = save(named.join(wanted, "id", "left_semi"))
     # rows with one id but other texts are linked by their id
-    first = save(_leading_links(shared, texts, words))
-    second = _open_links(shared, connected_components(first), nodes, texts, words)
-    components = connected_components(first.union(second))
+    first = _leading_links(shared, texts, words)
+    found = save(connected_components(first))
+    components = connected_components(
+        first.union(_open_links(shared, found, nodes, texts, words))
+    )
     of_digest = save(
         nodes.select("digest", "node")
         .join(components, "node", "left")
