@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.llm import mixing, near_dup, pieces, pii, toxicity
-from visitlens.llm.queries import DUPLICATE_WORDS, PIECE_MODEL, table
+from visitlens.llm.queries import PIECE_MODEL, table
 from visitlens.llm.scratch import save
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,11 +27,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id.
 
+    Shingles are of five words, the operator's default; only op9_minhash takes four.
     Of rows that repeat an id one stays. Rows without an id stay.
     """
     del spark, folder
     docs = docs.select(*COLUMNS)
-    copies = near_dup.near_duplicates(docs, words=DUPLICATE_WORDS)
+    copies = near_dup.near_duplicates(docs)
     gone = copies.where(~F.col("kept")).select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti")
     # ids hardly repeat, so only the rows of those that do are shuffled by id

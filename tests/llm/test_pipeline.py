@@ -4,7 +4,7 @@ import sys
 import corpus_pipeline
 import pytest
 
-from visitlens.llm import mixing, queries, toxicity
+from visitlens.llm import mixing, near_dup, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,6 +45,17 @@ def test_stages_take_nulls_and_nothing(spark, documents, stage):
     assert stage(spark, documents(), SF).count() == 0
 
 
+def test_duplicates_are_those_of_five_words(spark, documents):
+    """One changed word of 40: 33 of 41 shingles of four words are common, 31 of 41 of five."""
+    words = [f"w{i}" for i in range(40)]
+    one, two = " ".join(words), " ".join([*words[:20], "other", *words[21:]])
+    far = documents((1, one), (2, two))
+    assert [r.kept for r in near_dup.near_duplicates(far, words=4).orderBy("doc_id").collect()] == [True, False]
+    assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, far, SF).collect()} == {1, 2}
+    near = documents((1, one), (2, one + " end"))
+    assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, near, SF).collect()} == {1}
+
+
 def test_entry_works_without_this_part(monkeypatch):
     import __spark_entry__ as entry
 
