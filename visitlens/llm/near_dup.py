@@ -2,8 +2,8 @@
 
 1. Documents with equal shingle sets become one node (equality is a link).
 2. ``HASHES`` universal hash minima per node; ``BANDS`` bands of ``ROWS`` minima
-   each. At a similarity of 0.8 two nodes miss each other in all bands with a
-   probability below 1e-6.
+   each, no minimum in two bands. At a similarity of 0.8 two nodes miss each other
+   in all bands with a probability below 1e-6.
 3. In every bucket of a band the members are held against one leading member and
    confirmed on their full sets. That joins large groups of copies in one pass,
    with as many checks as members.
@@ -35,53 +35,57 @@ from visitlens.llm.components import connected_components
 from visitlens.llm.scratch import save
 from visitlens.llm.shingles import SHINGLE_WORDS, mixed, overlap, shingles
 
-HASHES, BANDS, ROWS = 128, 48, 6
+BANDS, ROWS = 48, 6
+HASHES = BANDS * ROWS
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Pairs whose signatures agree in fewer places are not similar: 5 standard
-#: deviations below what a similarity of 0.8 gives.
-LEAST_AGREEING = 80
+#: The first minima are the signature that pairs are compared by. Those that agree
+#: in fewer places are not similar: at 0.8 that has a probability of 3e-8.
+COMPARED, LEAST_AGREEING = 128, 76
 #: Members of a bucket, or a cluster, that a task compares with as many others at once.
 BLOCK, CLUSTER_BLOCK = 256, 1024
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
-_BANDS = np.stack([_rng.choice(HASHES, ROWS, replace=False) for _ in range(BANDS)])
 
 
-def signature(values: np.ndarray) -> np.ndarray:
+def minima(values: np.ndarray) -> np.ndarray:
     """The minima of a non-empty set under all hashes, as unsigned 32-bit values."""
     low = np.full(HASHES, 2**32 - 1, dtype=np.uint64)
-    for at in range(0, len(values), 1024):
-        hashed = (values[at : at + 1024, None] * _MULTIPLY + _ADD) >> np.uint64(32)
+    for at in range(0, len(values), 256):
+        hashed = (values[at : at + 256, None] * _MULTIPLY + _ADD) >> np.uint64(32)
         np.minimum(low, hashed.min(axis=0), out=low)
     return low.astype(np.uint32)
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """(n, BANDS) bucket keys as signed 64-bit values."""
-    minima = signatures[:, _BANDS].astype(np.uint64)
-    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), minima.shape[:2]).copy()
+    bands = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), bands.shape[:2]).copy()
     for i in range(ROWS):
-        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + minima[:, :, i])
+        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, i])
     return keys.view(np.int64)
 
 
 def _describe(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, signatures = [], [], []
+            sizes, digests, lows = [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingles(text, words)
                 sizes.append(len(values))
                 full = len(values) > 0
                 digests.append(blake2b(values.tobytes(), digest_size=16).digest() if full else None)
-                signatures.append(signature(values).tobytes() if full else None)
+                lows.append(minima(values) if full else None)
+            keys = iter(band_keys(np.array([m for m in lows if m is not None], np.uint32)))
+            bands = [None if m is None else next(keys).tobytes() for m in lows]
+            # the lowest byte of a minimum is enough to compare by
+            short = [None if m is None else m[:COMPARED].astype(np.uint8).tobytes() for m in lows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-                ["id", "n_shingles", "digest", "signature"],
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                 pa.array(bands, pa.binary()), pa.array(short, pa.binary())],
+                ["id", "n_shingles", "digest", "bands", "signature"],
             )
 
     return run
@@ -89,10 +93,9 @@ def _describe(words: int):
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = b"".join(batch.column("signature").to_pylist())
-        keys = band_keys(np.frombuffer(raw, np.uint32).reshape(-1, HASHES))
+        keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
         nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], ["key", "node"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["key", "node"])
 
 
 def _confirm(words: int):
@@ -130,7 +133,7 @@ def _rows(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     return {
         c: batch.column(c).to_numpy(zero_copy_only=False)
         for c in batch.schema.names if c != "signature"
-    } | {"signature": np.frombuffer(raw, np.uint8).reshape(-1, HASHES)}
+    } | {"signature": np.frombuffer(raw, np.uint8).reshape(-1, COMPARED)}
 
 
 def _blocks(
@@ -278,11 +281,7 @@ def _open_links(
     shared: DataFrame, components: DataFrame, nodes: DataFrame, texts: DataFrame, words: int
 ) -> DataFrame:
     """Confirmed links between nodes in different components."""
-    # the lowest byte of each minimum is enough to compare by
-    small = F.expr(f"transform(sequence(0, {HASHES - 1}), i -> substring(signature, 4 * i + 1, 1))")
-    short = nodes.select(
-        "node", F.unhex(F.array_join(F.transform(small, F.hex), "")).alias("signature")
-    )
+    short = nodes.select("node", "signature")
     placed = save(
         shared.select("key", "node")
         .join(components, "node", "left")
@@ -312,17 +311,18 @@ def near_duplicates(
     )
     described = save(
         named.mapInArrow(
-            _describe(words), "id long, n_shingles long, digest binary, signature binary"
+            _describe(words),
+            "id long, n_shingles long, digest binary, bands binary, signature binary",
         )
     )
     usable = described.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     nodes = save(
         usable.groupBy("digest")
-        .agg(F.min(F.struct("id", "signature")).alias("first"))
-        .select("digest", F.col("first.id").alias("node"), "first.signature")
+        .agg(F.min(F.struct("id", "bands", "signature")).alias("first"))
+        .select("digest", F.col("first.id").alias("node"), "first.bands", "first.signature")
     )
     bands = save(
-        nodes.select("node", "signature").mapInArrow(_bands, "key long, node long")
+        nodes.select("node", "bands").mapInArrow(_bands, "key long, node long")
     )
     leader = F.min(F.struct(F.xxhash64("node").alias("order"), "node"))
     met = save(
