@@ -28,19 +28,33 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     """One document of each group of near-duplicates, the one with the smallest id.
 
     Shingles are of five words, the operator's default; only op9_minhash takes four.
-    Of rows that repeat an id one stays. Rows without an id stay.
+    Rows that share an id are told apart: of two, one goes only if their texts are
+    near-duplicates or equal. Rows of one id are ordered by the hash of the text,
+    then by the other columns. Rows without an id stay.
     """
     del spark, folder
-    docs = docs.select(*COLUMNS)
-    copies = near_dup.near_duplicates(docs)
-    gone = copies.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    # ids hardly repeat, so only the rows of those that do are shuffled by id
-    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
-    repeated = ids.where("count > 1").select("doc_id")
-    again = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(*COLUMNS).union(
-        again.select(*COLUMNS)
+    # ids may repeat, so rows are compared by a number of their own
+    rows = save(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
+    named = rows.where(F.col("doc_id").isNotNull())
+    groups = near_dup.near_duplicates(named, doc_id="row").select(
+        F.col("doc_id").alias("row"), "component_id", (F.col("n_shingles") == 0).alias("wordless")
+    )
+    narrow = named.select(
+        "row",
+        F.struct(
+            "doc_id", F.sha2("text", 256).alias("digest"), "lang", "source", "n_chars", "row"
+        ).alias("place"),
+    )
+    # texts without words are in no component; only equal rows of one id are one
+    wordless = F.when(F.col("wordless"), F.struct("place.doc_id", "place.digest"))
+    told = narrow.join(groups, "row").select(
+        "place", wordless.alias("own"),
+        F.when(~F.col("wordless"), F.col("component_id")).alias("component"),
+    )
+    first = told.groupBy("component", "own").agg(F.min("place").alias("first"))
+    kept = first.select(F.col("first.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS).union(
+        rows.where(F.col("doc_id").isNull()).select(*COLUMNS)
     )
 
 

@@ -56,6 +56,19 @@ def test_duplicates_are_those_of_five_words(spark, documents):
     assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, near, SF).collect()} == {1}
 
 
+def test_rows_that_share_an_id_go_only_as_near_duplicates(spark, documents):
+    one = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    third = " ".join(f"u{i}" for i in range(40))
+    rows = [(7, one), (7, other), (7, other), (9, one + " end"), (8, third), (5, third + " end"),
+            (8, "unlike"), (3, ""), (3, ""), (3, "x"), (None, one), (None, one)]
+    want = [(7, one), (7, other), (5, third + " end"), (8, "unlike"), (3, ""), (3, "x"),
+            (None, one), (None, one)]
+    for turned in (rows, rows[::-1]):
+        got = corpus_pipeline.one_of_each_group(spark, documents(*turned), SF).collect()
+        assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(want, key=repr)
+
+
 def test_entry_works_without_this_part(monkeypatch):
     import __spark_entry__ as entry
 
