@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from visitlens.llm import embed_dup, queries
@@ -81,6 +82,18 @@ def test_recall_near_the_threshold(spark):
     assert sum(n for n, _ in got.values()) >= 0.9 * sum(n for n, _ in want.values())
 
 
+@pytest.mark.parametrize("size", [4, 8, 24, 32, 48, 64, 256])
+def test_cells_find_pairs_of_any_dimension(size):
+    rng = np.random.default_rng(size)
+    one, other = rng.standard_normal((2, 400, size))
+    one /= np.linalg.norm(one, axis=1)[:, None]
+    other -= (other * one).sum(axis=1)[:, None] * one
+    two = 0.9 * one + np.sqrt(1 - 0.81) * other / np.linalg.norm(other, axis=1)[:, None]
+    a, b = embed_dup.cells(one), embed_dup.cells(two)
+    met = (a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)
+    assert met.any(axis=1).mean() >= 0.93
+
+
 def test_unusable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 2.0]), (2, [2.0, 4.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]),

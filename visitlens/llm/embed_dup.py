@@ -12,8 +12,8 @@
 4. Each block names the smallest member that each node reaches in it; components
    follow by large-star and small-star.
 
-A pair of cosine 0.9 is found with a probability of about 0.97, one of 0.95
-almost surely; no pair below 0.9 is linked.
+A pair of cosine 0.9 is found with a probability of about 0.97 (2 to 512 components
+were simulated), one of 0.95 almost surely; no pair below 0.9 is linked.
 
 Cases: a vector that is null, empty or zero, or holds null, NaN or infinity links
 with nothing; so does a row with a null id, whose component is null. Vectors of
@@ -38,8 +38,9 @@ from visitlens.llm.scratch import save
 from visitlens.llm.shingles import mixed
 
 TABLES, PARTS, PROBES = 16, 3, 2
-#: Length of a unit vector's image; a cell is about one wide.
-SCALE = 3.2
+#: A unit vector's image has an expected length of SCALE * sqrt(24 / DIMENSION), for
+#: vectors of any length; a cell is about one wide.
+SCALE, DIMENSION = 3.2, 64
 COSINE = 0.9
 BLOCK = 256
 SEED = 8
@@ -50,10 +51,12 @@ def _projection(size: int) -> tuple[np.ndarray, np.ndarray]:
     """(size, TABLES * PARTS * 8) projections and the shifts of the lattices."""
     rng = np.random.default_rng((SEED, size))
     width = PARTS * 8
+    # a projection to 24 of more components shortens, one of fewer doesn't
+    scale = SCALE * np.sqrt(max(size, width) / DIMENSION)
     tables = []
     for _ in range(TABLES):
         gauss = rng.standard_normal((max(size, width), width))
-        tables.append(np.linalg.qr(gauss)[0][:size] * SCALE)
+        tables.append(np.linalg.qr(gauss)[0][:size] * scale)
     return np.concatenate(tables, axis=1), rng.uniform(0, 1, TABLES * width)
 
 
