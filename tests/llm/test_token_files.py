@@ -75,6 +75,14 @@ def test_cases_and_long_documents(documents, tokenizer, monkeypatch):
     assert told(got) == by_force(rows, tokenizer)
 
 
+def test_names_of_added_tokens_as_the_library_has_them(documents):
+    plain = Tokenizer.from_file(queries.BYTE_VOCABULARY)
+    rows = [(1, "a <|endoftext|> b"), (2, "a b"), (3, "<|endoftext|>"), (4, "x<|endoftext|>y  z")]
+    got = token_files.round_trip(documents(*rows), queries.BYTE_VOCABULARY).collect()
+    assert told(got) == by_force(rows, plain)
+    assert {r.doc_id: r.n_tokens for r in got}[1] == 5
+
+
 def test_ties_nulls_and_empty(documents):
     docs = documents((None, "a"), (4, "b b"), (4, "c"), (4, "c"))
     rows = token_files.round_trip(docs, queries.BYTE_VOCABULARY).collect()

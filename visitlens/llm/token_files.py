@@ -64,15 +64,23 @@ class Encoder:
     """A byte-level BPE tokenizer that encodes each distinct word once.
 
     Its pattern always cuts before a single space between other characters, so
-    the ids of a text are those of its words with the space before them.
+    the ids of a text are those of its words with the space before them. With
+    ``added``, names of added tokens in a text are these tokens, as the library has
+    it by default, and a text that holds one is encoded whole; else they are
+    ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their names are ordinary text
+        self._tokenizer.encode_special_tokens = not added
+        tokens = self._tokenizer.get_added_tokens_decoder().values() if added else ()
+        names = [t.content for t in tokens]
+        self._names = re.compile("|".join(map(re.escape, names))) if names else None
+        # words in a row could make up a name with white space
+        self._apart = any(_BLANK.search(n) for n in names)
         self.size = self._tokenizer.get_vocab_size()
         self._words: dict[str, bytes] = {}
 
@@ -87,7 +95,7 @@ class Encoder:
         one; the offsets tell where each ends. Words with white space of their
         own, or without anything, might not be cut there: they go one by one.
         """
-        odd = [w for w in words if not w or _BLANK.search(w)]
+        odd = [w for w in words if not w or self._apart or _BLANK.search(w)]
         told = dict(zip(odd, self._ids([" " + w for w in odd]), strict=True))
         plain = [w for w in words if w not in told]
         for at in range(0, len(plain), 500):
@@ -108,7 +116,10 @@ class Encoder:
         firsts, words, counts = [], [], []
         for text in texts:
             text = text or ""
-            cut = _CUT.split(text) if _ODD.search(text) else text.split(" ")
+            if self._names and self._names.search(text):
+                cut = [text]
+            else:
+                cut = _CUT.split(text) if _ODD.search(text) else text.split(" ")
             firsts.append(cut[0])
             words += cut[1:]
             counts.append(len(cut) - 1)
@@ -137,7 +148,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def load(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, added=True)
 
 
 def _squeeze(ids: np.ndarray) -> bytes:
