@@ -48,6 +48,19 @@ def test_cases(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_ids_that_are_slugs_of_titles(around):
+    html = (
+        f"<{around}><h2 id='legal-history'>Legal history</h2><p id='comment-on-method'>The method.</p>"
+        "<section id='responses-to-critics'><h3><span id='Search_results'>Search results</span></h3>"
+        "<p>Some were found.</p></section><p class='ad'>Buy!</p>"
+        f"<section id='comments'><p>No!</p></section></{around}>"
+    )
+    assert main_text(html) == "\n\n".join(
+        ["Legal history", "The method.", "Search results", "Some were found."]
+    )
+
+
 def test_smoothing_and_threshold():
     flat = html_extract.smoothed(np.full(7, 3.0))
     assert np.allclose(flat, 3.0)

@@ -56,6 +56,8 @@ MARKED = frozenset(
     "search skip".split()
 )
 REMARKS = frozenset("comment comments reply replies respond disqus discussion responses".split())
+#: Elements whose ids inside an article are mostly slugs of titles.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 p section span a b i em strong".split())
 MODIFIERS = frozenset("has no with without is not".split())
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
@@ -74,14 +76,18 @@ class Line:
     container: int
 
 
-def _passed_over(tag: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+def _passed_over(tag: str, attrs: dict[str, str | None], in_article: bool, in_text: bool) -> bool:
     """True for an element that holds no main text."""
     if tag in PASSED or (tag == "header" and not in_article):
         return True
     if tag in ("html", "body", "main"):
         return False
     words: set[str] = set()
-    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+    own = attrs.get("id") or ""
+    if in_text and tag in TITLED:  # "responses-to-critics" is a title, "comments" is none
+        parts = _NAME.findall(_HUMP.sub(" ", own).lower())
+        own = own if tag == "section" and REMARKS.issuperset(parts) else ""
+    for name in f"{attrs.get('class') or ''} {own}".split():
         parts = _NAME.findall(_HUMP.sub(" ", name).lower())
         if parts and parts[0] not in MODIFIERS:  # "has-sidebar" is no sidebar
             words.update(parts)
@@ -156,7 +162,9 @@ class Lines(HTMLParser):
         self._open.append((tag, self._container))
         self._counts[tag] += 1
         if self._passing is None:
-            if _passed_over(tag, dict(attrs), self._counts["article"] > 0):
+            in_article = self._counts["article"] > 0
+            in_text = in_article or self._counts["main"] > 0
+            if _passed_over(tag, dict(attrs), in_article, in_text):
                 self._passing = len(self._open) - 1
             elif tag in CONTAINERS:
                 self.parents.append(self._container)
