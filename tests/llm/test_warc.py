@@ -52,6 +52,31 @@ def test_later_records_are_recovered(pack, harm):
     assert [(s, e) for s, e, _ in gaps] == [(start, start + len(bad))]
 
 
+def test_damage_inside_a_member_of_many_records():
+    parts = [record(i, sha256(b"%d" % i).digest() * 20) for i in range(6)]
+    last = gzip.compress(record(9, b"last"))
+    bad = bytearray(parts[2])
+    bad[-40] ^= 0xFF
+    inside = gzip.compress(b"".join([*parts[:2], bytes(bad), *parts[3:]]))
+    records, gaps = found(inside + last)
+    assert [n for n, _ in records] == [0, 1, 3, 4, 5, 9]
+    assert gaps == [(0, len(inside), "digest")]
+    for level in (0, 6):
+        whole = gzip.compress(b"".join(parts), level)
+        cut = whole[: len(whole) * 2 // 3]
+        for data in (cut, cut + last):
+            records, gaps = found(data)
+            assert [n for n, _ in records][:2] == [0, 1]
+            assert len({n for n, _ in records}) == len(records)
+            assert gaps[0][:2] == (0, len(cut)) and len(gaps) == 1
+        assert records[-1][0] == 9
+        wrong = bytearray(whole)
+        wrong[-6] ^= 1
+        records, gaps = found(bytes(wrong) + last)
+        assert [n for n, _ in records] == [0, 1, 2, 3, 4, 5, 9]
+        assert [g[:2] for g in gaps] == [(0, len(whole))]
+
+
 def test_truncated_end_and_junk():
     whole = gzip.compress(record(1, b"x" * 500))
     records, gaps = found(b"junk" + whole + whole[:60])

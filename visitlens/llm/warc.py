@@ -10,7 +10,9 @@ reader skips.
 Reading: the archives' records are taken one after the other, compressed or
 plain. When a record fails a check (checksum of the member, version line, header,
 length, digest), the reader searches for the next valid member or version line,
-goes on there and reports the bytes between as a gap. Files are read whole;
+goes on there and reports the bytes between as a gap. A member may hold many records:
+those before and after a damaged one are kept, and so are those whose payloads match
+their digests in a member that is cut off or fails its checksum. Files are read whole;
 ``RECORDS_PER_FILE`` bounds those that are written here.
 
 Cases: a null html is an empty payload. A null page id or url leaves its header
@@ -147,11 +149,13 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     block = data[begin:end]
     body = block.partition(b"\r\n\r\n")[2] if block.startswith(b"HTTP/") else block
     revisit = head.get("warc-type") == "revisit"
+    checked = False
     digest = head.get("warc-payload-digest", "").removeprefix("sha256:")
     if not revisit:
         actual = hashlib.sha256(body).hexdigest()
         if len(digest) == 64 and digest != actual:
             raise Damaged("digest")
+        checked = len(digest) == 64
         digest = actual
     length = head.get("x-payload-length", "") if revisit else str(len(body))
 
@@ -163,12 +167,12 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
         "page_id": page("warc-record-id"), "url": head.get("warc-target-uri"),
         "record_type": head.get("warc-type"), "refers_to": page("warc-refers-to"),
         "payload_bytes": int(length) if re.fullmatch("[0-9]{1,18}", length) else None,
-        "payload_digest": digest, "payload": None if revisit else body,
+        "payload_digest": digest, "payload": None if revisit else body, "checked": checked,
     }, end + 4
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content of the gzip member at ``at`` and its end."""
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """Content of the gzip member at ``at``, its end, and what damage ends it early."""
     unpack = zlib.decompressobj(31)
     parts, fed = [], at
     try:
@@ -176,37 +180,93 @@ def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
             piece = data[fed : fed + _STEP]
             parts.append(unpack.decompress(piece))
             fed += len(piece)
-    except zlib.error as error:
-        raise Damaged("member") from error
-    if not unpack.eof:
-        raise Damaged("truncated")
-    return b"".join(parts), fed - len(unpack.unused_data)
+    except zlib.error:
+        rest, end = _upto_damage(data, at, fed)
+        return b"".join([*parts, rest]), end, "member"
+    return b"".join(parts), fed - len(unpack.unused_data), None if unpack.eof else "truncated"
+
+
+def _upto_damage(data: bytes, at: int, fed: int) -> tuple[bytes, int]:
+    """What the member at ``at`` gives from ``fed`` on before the byte that fails, and
+    that byte's place."""
+    unpack = zlib.decompressobj(31)
+    for place in range(at, fed, _STEP):
+        unpack.decompress(data[place : min(fed, place + _STEP)])
+    parts: list[bytes] = []
+    for place in range(fed, len(data)):
+        try:
+            parts.append(unpack.decompress(data[place : place + 1]))
+        except zlib.error:
+            return b"".join(parts), place
+    return b"".join(parts), len(data)
+
+
+def _within(content: bytes, whole: bool) -> list[dict | str]:
+    """Records of a member's content and the reasons of gaps between them, in order.
+
+    Without the member's checksum only payloads that match their digest count.
+    """
+    found: list[dict | str] = []
+    at, reason = 0, None
+    while at < len(content):
+        try:
+            record, end = _parse(content, at)
+            if not (whole or record.pop("checked")):
+                raise Damaged("member")
+        except Damaged as damage:
+            reason = reason or str(damage)
+            after = _VERSION.search(content, at + 1)
+            at = after.start() if after else len(content)
+            continue
+        if reason is not None:
+            found.append(reason)
+            reason = None
+        record.pop("checked", None)
+        found.append(record)
+        at = end
+    return found if reason is None else [*found, reason]
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
-    """(start, end, record or reason of a gap) over all bytes of an archive."""
+    """(start, end, record or reason of a gap) over all bytes of an archive.
+
+    Records and gaps inside a member have the member's place. A damaged member is a
+    gap, and the records that it gave before the damage come before that gap.
+    """
     at, lost, reason = 0, None, ""
+    given: list[dict] = []  # by damaged members of the open gap
     while at < len(data):
         try:
-            found: list[dict] = []
             if data.startswith(_MAGIC, at):
-                content, end = _inflate(data, at)
-                inner = 0
-                while inner < len(content):
-                    record, inner = _parse(content, inner)
-                    found.append(record)
+                content, end, damage = _inflate(data, at)
+                found = _within(content, damage is None)
+                if damage is not None:
+                    for record in found:
+                        if isinstance(record, dict) and record not in given:
+                            given.append(record)
+                            yield at, end, record
+                    raise Damaged(damage)
             else:
                 record, end = _parse(data, at)
-                found.append(record)
+                record.pop("checked")
+                found = [record]
         except Damaged as damage:
             if lost is None:
                 lost, reason = at, str(damage)
             after = _CANDIDATE.search(data, at + 1)
             at = after.start() if after else len(data)
             continue
+        if found and not any(isinstance(f, dict) for f in found):
+            if lost is None:
+                lost, reason = at, str(found[0])
+            at = end
+            continue
+        if given and len(found) == 1 and found[0] in given:  # stored in it uncompressed
+            at = end
+            continue
         if lost is not None:
             yield lost, at, reason
-            lost = None
+            lost, given = None, []
         for record in found:
             yield at, end, record
         at = end
