@@ -73,8 +73,3 @@ def users(spark):
         )
 
     return build
-
-
-def tuples(df, *columns):
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(row) for row in chosen.collect()), key=repr)

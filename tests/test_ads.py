@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from conftest import tuples
+from frame_rows import tuples
 from pyspark.sql import functions as F
 
 from visitlens import schemas

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import tuples
+from frame_rows import tuples
 from pyspark.sql import functions as F
 
 from visitlens import schemas

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import tuples
+from frame_rows import tuples
 
 from visitlens.operators import categories
 

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import tuples
+from frame_rows import tuples
 
 from visitlens.operators import funnel
 

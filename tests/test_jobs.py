@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import tuples
+from frame_rows import tuples
 
 import __spark_entry__ as registered
 from visitlens.operators import sampling, sessions

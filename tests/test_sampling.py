@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from math import floor
 
 import pytest
-from conftest import tuples
+from frame_rows import tuples
 
 from visitlens.operators import sampling
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import tuples
+from frame_rows import tuples
 
 from visitlens.operators import sessions
 from visitlens.params import TaskParams

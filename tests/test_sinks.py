@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import tuples
+from frame_rows import tuples
 
 from visitlens import schemas
 from visitlens.session import materialize, shared_dir

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
-from conftest import tuples
+from frame_rows import tuples
 
 from visitlens import schemas
 from visitlens.operators import ads
