@@ -13,7 +13,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import embed_dup, fingerprint, html_extract, mixing, near_dup, pieces, pii, token_files, toxicity, warc
+from visitlens.llm import (
+    embed_dup, fingerprint, hard_negatives, html_extract, mixing, near_dup, pieces, pii, token_files,
+    toxicity, warc,
+)
 
 #: Where the public vocabulary files are; a parameter of the operators.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -112,9 +115,21 @@ def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return embed_dup.near_duplicate_vectors(table(spark, folder, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(
+        table(spark, folder, "embeddings").select(
+            "vec_id", moved.alias("label"),
+            hard_negatives.whole_numbers(F.col("embedding"), 256).alias("vector"),
+            (F.col("vec_id") % 100 == 0).alias("anchor"),
+        )
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html, op2_pii, op3_token_files, op4_mixing, op5_fingerprint, op6_warc, op7_pieces,
-        op8_toxicity, op9_minhash, op10_lattice,
+        op8_toxicity, op9_minhash, op10_lattice, op11_hard_negatives,
     )
     return {f.__name__: f for f in found}

@@ -124,3 +124,29 @@ SELECT r.vec_id, coalesce(any_value(d.n), 0)::BIGINT AS n_links,
     min(r.other) AS component_id, r.vec_id = min(r.other) AS kept
 FROM reach r LEFT JOIN degree d ON r.vec_id = d.a GROUP BY r.vec_id
 """
+
+SQL["op11_hard_negatives"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding::DOUBLE[], lambda c: floor(256 * c)) AS x,
+        CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_dot_product(a.x, b.x)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (
+        PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id
+    )::INTEGER AS rank
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
