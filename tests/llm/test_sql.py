@@ -24,4 +24,4 @@ def test_query(spark, name):
 
 def test_numbers_of_the_queries():
     found = [name.split("_")[0] for name in queries.queries()]
-    assert found == [f"op{n}" for n in range(1, 12)]
+    assert found == [f"op{n}" for n in range(1, 13)]

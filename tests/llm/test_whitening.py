@@ -1,0 +1,119 @@
+"""Whitening against numpy over all rows."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from visitlens.llm import queries, whitening
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(x):
+    """(n, deviations, eigenvalues, eigenvectors, centred, covariance) of whole rows."""
+    n, sums = len(x), [sum(column) for column in zip(*x)]
+    deviations = [sum((n * a - s) ** 2 for a, s in zip(row, sums)) for row in x]
+    centred = np.array([[float(n * a - s) / n for a, s in zip(row, sums)] for row in x])
+    covariance = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(covariance)
+    return n, deviations, values[::-1], vectors[:, ::-1], centred, covariance
+
+
+def same_up_to_sign(ours, theirs, tolerance=1e-8):
+    ours, theirs = np.array(ours), np.array(theirs)
+    signs = np.sign((ours * theirs).sum(axis=0))
+    return np.abs(ours * signs - theirs).max() < tolerance
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, x array<long>")
+
+
+def test_query_against_numpy(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
+    x = [[math.floor(64 * c) + 1_000_000 for c in r["embedding"]] for r in rows]
+    n, deviations, values, vectors, centred, covariance = brute(x)
+    got = queries.op12_whitening(spark, SF).orderBy("vec_id", "component").collect()
+    assert len(got) == len(rows) * 32
+    assert [r["component"] for r in got[:32]] == list(range(1, 33))
+    assert {r["n"] for r in got} == {n}
+    assert [r["deviation"] for r in got[::32]] == deviations
+    explained = [r["explained"] for r in got[:32]]
+    assert np.allclose(explained, values[:32] / np.trace(covariance), rtol=1e-9)
+    (error,) = {r["identity_error"] for r in got}
+    z = np.array([r["whitened"] for r in got]).reshape(n, 32)
+    measured = z - z.mean(axis=0)
+    assert abs(error - np.abs(measured.T @ measured / n - np.eye(32)).max()) < 1e-9 and error < 1e-8
+    # each column lies in its eigenspace, whichever way equal or close values turn it
+    axes = np.linalg.lstsq(centred, z * np.sqrt(values[:32]), rcond=None)[0]
+    assert np.abs((axes**2).sum(axis=0) - 1).max() < 1e-8
+    assert np.abs(covariance @ axes - axes * values[:32]).max() < 1e-8
+    assert same_up_to_sign(z, centred @ vectors[:, :32] / np.sqrt(values[:32]), 1e-6)
+
+
+@pytest.mark.parametrize("count_copies", [True, False])
+def test_weights(spark, count_copies):
+    draw = np.random.default_rng(2)
+    distinct = draw.integers(-50, 50, (40, 6)).tolist()
+    rows = [(i, distinct[min(i, 39)]) for i in range(300)]  # the last one 261 times
+    got = whitening.whiten(frame(spark, rows), 4, count_copies=count_copies).orderBy("vec_id").collect()
+    n, _, values, vectors, centred, covariance = brute(
+        [v for _, v in rows] if count_copies else distinct
+    )
+    assert {r["n"] for r in got} == {n} and [r["vec_id"] for r in got] == list(range(300))
+    expected = centred @ vectors[:, :4] / np.sqrt(values[:4])
+    ours = np.array([r["whitened"] for r in got])[: len(expected)]
+    assert same_up_to_sign(ours, expected)
+    assert got[0]["identity_error"] < 1e-9
+    assert np.allclose(got[0]["explained"], values[:4] / np.trace(covariance))
+
+
+def test_every_distinct_vector_is_worked_on_once(spark):
+    rows = frame(spark, [(i, [i % 3, 1, -i % 3]) for i in range(90)])
+    distinct = whitening.distinct_vectors(rows.withColumn("digest", F.md5(F.to_json("x"))))
+    assert sorted((tuple(r["x"]), r["copies"]) for r in distinct.collect()) == [
+        ((0, 1, 0), 30), ((1, 1, -1 % 3), 30), ((2, 1, -2 % 3), 30),
+    ]
+
+
+def test_odd_rows(spark):
+    rows = [
+        (0, [1, 2]), (1, None), (2, [3, None]), (3, [1 << 53, 0]), (None, [5, 1]), (4, []), (0, [1, 2]),
+        (5, [7]),
+    ]
+    given = frame(spark, rows).withColumns({"digest": F.lit(1), "copies": F.lit(2), "n": F.lit("a")})
+    got = whitening.whiten(given, missing=9).orderBy("vec_id").collect()
+    fit = [[1, 2], [5, 1], [9, 9], [1, 2], [7, 9]]
+    n, deviations, values, vectors, centred, _ = brute(fit)
+    assert [r["vec_id"] for r in got] == [None, 0, 0, 4, 5]
+    assert sorted(r["deviation"] for r in got) == sorted(deviations) and got[0]["n"] == 5
+    assert whitening.whiten(frame(spark, [])).collect() == []
+    assert whitening.whiten(frame(spark, [(1, [])])).collect() == []
+
+
+def test_components_without_variance(spark):
+    got = whitening.whiten(frame(spark, [(i, [i, 2 * i, 5]) for i in range(10)])).collect()
+    assert all(r["whitened"][0] is not None and r["whitened"][1:] == [None, None] for r in got)
+    assert got[0]["identity_error"] < 1e-12 and abs(got[0]["explained"][0] - 1) < 1e-12
+    one = whitening.whiten(frame(spark, [(1, [4, 4])])).first()
+    assert one["whitened"] == [None, None] and one["explained"] == [0.0, 0.0] and one["deviation"] == 0
+
+
+def test_large_entries_stay_exact(spark):
+    base = (1 << 52) - 5
+    rows = [(i, [base + i * i, -base + 7 * i, i % 2]) for i in range(50)]
+    got = whitening.whiten(frame(spark, rows)).orderBy("vec_id").collect()
+    n, deviations, values, vectors, centred, _ = brute([v for _, v in rows])
+    assert [int(r["deviation"]) for r in got] == deviations
+    assert same_up_to_sign([r["whitened"] for r in got], centred @ vectors / np.sqrt(values), 1e-6)
+
+
+def test_whole_vectors(spark):
+    given = spark.sql(
+        "SELECT array(0.5f, -0.01f) AS v UNION ALL SELECT array(1f, CAST('Infinity' AS FLOAT))"
+        " UNION ALL SELECT array(1f, NULL) UNION ALL SELECT NULL UNION ALL SELECT array(3e38f, 0f)"
+    )
+    got = [r[0] for r in given.select(whitening.whole_vectors(F.col("v"), 64, 100)).collect()]
+    assert got == [[132, 99], None, None, None, None]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from visitlens.llm import (
     embed_dup, fingerprint, hard_negatives, html_extract, mixing, near_dup, pieces, pii, token_files,
-    toxicity, warc,
+    toxicity, warc, whitening,
 )
 
 #: Where the public vocabulary files are; a parameter of the operators.
@@ -127,9 +127,25 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    offset = 1_000_000
+    whole = whitening.whole_vectors(F.col("embedding"), 64, offset)
+    rows = table(spark, folder, "embeddings").select("vec_id", whole.alias("x"))
+    found = whitening.whiten(rows, missing=offset).select(
+        "*", F.posexplode("whitened").alias("place", "value")
+    )
+    return found.select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("value").alias("whitened"), F.get("explained", F.col("place")).alias("explained"),
+        "identity_error",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html, op2_pii, op3_token_files, op4_mixing, op5_fingerprint, op6_warc, op7_pieces,
         op8_toxicity, op9_minhash, op10_lattice, op11_hard_negatives,
+        op12_whitening,
     )
     return {f.__name__: f for f in found}
