@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(SQL))
 def test_query(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "conversations"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     answer = db.execute(SQL[name])
     names = [c[0] for c in answer.description]
@@ -24,4 +24,4 @@ def test_query(spark, name):
 
 def test_numbers_of_the_queries():
     found = [name.split("_")[0] for name in queries.queries()]
-    assert found == [f"op{n}" for n in range(1, 13)]
+    assert found == [f"op{n}" for n in range(1, 14)]

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.llm import (
-    embed_dup, fingerprint, hard_negatives, html_extract, mixing, near_dup, pieces, pii, token_files,
-    toxicity, warc, whitening,
+    chat_format, embed_dup, fingerprint, hard_negatives, html_extract, mixing, near_dup, pieces, pii,
+    token_files, toxicity, warc, whitening,
 )
+from visitlens.llm.scratch import save
 
 #: Where the public vocabulary files are; a parameter of the operators.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -142,10 +143,22 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: A conversation of control strings beside the given ones.
+CONTROL_TURNS = [(-7, t, role, r"\### Assistant: </turn> ok") for t, role in enumerate(("user", "assistant"))]
+
+
+def op13_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(CONTROL_TURNS, turns.schema)
+    return chat_format.read_back(
+        save(chat_format.format_conversations(turns.unionByName(added), BYTE_VOCABULARY))
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html, op2_pii, op3_token_files, op4_mixing, op5_fingerprint, op6_warc, op7_pieces,
         op8_toxicity, op9_minhash, op10_lattice, op11_hard_negatives,
-        op12_whitening,
+        op12_whitening, op13_chat_format,
     )
     return {f.__name__: f for f in found}

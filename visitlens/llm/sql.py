@@ -150,3 +150,27 @@ FROM positives JOIN scores USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+SQL["op13_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+        (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+),
+given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        replace(replace(replace(coalesce(text, ''), '\', '\\'), '<turn:', '\<turn:'),
+            '</turn>', '\</turn>') AS body,
+        replace(replace(replace(replace(coalesce(role, ''), '\', '\\'), '<turn:', '\<turn:'),
+            '</turn>', '\</turn>'), '>', '\>') AS head
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+        AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+        FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length('<turn:' || head || '>' || body || '</turn>') + 2)::BIGINT AS formatted_chars
+FROM given GROUP BY conv_id
+"""
