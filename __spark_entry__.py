@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +27,9 @@ from visitlens.plans import jobs
 from visitlens.plans.area_sql import area_top3_by_sql
 from visitlens.session import shared_dir
 from visitlens.sinks import merge
-from visitlens.sinks.batches import BatchTable
+from visitlens.sinks.buckets import BucketTable
 from visitlens.sources import adlog, derived
-from visitlens.streaming import native, pipeline
+from visitlens.streaming import closing, native, pipeline
 from visitlens.sources.dimensions import city_dimension
 
 TASK_ID = "task-1"
@@ -297,31 +298,55 @@ def ad_trend_windows(spark, d):
 # ---- ads as streams: the given events through a file source ----------------
 
 
+PARTS = 6  # batches of the streams below, by time of arrival
+FILES = 2  # files of a batch
+LATE_USERS, LATE_DAYS = 9, 8  # clicks of every ninth user arrive eight days later
+DELAY = "2 days"
+
+
+class _Arrivals:
+    """Ad lines as files that arrive part by part, and the stream over them."""
+
+    def __init__(self, spark: SparkSession, d: str, late: bool = False):
+        self.spark, self.folder = spark, f"{_new_folder(spark)}"
+        self.lines = derived.ad_line_arrivals(spark, d, PARTS, LATE_USERS if late else 0, LATE_DAYS)
+
+    def arrive(self, *parts: int) -> DataFrame:
+        files = f"{self.folder}/lines"
+        derived.write_ad_line_parts(self.lines, files, range(*parts), FILES)
+        return adlog.text_ad_lines(self.spark, files, files_per_batch=FILES)
+
+
 def _click_lines(spark: SparkSession, d: str) -> DataFrame:
-    return derived.ad_line_stream(spark, d)
+    """All ad lines as a stream of several batches."""
+    return _Arrivals(spark, d).arrive(PARTS)
 
 
 def _new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
-def _newest(spark, updates, schema, keys):
+def _upserted(spark, updates, schema, keys, bucket_by):
     folder = _new_folder(spark)
-    table = BatchTable(spark, f"{folder}/table", schema)
-    native.start_updates(updates, table, f"{folder}/checkpoint", every=None).awaitTermination()
-    return table.newest(keys)
+    table = BucketTable(spark, f"{folder}/table", schema, [bucket_by], day="date")
+    native.start_upserts(
+        updates, table, keys, f"{folder}/checkpoint", every=None
+    ).awaitTermination()
+    return table.rows()
 
 
 def stream_realtime_stat(spark, d):
     clicks = adlog.parse_ad_log(_click_lines(spark, d))
     updates = native.realtime_stat_stream(clicks)
-    return _newest(spark, updates, schemas.AD_STAT, pipeline.STAT_KEYS)
+    return _upserted(spark, updates, schemas.AD_STAT, pipeline.STAT_KEYS, "province")
 
 
 def stream_user_daily_clicks(spark, d):
     clicks = adlog.parse_ad_log(_click_lines(spark, d))
     updates = native.user_daily_clicks_stream(clicks)
-    return _newest(spark, updates, schemas.AD_USER_CLICK_COUNT, pipeline.USER_KEYS)
+    return _upserted(
+        spark, updates, schemas.AD_USER_CLICK_COUNT, pipeline.USER_KEYS, "userid"
+    )
 
 
 def stream_blacklist_update(spark, d):
@@ -346,6 +371,108 @@ def stream_province_top3(spark, d):
     return _after_pipeline(spark, d).province_top3()
 
 
+# ---- streams of many batches whose list filters --------------------------------
+
+
+def _after_feedback(spark, d):
+    """The pipeline over six batches: users listed in one are filtered from the next on."""
+    arrivals = _Arrivals(spark, d)
+    tables = pipeline.AdTables.under(spark, f"{arrivals.folder}/ads")
+    lines = arrivals.arrive(PARTS)
+    pipeline.start_ad_pipeline(lines, tables, THRESHOLD, every=None).awaitTermination()
+    return tables
+
+
+def stream_feedback_blacklist(spark, d):
+    return _after_feedback(spark, d).blacklist()
+
+
+def stream_feedback_stat(spark, d):
+    return _after_feedback(spark, d).stat()
+
+
+def stream_feedback_top3(spark, d):
+    return _after_feedback(spark, d).province_top3()
+
+
+def stream_feedback_trend(spark, d):
+    return _after_feedback(spark, d).click_trend()
+
+
+class _CutOff(Exception):
+    pass
+
+
+def _after_restarts(spark, d):
+    """The same, cut off and started again: two batches; a third whose tables are in place
+    but which the checkpoint doesn't know of, so that it comes again; a fourth that is
+    noted but not put in place; then the rest from the checkpoint."""
+    arrivals = _Arrivals(spark, d)
+    tables = pipeline.AdTables.under(spark, f"{arrivals.folder}/ads")
+
+    def run(lines, cut=None, before_publishing=False):
+        def write(batch, batch_id):
+            if batch_id == cut and before_publishing:
+                pipeline.stage_batch(batch, batch_id, tables, THRESHOLD)
+                raise _CutOff
+            pipeline.process_batch(batch, batch_id, tables, THRESHOLD)
+            if batch_id == cut:
+                raise _CutOff
+
+        query = (
+            lines.writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{tables.folder}/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if cut is None:
+                raise
+
+    run(arrivals.arrive(2))
+    lines = arrivals.arrive(2, 4)
+    run(lines, cut=2)
+    run(lines, cut=3, before_publishing=True)
+    run(arrivals.arrive(4, PARTS))
+    return tables
+
+
+def stream_restart_stat(spark, d):
+    return _after_restarts(spark, d).stat()
+
+
+def stream_restart_blacklist(spark, d):
+    return _after_restarts(spark, d).blacklist()
+
+
+# ---- streams whose units close behind a watermark -------------------------------
+
+
+def _closed(spark, d, counts, unit) -> closing.ClosedTable:
+    """Closed counts over six batches, three of them after a restart; some clicks come late."""
+    arrivals = _Arrivals(spark, d, late=True)
+    for parts in ((0, PARTS // 2), (PARTS // 2, PARTS)):
+        clicks = adlog.parse_ad_log(arrivals.arrive(*parts))
+        closed = counts(clicks, DELAY)
+        table = closing.ClosedTable(spark, f"{arrivals.folder}/closed", closed.schema)
+        closing.start_closing(clicks, closed, table, unit, DELAY, every=None).awaitTermination()
+    return table
+
+
+def stream_closed_windows(spark, d):
+    return _closed(spark, d, closing.closed_trend_windows, closing.MINUTE).closed()
+
+
+def stream_late_clicks(spark, d):
+    late = _closed(spark, d, closing.closed_minutes, closing.MINUTE).late()
+    return late.withColumn("ts", F.unix_millis("ts")).withColumnRenamed("ts", "ts_millis")
+
+
+def stream_closed_days(spark, d):
+    return _closed(spark, d, closing.closed_days, closing.DAY).closed()
+
+
 # ---- table merges ----------------------------------------------------------
 
 
@@ -448,6 +575,15 @@ _QUERIES = [
     stream_blacklist_update,
     stream_click_trend,
     stream_province_top3,
+    stream_feedback_blacklist,
+    stream_feedback_stat,
+    stream_feedback_top3,
+    stream_feedback_trend,
+    stream_restart_stat,
+    stream_restart_blacklist,
+    stream_closed_windows,
+    stream_late_clicks,
+    stream_closed_days,
     upsert_add,
     upsert_replace,
     replace_group,

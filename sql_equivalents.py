@@ -435,3 +435,114 @@ for _stream, _batch in {
     "stream_province_top3": "ad_province_top3",
 }.items():
     SQL_EQUIVALENTS[_stream] = SQL_EQUIVALENTS[_batch]
+
+
+# ---- streams of many batches: the part of the time of arrival is the batch
+
+_PARTS = 6
+_LATE = "CASE WHEN user_id % 9 = 0 THEN 8 * 86400000 ELSE 0 END"
+
+
+def _parts(delay: str) -> str:
+    return f"""
+parts AS (
+  SELECT *, (arrival - min(arrival) OVER ()) * {_PARTS}
+            // (max(arrival) OVER () - min(arrival) OVER () + 1) AS part
+  FROM (SELECT *, ts_millis + {delay} AS arrival FROM clicks))
+"""
+
+
+# A user is listed by the first part after which some (day, ad) has two clicks; until then
+# no click of the user is filtered, so the raw running counts tell that part.
+_FEEDBACK = """
+by_part AS (
+  SELECT part, strftime(ts, '%Y-%m-%d') AS date, user_id, ad_id, count(*) AS n
+  FROM parts GROUP BY ALL),
+running AS (
+  SELECT *, sum(n) OVER (PARTITION BY date, user_id, ad_id ORDER BY part) AS total FROM by_part),
+listed AS (
+  SELECT user_id, min(part) AS since, arg_min(date, (part, date)) AS date
+  FROM running WHERE total >= 2 GROUP BY user_id),
+kept AS (
+  SELECT parts.* FROM parts LEFT JOIN listed USING (user_id)
+  WHERE since IS NULL OR part <= since),
+kept_stat AS (
+  SELECT strftime(ts, '%Y%m%d') AS date, province, city, ad_id AS adid, count(*) AS n
+  FROM kept GROUP BY ALL)
+"""
+_FEEDBACK_PARTS = [_CLICKS, _parts("0"), _FEEDBACK]
+SQL_EQUIVALENTS |= {
+    "stream_feedback_blacklist": _with(
+        _FEEDBACK_PARTS, "SELECT date, user_id AS userid FROM listed"
+    ),
+    "stream_feedback_stat": _with(
+        _FEEDBACK_PARTS, 'SELECT date, province, city, adid, n AS "clickCount" FROM kept_stat'
+    ),
+    "stream_feedback_top3": _with(
+        _FEEDBACK_PARTS,
+        """SELECT date, province, adid, sum(n)::BIGINT AS "clickCount"
+           FROM kept_stat GROUP BY date, province, adid
+           QUALIFY row_number() OVER (
+             PARTITION BY date, province ORDER BY sum(n) DESC, adid) <= 3""",
+    ),
+    "stream_feedback_trend": _with(
+        _FEEDBACK_PARTS,
+        """SELECT strftime(ts, '%Y%m%d') AS date, strftime(ts, '%H') AS hour,
+                  strftime(ts, '%M') AS minute, ad_id AS adid, count(*) AS "clickCount"
+           FROM kept GROUP BY ALL""",
+    ),
+}
+for _name in ("stat", "blacklist"):  # a restart changes nothing
+    SQL_EQUIVALENTS[f"stream_restart_{_name}"] = SQL_EQUIVALENTS[f"stream_feedback_{_name}"]
+
+
+def _closing(unit: str) -> list[str]:
+    """Batches of the closing streams: a run over parts 0 to 2 ends with a batch without
+    clicks that closes what its watermark allows; so does the one over the others.
+
+    A batch works with the newest click of all batches before it, less two days, as
+    watermark. It drops clicks of units that ended by the watermark of the batch before.
+    """
+    return [
+        _CLICKS,
+        _parts(_LATE),
+        f"""
+newest AS (SELECT part + CASE WHEN part >= 3 THEN 1 ELSE 0 END AS batch, max(ts_millis) AS newest
+           FROM parts GROUP BY part),
+batches AS (
+  SELECT b.batch, max(n.newest) - 2 * 86400000 AS watermark
+  FROM (SELECT unnest(range({_PARTS} + 2)) AS batch) b LEFT JOIN newest n ON n.batch < b.batch
+  GROUP BY b.batch),
+marked AS (
+  SELECT p.*, date_trunc('{unit}', p.ts) AS unit,
+         epoch_ms(date_trunc('{unit}', p.ts) + INTERVAL 1 {unit})
+           <= coalesce(w.watermark, -1) AS late
+  FROM parts p LEFT JOIN batches w
+    ON w.batch = part + CASE WHEN part >= 3 THEN 1 ELSE 0 END - 1),
+final AS (SELECT make_timestamp(max(watermark) * 1000) AS watermark FROM batches)
+""",
+    ]
+
+
+SQL_EQUIVALENTS |= {
+    "stream_closed_windows": _with(
+        _closing("minute"),
+        """SELECT strftime(seen, '%Y%m%d%H%M') AS window_end, strftime(unit, '%Y%m%d') AS date,
+                  strftime(unit, '%H') AS hour, strftime(unit, '%M') AS minute, adid, "clickCount"
+           FROM (SELECT unit, ad_id AS adid, count(*) AS "clickCount",
+                        unit + to_minutes(unnest(range(1, 61))) AS seen
+                 FROM marked WHERE NOT late GROUP BY unit, ad_id)
+           WHERE seen <= (SELECT watermark FROM final)""",
+    ),
+    "stream_late_clicks": _with(
+        _closing("minute"),
+        "SELECT ts_millis, province, city, user_id, ad_id FROM marked WHERE late",
+    ),
+    "stream_closed_days": _with(
+        _closing("day"),
+        """SELECT strftime(unit, '%Y%m%d') AS date, province, city, ad_id AS adid,
+                  count(*) AS "clickCount"
+           FROM marked WHERE NOT late AND unit + INTERVAL 1 DAY <= (SELECT watermark FROM final)
+           GROUP BY ALL""",
+    ),
+}

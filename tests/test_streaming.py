@@ -5,10 +5,12 @@ from pathlib import Path
 
 import pytest
 from frame_rows import tuples
+from pyspark.sql import functions as F
 
 from visitlens import schemas
 from visitlens.operators import ads
 from visitlens.sinks.batches import BatchTable
+from visitlens.sinks.buckets import BucketTable
 from visitlens.sources import adlog
 from visitlens.streaming import native
 from visitlens.streaming.pipeline import (
@@ -137,10 +139,10 @@ def test_batch_cut_short_is_completed(spark, scratch, tables, lines):
         raise Failure
 
     process_batch(lines(first), 0, tables, threshold=15)
-    append, tables.trend_rows.append = tables.trend_rows.append, fail
+    stage, tables.trend_rows.stage = tables.trend_rows.stage, fail
     with pytest.raises(Failure):
         process_batch(lines(second), 1, tables, threshold=15)
-    tables.trend_rows.append = append
+    tables.trend_rows.stage = stage
     process_batch(lines(second), 1, tables, threshold=15)
     assert contents(tables) == contents(whole)
 
@@ -192,7 +194,7 @@ def test_repeat_uses_the_blacklist_of_the_first_try(tables, lines, monkeypatch):
         raise Failure
 
     with monkeypatch.context() as cut_short:
-        cut_short.setattr(tables.trend_rows, "append", fail)
+        cut_short.setattr(tables.trend_rows, "stage", fail)
         with pytest.raises(Failure):
             process_batch(clicks, 0, tables, count_users=False)
     store_user_counts(
@@ -208,23 +210,35 @@ def test_repeat_uses_the_blacklist_of_the_first_try(tables, lines, monkeypatch):
 
 def test_batch_writes_only_what_it_changes(tables, lines):
     process_batch(lines([line(i, i % 9, i, i % 5) for i in range(300)]), 0, tables)
-    early = tables.stat()
+    running = (tables.user_rows, tables.stat_rows, tables.trend_rows, tables.top3_rows)
     for batch_id in range(1, 4):
+        early = [set(table.rows().inputFiles()) for table in running]
         process_batch(lines([line(900 + batch_id, 1, 1, 1)]), batch_id, tables)
-        for name in ("user_rows", "stat_rows", "trend_rows"):
-            rows = getattr(tables, name).rows().where(f"batch = {batch_id}")
-            assert rows.count() == 1
-    assert sum(r[-1] for r in tuples(early)) == 300  # its files are all still there
-
-
-def test_compacted_table_goes_on(tables, lines, scratch):
-    for batch_id in range(3):
-        process_batch(lines([line(batch_id, 1, 1, 1)]), batch_id, tables)
-    whole = tables.stat_rows.compact(tables.stat(), f"{scratch}/compacted", 2)
-    assert whole.rows().count() == 1
-    assert tuples(whole.added(["date", "province", "city", "adid"], "clickCount")) == tuples(
-        tables.stat()
-    )
+        for table, files in zip(running, early):
+            assert len(table.staged().inputFiles()) == 1
+            assert len(files - set(table.rows().inputFiles())) <= 1
+
+
+def test_batch_reads_no_more_than_the_first_ones_did(tables, lines, monkeypatch):
+    """Two batches a day: the second reads the files of its day's buckets, the first none."""
+    read = []
+    lookup = BucketTable.lookup
+
+    def noted(self, keys):
+        found = lookup(self, keys)  # its plan names all files, its scan opens these
+        read.append(found.select(F.input_file_name()).distinct().count())
+        return found
+
+    monkeypatch.setattr(BucketTable, "lookup", noted)
+    per_batch = []
+    for batch_id in range(6):
+        read.clear()
+        day = 86_400 * (batch_id // 2)
+        batch = [line(day + 60 * batch_id + i, i % 3, i % 4, 1) for i in range(20)]
+        process_batch(lines(batch), batch_id, tables)
+        per_batch.append(sum(read))
+    assert per_batch[1] > 0 and set(per_batch[1::2]) == {per_batch[1]} and set(per_batch[::2]) == {0}
+    assert len(tables.stat_rows.rows().inputFiles()) > per_batch[1]
 
 
 def test_trend_reads_only_the_last_hours(tables, lines):

@@ -1,7 +1,8 @@
 """Shop tables derived from the generic test tables (events, customer, part).
 
 Every derivation is a row-wise projection, so it adds no shuffle and column
-pruning reaches the files.
+pruning reaches the files. Ad lines also come as files that arrive one after
+another, for streams of many batches.
 """
 
 from __future__ import annotations
@@ -102,9 +103,35 @@ def ad_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _lines_of(_read(spark, folder, "events", _EVENTS))
 
 
-def ad_line_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same lines as a stream over the files of the events.
+DAY_MILLIS = 86_400_000
 
-    A pattern may name a single file, which a plain path of a stream may not.
+
+def ad_line_arrivals(
+    spark: SparkSession, folder: str, parts: int, late_users: int = 0, late_days: int = 0
+) -> DataFrame:
+    """Ad lines, column ``value``, with the part 0 to ``parts`` - 1 of the time they arrive in.
+
+    Lines arrive at the time of their click, but those of every ``late_users``-th user
+    (by id; 0 for none) come ``late_days`` later.
+    """
+    delay = f"IF(user_id % {late_users} = 0, {late_days * DAY_MILLIS}, 0)" if late_users else "0"
+    lines = _typed_events(_read(spark, folder, "events", _EVENTS), None, None)
+    lines = lines.where("event_type = 'click'").selectExpr(
+        "concat_ws(' ', unix_millis(ts), user_id % 10, user_id % 10, user_id, k % 20) AS value",
+        f"unix_millis(ts) + {delay} AS arrival",
+    )
+    first, last = lines.agg(F.min("arrival"), F.max("arrival")).first()
+    if first is None:
+        return lines.select("value", F.lit(0).cast("long").alias("part"))
+    return lines.selectExpr("value", f"(arrival - {first}L) * {parts} div {last - first + 1}L AS part")
+
+
+def write_ad_line_parts(lines: DataFrame, target: str, parts: range, files: int) -> None:
+    """Append the lines of each part to a folder, part after part, as ``files`` files each.
+
+    A stream that takes ``files`` files at a time then has one batch a part, in order.
+    A part should hold at least ``files`` lines.
     """
-    return _lines_of(spark.readStream.schema(_EVENTS).parquet(f"{folder}/events.parque[t]"))
+    for part in parts:
+        mine = lines.where(F.col("part") == part).select("value")
+        mine.repartition(files).write.mode("append").text(target)

@@ -1,10 +1,11 @@
 """The ad-click pipeline: filter, count, list offenders, publish.
 
 One ``foreachBatch`` does the steps in order, so that users listed by one batch
-are filtered from the next one on. A batch appends the rows it changes and
-nothing else; running it again after a failure replaces them, from the same
-inputs: the state of all tables before the batch, and the blacklist that the
-first try noted down before it wrote anything.
+are filtered from the next one on. Running values lie in bucketed tables: a batch
+reads and replaces the buckets its keys fall into, whatever came before it. All new
+contents are written apart and noted before any is put in place, so a batch that
+comes again after a failure is finished or begun anew from the same inputs: the
+tables before the batch, and the blacklist that the first try noted down.
 
 The per-user counts of a day are read again for the users of a batch. Where a day
 holds too many for that, leave them to Spark's state store: run
@@ -25,12 +26,16 @@ from visitlens import schemas
 from visitlens.operators import ads
 from visitlens.operators.joins import rows_without_key
 from visitlens.sinks.batches import BATCH, BatchTable
+from visitlens.sinks.buckets import (
+    BucketTable, Ledger, adding, replacing, replacing_group, together,
+)
 from visitlens.sources.adlog import parse_ad_log, rejected_ad_lines
 from visitlens.streaming.native import user_daily_clicks_stream
 
 STAT_KEYS = ("date", "province", "city", "adid")
 TREND_KEYS = ("date", "hour", "minute", "adid")
 USER_KEYS = ("date", "userid", "adid")
+TOP3_KEYS = ("date", "province")
 _LINE = T.StructType([T.StructField("value", T.StringType())])
 _USED = T.StructType([T.StructField("listed_before", T.LongType())])
 
@@ -40,44 +45,52 @@ class AdTables:
     """The tables and checkpoints below one folder all executors share."""
 
     folder: str
+    ledger: Ledger
+    users_ledger: Ledger
     blacklist_rows: BatchTable
     blacklist_used: BatchTable
-    user_rows: BatchTable
-    stat_rows: BatchTable
-    top3_rows: BatchTable
-    trend_rows: BatchTable
+    user_rows: BucketTable
+    stat_rows: BucketTable
+    top3_rows: BucketTable
+    trend_rows: BucketTable
     rejected_rows: BatchTable
 
     @classmethod
     def under(cls, spark: SparkSession, folder: str) -> AdTables:
-        def table(name, schema, *partition_by):
-            return BatchTable(spark, f"{folder}/{name}", schema, partition_by)
+        def growing(name, schema):
+            return BatchTable(spark, f"{folder}/{name}", schema)
+
+        def running(name, schema, *bucket_by):
+            return BucketTable(spark, f"{folder}/{name}", schema, bucket_by, day="date")
 
         return cls(
             folder,
-            table("ad_blacklist", schemas.AD_BLACKLIST),
-            table("ad_blacklist_used", _USED),
-            table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT),
-            table("ad_stat", schemas.AD_STAT),
-            table("ad_province_top3", schemas.AD_PROVINCE_TOP3),
-            table("ad_click_trend", schemas.AD_CLICK_TREND, "date"),
-            table("rejected_lines", _LINE),
+            Ledger(spark, f"{folder}/ledger"),
+            Ledger(spark, f"{folder}/users_ledger"),
+            growing("ad_blacklist", schemas.AD_BLACKLIST),
+            growing("ad_blacklist_used", _USED),
+            running("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "userid"),
+            running("ad_stat", schemas.AD_STAT, "province"),
+            running("ad_province_top3", schemas.AD_PROVINCE_TOP3, "province"),
+            # clicks of one batch lie in few hours, and so in few buckets
+            running("ad_click_trend", schemas.AD_CLICK_TREND, "hour"),
+            growing("rejected_lines", _LINE),
         )
 
     def blacklist(self, before: int | None = None) -> DataFrame:
         return self.blacklist_rows.rows(before).select("date", "userid")
 
-    def user_click_count(self, before: int | None = None) -> DataFrame:
-        return self.user_rows.newest(USER_KEYS, before)
+    def user_click_count(self) -> DataFrame:
+        return self.user_rows.rows()
 
-    def stat(self, before: int | None = None) -> DataFrame:
-        return self.stat_rows.added(STAT_KEYS, "clickCount", before)
+    def stat(self) -> DataFrame:
+        return self.stat_rows.rows()
 
-    def province_top3(self, before: int | None = None) -> DataFrame:
-        return self.top3_rows.newest_group(("date", "province"), before)
+    def province_top3(self) -> DataFrame:
+        return self.top3_rows.rows()
 
-    def click_trend(self, before: int | None = None) -> DataFrame:
-        return self.trend_rows.added(TREND_KEYS, "clickCount", before)
+    def click_trend(self) -> DataFrame:
+        return self.trend_rows.rows()
 
     def rejected(self) -> DataFrame:
         return self.rejected_rows.rows().select("value")
@@ -103,38 +116,58 @@ def process_batch(
     count_users: bool = True,
 ) -> None:
     """Apply one micro-batch of ad lines to all tables."""
+    if tables.ledger.noted() != batch_id:
+        stage_batch(lines, batch_id, tables, threshold, count_users)
+    changed = [tables.stat_rows, tables.trend_rows, tables.top3_rows]
+    together(*(table.publish for table in [*changed, *([tables.user_rows] if count_users else [])]))
+
+
+def stage_batch(
+    lines: DataFrame,
+    batch_id: int,
+    tables: AdTables,
+    threshold: int = ads.BLACKLIST_THRESHOLD,
+    count_users: bool = True,
+) -> None:
+    """Write all new contents of a batch apart and note them as complete."""
     lines = lines.persist()
     # Another stream may add to the list meanwhile; this one's own batches can't.
     before = batch_id if count_users else _listed_before(batch_id, tables)
     clean = ads.ad_blacklist_filter(parse_ad_log(lines), tables.blacklist(before)).persist()
-    try:
+    stat = ads.ad_realtime_stat(clean).persist()
+
+    def store_rejected():
         tables.rejected_rows.append(batch_id, rejected_ad_lines(lines))
-        stat = ads.ad_realtime_stat(clean)
-        tables.stat_rows.append(batch_id, stat)
-        tables.trend_rows.append(batch_id, ads.ad_minute_counts(clean))
+
+    def stage_stat():
+        current = tables.stat_rows.stage(stat, adding(STAT_KEYS, "clickCount"))
         # only provinces with clicks in this batch change their ranking
-        touched = stat.select("date", "province").distinct()
-        current = tables.stat(before=batch_id + 1).join(touched, ["date", "province"], "left_semi")
-        tables.top3_rows.append(batch_id, ads.ad_province_top3(current))
-        if count_users:
-            _count_users(clean, batch_id, tables, threshold)
+        touched = stat.select(*TOP3_KEYS).distinct()
+        ranked = ads.ad_province_top3(current.join(touched, list(TOP3_KEYS), "left_semi"))
+        tables.top3_rows.stage(ranked, replacing_group(TOP3_KEYS), keys=touched)
+
+    def stage_trend():
+        tables.trend_rows.stage(ads.ad_minute_counts(clean), adding(TREND_KEYS, "clickCount"))
+
+    def stage_users():
+        daily = ads.ad_user_daily_clicks(clean)
+        counts = tables.user_rows.stage(daily, adding(USER_KEYS, "clickCount"))
+        _list_users(counts, batch_id, tables, threshold)
+
+    try:
+        together(
+            store_rejected, stage_stat, stage_trend, *([stage_users] if count_users else [])
+        )
+        tables.ledger.note(batch_id)
     finally:
-        clean.unpersist()
-        lines.unpersist()
+        for kept in (stat, clean, lines):
+            kept.unpersist()
 
 
-def _count_users(clean: DataFrame, batch_id: int, tables: AdTables, threshold: int) -> None:
-    """Append the running counts of this batch's keys, list new users."""
-    daily = ads.ad_user_daily_clicks(clean)
-    keys = list(USER_KEYS)
-    earlier = tables.user_click_count(before=batch_id).join(
-        daily.select(*keys), keys, "left_semi"
-    )
-    running = earlier.unionByName(daily).groupBy(*keys).agg(F.sum("clickCount").alias("clickCount"))
-    tables.user_rows.append(batch_id, running)
-    mine = tables.user_rows.rows().where(F.col(BATCH) == batch_id)
+def _list_users(counts: DataFrame, batch_id: int, tables: AdTables, threshold: int) -> None:
+    """List the users who reached the threshold, but for those listed earlier."""
     listed = tables.blacklist(before=batch_id)
-    tables.blacklist_rows.append(batch_id, ads.ad_blacklist_update(mine, listed, threshold))
+    tables.blacklist_rows.append(batch_id, ads.ad_blacklist_update(counts, listed, threshold))
 
 
 def store_user_counts(
@@ -143,21 +176,22 @@ def store_user_counts(
     tables: AdTables,
     threshold: int = ads.BLACKLIST_THRESHOLD,
 ) -> None:
-    """Append the running counts that a batch of the state store changed, list users.
+    """Store the running counts that a batch of the state store changed, list users.
 
     The counts include clicks of listed users. That lists the same users in the
     same batches, since no click of a user is filtered before the user is listed;
     rows of users listed earlier are left out here.
     """
-    listed = tables.blacklist(before=batch_id)
-    fresh = rows_without_key(updates, listed, "userid").persist()
-    try:
-        tables.user_rows.append(batch_id, fresh)
-        tables.blacklist_rows.append(
-            batch_id, ads.ad_blacklist_update(fresh, threshold=threshold)
-        )
-    finally:
-        fresh.unpersist()
+    if tables.users_ledger.noted() != batch_id:
+        listed = tables.blacklist(before=batch_id)
+        fresh = rows_without_key(updates, listed, "userid").persist()
+        try:
+            tables.user_rows.stage(fresh, replacing(USER_KEYS))
+            _list_users(fresh, batch_id, tables, threshold)
+        finally:
+            fresh.unpersist()
+        tables.users_ledger.note(batch_id)
+    tables.user_rows.publish()
 
 
 def _trigger(every: str | None) -> dict:
@@ -211,11 +245,10 @@ def trailing_trend(tables: AdTables, minutes: int = ads.TREND_MINUTES) -> DataFr
     The newest day comes from partition values; only the days that the minutes
     can reach are read for the newest minute and the counts.
     """
-    rows = tables.trend_rows.rows()
+    rows = tables.click_trend()
     newest_day = F.to_date(rows.agg(F.max("date")).scalar(), "yyyyMMdd")
     oldest_day = F.date_format(F.date_sub(newest_day, -(-minutes // 1440)), "yyyyMMdd")
     recent = rows.where(F.col("date") >= oldest_day)
     minute = F.to_timestamp(F.concat("date", "hour", "minute"), "yyyyMMddHHmm")
     newest = recent.agg(F.max(minute)).scalar()
-    kept = recent.where(minute >= newest - F.make_dt_interval(mins=F.lit(minutes - 1)))
-    return kept.groupBy(*TREND_KEYS).agg(F.sum("clickCount").alias("clickCount"))
+    return recent.where(minute >= newest - F.make_dt_interval(mins=F.lit(minutes - 1)))
