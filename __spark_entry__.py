@@ -20,23 +20,26 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from sql_equivalents import SQL_EQUIVALENTS
 from visitlens.functions.times import time_text
-from visitlens.operators import ads, areas, categories, funnel, sampling, sessions
+from visitlens.operators import ads, areas, categories, funnel, lists, sampling, sessions
 from visitlens import schemas
 from visitlens.params import TaskParams
 from visitlens.plans import jobs
 from visitlens.plans.area_sql import area_top3_by_sql
-from visitlens.session import shared_dir
-from visitlens.sinks import merge
+from visitlens.session import materialize, shared_dir
+from visitlens.sinks import merge, partition_files, tables
 from visitlens.sinks.buckets import BucketTable
 from visitlens.sources import adlog, derived
 from visitlens.streaming import closing, native, pipeline
 from visitlens.sources.dimensions import city_dimension
+from visitlens.sources.tables import in_date_range, lookup, read_actions, read_users
 
 TASK_ID = "task-1"
 SAMPLE_SIZE = 3000
 SEED = 7
 THRESHOLD = 2  # no user of the test tables clicks one ad 100 times a day
 TREND_DAYS = 5
+BUCKETS = 8
+SOME_USERS = (1, 7, 11)
 HALF = "2024-01-16"  # where the merge queries split "current" from "delta"
 
 # The keys of the job parameters.
@@ -531,6 +534,120 @@ def insert_new(spark, d):
     return merge.insert_new(first_day(early), first_day(late), ["userid"])
 
 
+# ---- tables of the catalog, by partition, bucket and task ------------------------
+
+
+def _stored(spark: SparkSession, kind: str) -> tuple[str, str]:
+    """A new table's name and folder."""
+    name = f"visitlens_{kind}_{uuid.uuid4().hex}"
+    return name, f"{shared_dir(spark)}/{name}"
+
+
+def catalog_actions(spark, d):
+    """Three days of a table by date, which replaced one of half its days."""
+    name, path = _stored(spark, "actions")
+    actions = _actions(spark, d)
+    for rows in (actions.where(F.col("date") < HALF), actions):
+        tables.overwrite_table(rows, name, ["date"], path)
+    stored = in_date_range(read_actions(spark, name), "2024-01-15", "2024-01-17")
+    return stored.select("event_id", "date", "user_id", "session_id", "page_id", "action_time")
+
+
+def _bucketed_sessions(spark, d):
+    name, path = _stored(spark, "sessions")
+    facts = sessions.session_facts(_actions(spark, d))
+    tables.overwrite_bucketed(facts, name, "user_id", BUCKETS, path)
+    return spark.table(name)
+
+
+def bucketed_sessions_of_users(spark, d):
+    """Sessions and users stored by the same buckets: the join needs no shuffle."""
+    name, path = _stored(spark, "users")
+    tables.overwrite_bucketed(derived.user_info(spark, d), name, "user_id", BUCKETS, path)
+    found = sessions.with_user(_bucketed_sessions(spark, d), spark.table(name))
+    return found.withColumn("start_time", time_text(F.col("start_time")))
+
+
+def bucketed_user_lookup(spark, d):
+    """Sessions of three users, from their buckets."""
+    found = lookup(_bucketed_sessions(spark, d), "user_id", SOME_USERS)
+    return found.withColumn("start_time", time_text(F.col("start_time")))
+
+
+def session_bucket_ratios_observed(spark, d):
+    """The shares from counts that came along while the sessions were written."""
+    observed, counts = sessions.observed_sessions(_matching(spark, d))
+    materialize(observed, "matching")
+    return jobs.session_aggr_stat(sessions.observed_bucket_ratios(spark, counts), TASK_ID)
+
+
+def category_users(spark, d):
+    """The users who clicked each category, as texts of at most 25 ids."""
+    clicks = _actions(spark, d).where("click_category_id <> -1")
+    users = clicks.select(F.col("click_category_id").alias("category_id"), "user_id")
+    return lists.concat_distinct_chunks(users, ["category_id"], "user_id", 25)
+
+
+def partition_writes(spark, d):
+    """Clicks written and committed by partition."""
+    clicks, folder = ad_user_daily_clicks(spark, d), _new_folder(spark)
+    partition_files.append_partitions(clicks, folder)
+    return partition_files.read_partitions(spark, folder, clicks.schema)
+
+
+def stream_partition_writes(spark, d):
+    """A stream of clicks whose batches are written and committed by partition."""
+    arrivals = _Arrivals(spark, d)
+    for parts in ((0, 2), (2, PARTS)):
+        clicks = adlog.parse_ad_log(arrivals.arrive(*parts))
+        clicks = clicks.select(F.unix_millis("ts").alias("ts_millis"), *clicks.columns[1:])
+        table = f"{arrivals.folder}/clicks"
+        partition_files.start_appending(
+            clicks, table, f"{arrivals.folder}/checkpoint", every=None
+        ).awaitTermination()
+    return partition_files.read_partitions(spark, table, clicks.schema)
+
+
+# ---- whole jobs, over tables of the catalog -------------------------------------
+
+
+def _shop(spark, d):
+    """Actions by date and users, as tables that the jobs read by name."""
+    actions, actions_path = _stored(spark, "actions")
+    users, users_path = _stored(spark, "users")
+    tables.overwrite_table(_actions(spark, d), actions, ["date"], actions_path)
+    tables.overwrite_table(derived.user_info(spark, d), users, (), users_path)
+    return read_actions(spark, actions), read_users(spark, users)
+
+
+def _session_job(spark, d):
+    actions, users = _shop(spark, d)
+    return jobs.run_session_job(actions, users, PARAMS, TASK_ID, SAMPLE_SIZE, SEED)
+
+
+def job_session_aggr_stat(spark, d):
+    return _session_job(spark, d)["session_aggr_stat"]
+
+
+def job_session_random_extract(spark, d):
+    return _session_job(spark, d)["session_random_extract"]
+
+
+def job_top10_session(spark, d):
+    return _session_job(spark, d)["top10_session"]
+
+
+def job_page_split(spark, d):
+    actions, _ = _shop(spark, d)
+    return jobs.run_page_job(actions, PARAMS, TASK_ID, ("event_id",))["page_split_convert_rate"]
+
+
+def job_area_top3(spark, d):
+    actions, _ = _shop(spark, d)
+    products = derived.product_info(spark, d)
+    return jobs.run_area_job(spark, actions, products, PARAMS, TASK_ID)["area_top3_product"]
+
+
 # ---- contract --------------------------------------------------------------
 
 _QUERIES = [
@@ -588,6 +705,18 @@ _QUERIES = [
     upsert_replace,
     replace_group,
     insert_new,
+    catalog_actions,
+    bucketed_sessions_of_users,
+    bucketed_user_lookup,
+    session_bucket_ratios_observed,
+    category_users,
+    partition_writes,
+    stream_partition_writes,
+    job_session_aggr_stat,
+    job_session_random_extract,
+    job_top10_session,
+    job_page_split,
+    job_area_top3,
 ]
 
 

@@ -546,3 +546,46 @@ SQL_EQUIVALENTS |= {
            GROUP BY ALL""",
     ),
 }
+
+
+# ---- tables of the catalog, and whole jobs over them
+
+SQL_EQUIVALENTS |= {
+    "catalog_actions": _with(
+        [_ACTIONS],
+        """SELECT event_id, date, user_id, session_id, page_id, action_time FROM actions
+           WHERE date BETWEEN '2024-01-15' AND '2024-01-17'""",
+    ),
+    "bucketed_sessions_of_users": _with(
+        _SESSION, f"SELECT {_SESSION_COLUMNS}, {_USER_COLUMNS} FROM sessions"
+    ),
+    "bucketed_user_lookup": _with(
+        [_ACTIONS],
+        """SELECT session_id, min(user_id) AS user_id,
+                  strftime(min(sec), '%Y-%m-%d %H:%M:%S') AS start_time,
+                  CAST(epoch(max(sec)) - epoch(min(sec)) AS BIGINT) AS visit_length,
+                  count(*) AS step_length
+           FROM actions GROUP BY session_id HAVING min(user_id) IN (1, 7, 11)""",
+    ),
+    "category_users": _with(
+        [_ACTIONS],
+        """SELECT category_id, chunk, count(*) AS n_values,
+                  string_agg(user_id::VARCHAR, ',' ORDER BY user_id) AS text
+           FROM (SELECT *, (row_number() OVER (
+                          PARTITION BY category_id ORDER BY user_id) - 1) // 25 AS chunk
+                 FROM (SELECT DISTINCT click_category_id AS category_id, user_id
+                       FROM actions WHERE click_category_id <> -1))
+           GROUP BY category_id, chunk""",
+    ),
+}
+for _again, _first in {
+    "session_bucket_ratios_observed": "session_bucket_ratios",
+    "partition_writes": "ad_user_daily_clicks",
+    "stream_partition_writes": "parse_ad_log",
+    "job_session_aggr_stat": "session_bucket_ratios",
+    "job_session_random_extract": "session_stratified_sample",
+    "job_top10_session": "top_sessions_per_category",
+    "job_page_split": "page_flow_conversion",
+    "job_area_top3": "area_top3_product_result",
+}.items():
+    SQL_EQUIVALENTS[_again] = SQL_EQUIVALENTS[_first]

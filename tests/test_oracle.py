@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 
 import duckdb
@@ -26,6 +27,15 @@ def db():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def pipelines_run_once():
+    """Queries that show different tables of the same run share it here."""
+    with pytest.MonkeyPatch.context() as patched:
+        for name in ("_after_pipeline", "_after_feedback", "_after_restarts", "_session_job"):
+            patched.setattr(registered, name, functools.cache(getattr(registered, name)))
+        yield
+
+
 def test_every_query_has_sql():
     assert set(CORE) <= set(registered.queries()) & set(registered.oracle_sql())
 

@@ -14,8 +14,8 @@ from visitlens.operators import ads, categories, sessions
 from visitlens.sources import tables
 
 FOLDER = "/root/testdata/sf0.001"
-# The corpus queries have tests of their own.
-CORE = [query.__name__ for query in registered._QUERIES]
+# The corpus queries have tests of their own; what streams return is a plain read.
+CORE = [q.__name__ for q in registered._QUERIES if not q.__name__.startswith("stream_")]
 
 
 def plan(df, final=False):

@@ -1,16 +1,15 @@
 """Session tables: aggregate, filter, bucket shares and raw detail.
 
-A session may hold a very large part of all actions. Times, counts and filter
-flags are fixed-size and combine before the shuffle. The word and category
-lists are deduplicated by (session, kind, value) first, so the task that
-builds a session's list gets each distinct entry, not each action.
+A session may hold a very large part of all actions. Times, counts, filter
+flags and sets combine before the shuffle, so the task that builds a session's
+row gets a row from each task before it, not each action.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.predicates import all_of, any_of, between, equal_to, one_of
@@ -57,6 +56,15 @@ def _step_columns() -> list[Column]:
     ]
 
 
+def _times() -> list[Column]:
+    return [
+        F.min("user_id").alias("user_id"),
+        F.min("ts").alias("start_time"),
+        F.max("ts").alias("end_time"),
+        F.count(F.lit(1)).alias("step_length"),
+    ]
+
+
 def _with_lengths(grouped: DataFrame, *more: str) -> DataFrame:
     return grouped.select(
         "session_id",
@@ -92,43 +100,31 @@ def session_facts(
         actions.select(*_step_columns())
         .groupBy("session_id")
         .agg(
-            F.min("user_id").alias("user_id"),
-            F.min("ts").alias("start_time"),
-            F.max("ts").alias("end_time"),
-            F.count(F.lit(1)).alias("step_length"),
+            *_times(),
             *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
         )
     )
     return _with_lengths(grouped, *flags)
 
 
-FACT, WORD, CATEGORY = 0, 1, 2
-
-
 def _items(actions: DataFrame) -> DataFrame:
-    """One row for each action, and one for each word and category it names.
+    """One row for each word and category that an action names.
 
-    Words and categories come as rows of their own, so a session has as many
-    distinct ones as words plus categories, not words times categories.
+    They come as rows of their own, so a session has as many distinct ones as words
+    plus categories, not words times categories.
     """
     word, category = F.col("word"), F.col("category")
 
-    def item(kind: int, w: Column, c: Column) -> Column:
+    def item(kind: str, w: Column, c: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), w.alias("word"), c.alias("category"))
 
-    no_word, no_category = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     named = F.array(
-        item(FACT, no_word, no_category), item(WORD, word, no_category),
-        item(CATEGORY, no_word, category),
-    )
-    told = F.filter(
-        named,
-        lambda i: (i["kind"] == FACT) | i["word"].isNotNull() | i["category"].isNotNull(),
-    )
-    steps = actions.select(*_step_columns())
-    return steps.select("session_id", "user_id", "ts", F.explode(told).alias("item")).select(
-        "session_id", "user_id", "ts", "item.*"
+        item("word", word, F.lit(None).cast("bigint")),
+        item("category", F.lit(None).cast("string"), category),
     )
+    told = F.filter(named, lambda i: i["word"].isNotNull() | i["category"].isNotNull())
+    steps = actions.select(*_step_columns()).where(word.isNotNull() | category.isNotNull())
+    return steps.select("session_id", F.explode(told).alias("item")).select("session_id", "item.*")
 
 
 def _lists() -> list[Column]:
@@ -140,38 +136,23 @@ def _lists() -> list[Column]:
 
 def session_terms(actions: DataFrame) -> DataFrame:
     """Sorted distinct search words and clicked categories of each session."""
-    distinct = _items(actions).select("session_id", "kind", "word", "category").distinct()
-    return distinct.groupBy("session_id").agg(*_lists())
+    return actions.select(*_step_columns()).groupBy("session_id").agg(*_lists())
 
 
 def session_terms_long(actions: DataFrame) -> DataFrame:
     """The same as one row for each (session, word) and (session, category), for
     sessions whose lists don't fit a row."""
-    items = _items(actions).where(F.col("kind") != FACT)
     value = F.coalesce("word", F.col("category").cast("string"))
-    kind = F.when(F.col("kind") == WORD, "word").otherwise("category")
-    return items.select("session_id", kind.alias("kind"), value.alias("value")).distinct()
+    return _items(actions).select("session_id", "kind", value.alias("value")).distinct()
 
 
 def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
-    """One row per session of a known user: who, when, how long, what."""
-    distinct = (
-        _items(actions)
-        .groupBy("session_id", "kind", "word", "category")
-        .agg(
-            F.min("user_id").alias("user_id"),
-            F.min("ts").alias("start_time"),
-            F.max("ts").alias("end_time"),
-            F.count(F.lit(1)).alias("steps"),
-        )
-    )
-    grouped = distinct.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("start_time").alias("start_time"),
-        F.max("end_time").alias("end_time"),
-        F.sum(F.when(F.col("kind") == FACT, F.col("steps"))).alias("step_length"),
-        *_lists(),
-    )
+    """One row per session of a known user: who, when, how long, what.
+
+    One aggregation and one shuffle: the sets are built before it, so what travels is
+    a row per session and task with the distinct entries seen there.
+    """
+    grouped = actions.select(*_step_columns()).groupBy("session_id").agg(*_times(), *_lists())
     return with_user(
         _with_lengths(grouped, "search_keywords", "click_category_ids"), users
     )
@@ -229,9 +210,14 @@ def filtered_session_detail(actions: DataFrame, sessions: DataFrame) -> DataFram
     return rows_with_key(actions, sessions, "session_id")
 
 
-def _share(length: str, low: int, high: int | None) -> str:
-    inside = f"{length} >= {low}" if high is None else f"{length} BETWEEN {low} AND {high}"
-    return f"round(try_divide(count_if({inside}), count(1)), 2)"
+def _bucket_counts() -> dict[str, str]:
+    """SQL that counts the sessions of each bucket, by bucket."""
+    counts = {}
+    for column, buckets in (("visit_length", VISIT_LENGTHS), ("step_length", STEP_LENGTHS)):
+        for name, low, high in buckets:
+            inside = f"{column} >= {low}" if high is None else f"{column} BETWEEN {low} AND {high}"
+            counts[name] = f"count_if({inside})"
+    return counts
 
 
 def session_bucket_ratios(sessions: DataFrame) -> DataFrame:
@@ -242,8 +228,32 @@ def session_bucket_ratios(sessions: DataFrame) -> DataFrame:
     return sessions.agg(
         F.count(F.lit(1)).alias("session_count"),
         *[
-            F.expr(_share(column, low, high)).alias(f"{name}_ratio")
-            for column, buckets in (("visit_length", VISIT_LENGTHS), ("step_length", STEP_LENGTHS))
-            for name, low, high in buckets
+            F.expr(f"round(try_divide({count}, count(1)), 2)").alias(f"{name}_ratio")
+            for name, count in _bucket_counts().items()
+        ],
+    )
+
+
+def observed_sessions(sessions: DataFrame) -> tuple[DataFrame, Observation]:
+    """The sessions with their bucket counts taken along by whatever pass reads them next.
+
+    Read them in the last stage of a write: there Spark counts each task's success once,
+    whatever was tried again or lost.
+    """
+    observation = Observation()
+    counts = [F.expr(count).alias(name) for name, count in _bucket_counts().items()]
+    total = F.count(F.lit(1)).alias("session_count")
+    return sessions.observe(observation, total, *counts), observation
+
+
+def observed_bucket_ratios(spark: SparkSession, observation: Observation) -> DataFrame:
+    """:func:`session_bucket_ratios` from counts that a pass has taken along."""
+    counts = observation.get
+    total = F.lit(counts["session_count"]).cast("long")
+    return spark.range(1).select(
+        total.alias("session_count"),
+        *[
+            F.round(F.try_divide(F.lit(counts[name]).cast("long"), total), 2).alias(f"{name}_ratio")
+            for name in _bucket_counts()
         ],
     )

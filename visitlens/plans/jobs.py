@@ -91,12 +91,14 @@ def run_session_job(
 
     The actions are read for the sessions, for the category counts and for the
     words of the sampled sessions. Everything else works on the tables
-    written in between, which survive lost executors.
+    written in between, which survive lost executors; the bucket counts come
+    along with the pass that writes the matching sessions.
     """
     actions = in_date_range(actions, params.start_date, params.end_date)
     facts = sessions.session_facts(actions, params.keywords, params.category_ids)
     everyone = materialize(sessions.with_user(facts, users), "sessions", folder)
-    matching = sessions.flagged_sessions(everyone, params)
+    observed, counted = sessions.observed_sessions(sessions.flagged_sessions(everyone, params))
+    matching = materialize(observed, "matching", folder)
     counts = materialize(
         categories.counts_of_sessions(categories.session_category_counts(actions), matching),
         "session-categories",
@@ -108,7 +110,7 @@ def run_session_job(
     )
     return {
         "session_aggr_stat": session_aggr_stat(
-            sessions.session_bucket_ratios(matching), task_id
+            sessions.observed_bucket_ratios(actions.sparkSession, counted), task_id
         ),
         "session_random_extract": session_random_extract(
             sampling.sample_with_terms(sample, actions), task_id

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
@@ -13,12 +13,34 @@ def with_task_id(df: DataFrame, task_id: str) -> DataFrame:
     return df.select(F.lit(task_id).alias("taskid"), "*")
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a managed table. Partition actions by ``date`` to prune scans."""
+def overwrite_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None
+) -> None:
+    """Replace a catalog table, kept below ``path`` or in the warehouse.
+
+    Partition actions by ``date`` to prune scans.
+    """
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    _save(writer, name, path)
+
+
+def overwrite_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int, path: str | None = None
+) -> None:
+    """Replace a catalog table stored by the hash of ``key``, one sorted file a bucket.
+
+    Tables with the same buckets join by the key without a shuffle, and a lookup by key
+    opens one bucket. A key with a large part of all rows is one large bucket: store
+    rows by a key that spreads them, such as sessions or users, not actions.
+    """
+    placed = df.repartition(buckets, key)
+    _save(placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key), name, path)
+
+
+def _save(writer: DataFrameWriter, name: str, path: str | None) -> None:
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def append_files(df: DataFrame, path: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,3 +38,8 @@ def in_date_range(actions: DataFrame, start: str, end: str) -> DataFrame:
     the table is partitioned by ``date`` and as a Parquet filter otherwise.
     """
     return actions.where(F.col("date").between(start, end))
+
+
+def lookup(table: DataFrame, key: str, values: Sequence) -> DataFrame:
+    """Rows of the given keys; of a table bucketed by ``key`` only their buckets are opened."""
+    return table.where(F.col(key).isin(list(values)))
