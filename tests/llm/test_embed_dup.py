@@ -103,3 +103,39 @@ def test_unusable_vectors(spark):
     assert {k: v for k, v in told(got).items() if k is not None} == by_force(rows)
     assert [tuple(r) for r in got if r.vec_id is None] == [(None, 0, None, True)]
     assert embed_dup.near_duplicate_vectors(frame.where("false")).count() == 0
+
+
+def by_rows(rows):
+    """The same for rows whose ids may repeat: [(id, links, component)]."""
+    unit = []
+    for _, v in rows:
+        v = np.array(v, dtype=np.longdouble)
+        unit.append(v / np.abs(v).max() / np.sqrt(((v / np.abs(v).max()) ** 2).sum()))
+    near = [
+        {j for j in range(len(rows)) if j != i and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.9}
+        for i in range(len(rows))
+    ]
+    label = [i for i, _ in rows]
+    for _ in rows:
+        label = [min([label[i], *(label[j] for j in near[i])]) for i in range(len(rows))]
+    return sorted((r[0], len(near[i]), label[i]) for i, r in enumerate(rows))
+
+
+def test_ids_that_repeat_lose_no_link(spark):
+    a, b = [1.0, 0.0, 0.5], [0.0, 1.0, -0.5]
+    rows = [(1, a), (1, b), (2, b), (3, b)]
+    rng = np.random.default_rng(3)
+    many = [(int(rng.integers(0, 60)), v) for v in clusters(rng, 12, 9, 0.05)] + [(7, b), (7, b), (8, a)]
+    for given in (rows, many):
+        frame = spark.createDataFrame(given, "vec_id long, embedding array<float>")
+        got = embed_dup.near_duplicate_vectors(frame).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == by_rows(given)
+        assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
+def test_very_large_and_very_small_vectors(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1.0, 2.0]), (3, [1e-200, 2.1e-200]), (4, [5e-324, 0.0]), (5, [1e308, 1.0]),
+            (6, [0.0, -0.0]), (7, [3.0, -0.0]), (8, [3.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = told(embed_dup.near_duplicate_vectors(frame).collect())
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (3, 4), 5: (3, 4), 6: (0, 6), 7: (3, 4), 8: (3, 4)}

@@ -1,6 +1,6 @@
 """Near-duplicates of embeddings by E8 lattice hashing.
 
-1. Equal vectors become one node with a number of copies.
+1. Equal vectors become one node: a number of its own, its copies, its smallest id.
 2. In each of ``TABLES`` tables a node is projected at random to ``PARTS`` times
    eight dimensions and each part is decoded to its nearest E8 point; the points
    together name its cell. It lives there and also visits the cells that differ
@@ -10,15 +10,16 @@
    more than once counts where it meets first, which its cells tell; so links are
    counted without listing them.
 4. Each block names the smallest member that each node reaches in it; components
-   follow by large-star and small-star.
+   follow by large-star and small-star, and take the smallest id of their nodes.
 
 A pair of cosine 0.9 is found with a probability of about 0.97 (2 to 512 components
 were simulated), one of 0.95 almost surely; no pair below 0.9 is linked.
 
 Cases: a vector that is null, empty or zero, or holds null, NaN or infinity links
 with nothing; so does a row with a null id, whose component is null. Vectors of
-different lengths aren't compared. Where an id repeats with different vectors,
-one of them (the smallest digest) is compared and the other rows link with nothing.
+different lengths aren't compared. Rows are compared by their vectors, whatever
+their ids: repeated rows link with each other, and an id that comes with different
+vectors has the links of each in the row of each.
 """
 
 from __future__ import annotations
@@ -46,6 +47,13 @@ BLOCK = 256
 SEED = 8
 
 
+def _units(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; a power of two keeps squares from overflowing or vanishing."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1))
+    scaled = np.ldexp(vectors, -exponent[:, None])
+    return scaled / np.sqrt((scaled * scaled).sum(axis=1))[:, None]
+
+
 @lru_cache(maxsize=4)
 def _projection(size: int) -> tuple[np.ndarray, np.ndarray]:
     """(size, TABLES * PARTS * 8) projections and the shifts of the lattices."""
@@ -68,7 +76,7 @@ def cells(vectors: np.ndarray) -> np.ndarray:
     """
     n, size = vectors.shape
     projection, shift = _projection(size)
-    unit = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+    unit = _units(vectors)
     image = np.tile(shift, (n, 1))
     for d in range(size):
         image += unit[:, d, None] * projection[d]
@@ -102,9 +110,8 @@ def _describe(kind: type):
                 raw = None
                 if values and None not in values:
                     vector = np.array(values, dtype=kind)
-                    length = np.sqrt((vector.astype(np.float64) ** 2).sum())
-                    if np.isfinite(length) and length > 0:
-                        raw = vector.tobytes()
+                    if np.isfinite(vector).all() and vector.any():
+                        raw = (vector + kind(0)).tobytes()  # -0.0 is 0.0
                 digests.append(raw and blake2b(raw, digest_size=16).digest())
                 vectors.append(raw)
             yield pa.RecordBatch.from_arrays(
@@ -165,7 +172,7 @@ def _compare(kind: type):
         group = np.repeat(np.arange(len(starts)), sizes)
         found_i, found_j = [], []
         for rows, vectors in _stacks(r["vector"].tolist(), kind):
-            unit = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+            unit = _units(vectors)
             own = group[rows]
             most = np.bincount(own).max(initial=0) if len(own) else 0
             for apart in range(1, int(most)):
@@ -245,11 +252,9 @@ def near_duplicate_vectors(
     nodes = save(
         described.where(F.col("vec_id").isNotNull() & F.col("digest").isNotNull())
         .groupBy("digest")
-        .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"),
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"),
              F.min("vector").alias("vector"))
-        .groupBy("node")
-        .agg(F.min(F.struct("digest", "copies", "vector")).alias("first"))
-        .select("node", "first.*")
+        .withColumn("node", F.monotonically_increasing_id())  # stored with the row
     )
     placed = save(
         nodes.select("node", "vector").mapInArrow(
@@ -279,14 +284,19 @@ def near_duplicate_vectors(
     )
     links = counted.groupBy("node").agg(F.sum("links").alias("links"))
     components = connected_components(counted.where("node != reaches"), "node", "reaches")
-    told = save(
-        nodes.select("node", "digest", "copies")
+    placed_nodes = save(
+        nodes.select("node", "digest", "copies", "least")
         .join(links, "node", "left").join(components, "node", "left")
         .select(
-            "digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component"),
+            "digest", "least", F.coalesce("component", "node").alias("root"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
+    # combined before the shuffle and written, so that a large component is one row here
+    roots = save(placed_nodes.groupBy("root").agg(F.min("least").alias("component")))
+    told = save(
+        placed_nodes.join(roots, "root").select("digest", "n_links", "component")
+    )
     return (
         described.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("digest")).alias("digest"))
         .join(told, "digest", "left")
