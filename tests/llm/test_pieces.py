@@ -79,3 +79,26 @@ def test_frames(documents, library):
     again = pieces.decode(encoded, queries.PIECE_MODEL)
     assert sorted(r.text for r in again.collect()) == sorted([*(t or "" for t in TEXTS), "x", "x"])
     assert pieces.encode(documents(), queries.PIECE_MODEL).count() == 0
+
+
+def test_pairs_are_forgotten_and_told_again(monkeypatch):
+    from visitlens.llm import pieces
+    from visitlens.llm.queries import PIECE_MODEL
+
+    texts = [f"some {w} words of {w[::-1]} and {i}" for i, w in enumerate(("alpha", "beta", "gamma")) for _ in (0, 1)]
+    whole = pieces.PieceModel(PIECE_MODEL)
+    monkeypatch.setattr(pieces, "REMEMBERED_PAIRS", 3)
+    few = pieces.PieceModel(PIECE_MODEL)
+    for text in texts:
+        assert few.encode([text])[0].tolist() == whole.encode([text])[0].tolist()
+        assert len(few._pairs) < 60
+    assert pieces.PieceTexts(PIECE_MODEL).decode(*whole.encode(texts)) == texts
+
+
+def test_decoding_in_blocks(spark, documents, monkeypatch):
+    from visitlens.llm import pieces
+    from visitlens.llm.queries import PIECE_MODEL
+
+    docs = documents((1, "word " * 700_000), (2, None), (3, ""), (4, "short"), (5, "other " * 300_000))
+    back = pieces.decode(pieces.encode(docs, PIECE_MODEL), PIECE_MODEL).collect()
+    assert {r.doc_id: r.text for r in back} == {r.doc_id: r.text or "" for r in docs.collect()}

@@ -103,3 +103,31 @@ def test_damaged_block_is_noticed():
     broken[-12] ^= 1
     with pytest.raises(ValueError, match="damaged"):
         list(token_files.read_blocks(bytes(broken)))
+
+
+@pytest.mark.parametrize("added", [True, False])
+def test_odd_white_space_and_names_against_the_library(added):
+    """Texts at whose spaces the words may not be cut, among plain ones."""
+    from tokenizers import Tokenizer
+
+    texts = [
+        None, "", " ", "  ", " a", "a ", "a  b", "a \n b", "a\u00a0 b c", "a \u3000b", "x\x1c y", "a\tb c d",
+        "plain words only here", "<|endoftext|>", "a <|endoftext|> b", "plain <|endoftext|>", "\u0120 \u0120x y",
+        "don't can't we'll", "a\x85 b", "one\n\ntwo three", "tail\n", " lead and tail ", "plain words only here",
+    ]
+    library = Tokenizer.from_file(queries.BYTE_VOCABULARY)
+    library.encode_special_tokens = not added
+    want = [library.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    encoder = token_files.Encoder(queries.BYTE_VOCABULARY, added=added)
+    for _ in range(2):  # the second time from what it remembers
+        ids, sizes = encoder.encode(texts)
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert [len(x) for x in encoder.encode([])] == [0, 0]
+
+
+def test_words_that_open_otherwise_go_one_by_one():
+    encoder = token_files.Encoder(queries.BYTE_VOCABULARY)
+    plain = token_files.Encoder(queries.BYTE_VOCABULARY).encode(["some plain words"])[0].tolist()
+    encoder._opens[:] = False
+    assert encoder.encode(["some plain words"])[0].tolist() == plain

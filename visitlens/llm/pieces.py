@@ -32,6 +32,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +41,10 @@ from visitlens.llm.shingles import mixed
 
 MARK = "▁"
 LONG = 48
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 600_000
+BLOCK_CHARS = 1_000_000  # encoded at once
+#: Words whose ids, and pairs of pieces whose verdict a Python worker remembers.
+REMEMBERED = 200_000
+REMEMBERED_PAIRS = 1 << 20
 _WORD = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -78,37 +81,70 @@ def _code_points(words: list[str], length: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint32).reshape(-1, length)
 
 
-class PieceModel:
-    """Pieces of a SentencePiece model and the batched search over them."""
+class PieceTexts:
+    """What each piece of a SentencePiece model stands for: all that decoding needs."""
 
-    def __init__(self, path: str | None = None, proto: bytes | None = None, bpe: bool = True):
+    def __init__(self, path: str | None = None, proto: bytes | None = None):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path, model_proto=proto)
-        n = model.get_piece_size()
+        self._read(model)
+
+    def _read(self, model) -> None:
+        texts = []
+        for i in range(model.get_piece_size()):
+            if model.is_byte(i):
+                texts.append(bytes([int(model.id_to_piece(i)[3:5], 16)]))
+            elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+                texts.append(b"")
+            else:
+                text = model.id_to_piece(i).replace(MARK, " ")
+                texts.append(text.encode("utf-8", "surrogatepass"))
+        self._text_sizes = np.array([len(t) for t in texts])
+        self._text_starts = np.cumsum(self._text_sizes) - self._text_sizes
+        self._text_bytes = np.frombuffer(b"".join(texts), np.uint8)
+
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The texts whose ids lie in a row, ``sizes`` of them each."""
+        lengths = self._text_sizes[ids]
+        raw = ragged(self._text_bytes, self._text_starts[ids], lengths).tobytes()
+        upto = np.concatenate(([0], np.cumsum(lengths)))
+        ends = upto[np.cumsum(sizes)].tolist()
+        begins = [0, *ends[:-1]]
+        # the first space only marks the start of a text
+        return [
+            raw[b:e].decode("utf-8", "replace")[1:] for b, e in zip(begins, ends, strict=True)
+        ]
+
+
+class PieceModel(PieceTexts):
+    """Pieces of a SentencePiece model and the batched search over them."""
+
+    def __init__(self, path: str | None = None, proto: bytes | None = None, bpe: bool = True):
         self.bpe = bpe
+        super().__init__(path, proto)
+
+    def _read(self, model) -> None:
+        super()._read(model)
+        n = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(n)]
         self.scores = np.array([model.get_score(i) for i in range(n)])
         self._byte = np.full(256, -1, dtype=np.int32)
-        self._text = []
+        self._unknown = model.unk_id()
         self.ids: dict[str, int] = {}
         for i, piece in enumerate(self.pieces):
             if model.is_byte(i):
                 self._byte[int(piece[3:5], 16)] = i
-                self._text.append(bytes([int(piece[3:5], 16)]))
-            elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-                self._text.append(b"")
-            else:
+            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[piece] = i
-                self._text.append(piece.replace(MARK, " ").encode("utf-8", "surrogatepass"))
         self._unknown_score = self.scores[list(self.ids.values())].min() - 10.0
-        self._text_sizes = np.array([len(t) for t in self._text])
-        self._text_starts = np.cumsum(self._text_sizes) - self._text_sizes
-        self._text_bytes = np.frombuffer(b"".join(self._text), np.uint8)
         self._sort_pieces()
+        self._forget_pairs()
+        self._words: dict[str, bytes] = {}
+
+    def _forget_pairs(self) -> None:
         self._pairs = np.array([-1], dtype=np.int64)  # sorted, with what is known of them
         self._apart = np.array([False])
-        self._words: dict[str, bytes] = {}
 
     def _sort_pieces(self) -> None:
         by_length = defaultdict(list)
@@ -166,11 +202,15 @@ class PieceModel:
         return out
 
     def _bytes_of(self, char: str) -> list[int]:
-        return self._byte[list(char.encode("utf-8", "surrogatepass"))].tolist()
+        """Byte pieces of a character without a piece, or the unknown piece."""
+        found = self._byte[list(char.encode("utf-8", "surrogatepass"))].tolist()
+        return found if min(found) >= 0 else [self._unknown]
 
     def _stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """True where merging the characters of two pieces gives the two again."""
         pairs = left * len(self.pieces) + right
+        if len(self._pairs) > REMEMBERED_PAIRS:
+            self._forget_pairs()
         at = self._place(pairs)
         new = pairs[self._pairs[at] != pairs]
         if len(new):
@@ -286,18 +326,6 @@ class PieceModel:
         ends = np.cumsum(np.array(counts, dtype=np.int64))
         return out, np.diff(upto[np.concatenate(([0], ends))])
 
-    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
-        """The texts whose ids lie in a row, ``sizes`` of them each."""
-        lengths = self._text_sizes[ids]
-        raw = ragged(self._text_bytes, self._text_starts[ids], lengths).tobytes()
-        upto = np.concatenate(([0], np.cumsum(lengths)))
-        ends = upto[np.cumsum(sizes)].tolist()
-        begins = [0, *ends[:-1]]
-        # the first space only marks the start of a text
-        return [
-            raw[b:e].decode("utf-8", "replace")[1:] for b, e in zip(begins, ends, strict=True)
-        ]
-
 
 @lru_cache(maxsize=2)
 def load(path: str) -> PieceModel:
@@ -305,10 +333,15 @@ def load(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def _blocks(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``most`` characters, to bound the memory."""
+@lru_cache(maxsize=2)
+def load_texts(path: str) -> PieceTexts:
+    return PieceTexts(path)
+
+
+def _blocks(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose ``sizes`` add up to about ``most``, to bound the memory."""
     at, held = 0, 0
-    sizes = [len(t or "") for t in batch.column("text").to_pylist()]
+    sizes = pc.fill_null(sizes, 0).to_pylist()
     for i, size in enumerate(sizes):
         if held and held + size > most:
             yield batch.slice(at, i - at)
@@ -325,7 +358,7 @@ def encode(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",)) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for whole in batches:
-            for batch in _blocks(whole):
+            for batch in _blocks(whole, pc.utf8_length(whole.column("text")), BLOCK_CHARS):
                 ids, sizes = pieces.encode(batch.column("text").to_pylist())
                 offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
@@ -342,15 +375,17 @@ def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",))
     chosen = encoded.select(*keep, F.coalesce("piece_ids", F.array().cast("array<int>")).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(model)
-        for batch in batches:
-            lists = batch.column(len(keep))
-            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-            texts = pieces.decode(lists.flatten().to_numpy(zero_copy_only=False), sizes)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())],
-                [*keep, "text"],
-            )
+        pieces = load_texts(model)
+        for whole in batches:
+            lengths = whole.column(len(keep)).value_lengths()
+            for batch in _blocks(whole, lengths, BLOCK_CHARS // 4):
+                lists = batch.column(len(keep))
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+                texts = pieces.decode(lists.flatten().to_numpy(zero_copy_only=False), sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())],
+                    [*keep, "text"],
+                )
 
     kept = encoded.select(*keep).schema
     return chosen.mapInArrow(run, kept.add("text", T.StringType()))

@@ -33,13 +33,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm import huffman
-from visitlens.llm.pieces import _blocks, numbered, ragged
+from visitlens.llm.pieces import BLOCK_CHARS, _blocks, ragged
 from visitlens.llm.scratch import save, shared_folder
 
 END_ID = 0
@@ -50,9 +51,11 @@ FILE_IDS = 8_000_000
 SYNC = b"\xf1\x0d\xfe\xa7\x91\xc3\x5a\x0b"
 #: Chunks whose ids a Python worker remembers.
 REMEMBERED = 600_000
+_SPACE = "\u0120"  # how the vocabulary writes a space
 _HEAD = struct.Struct("<4sIIQIIII")
-# a space at other white space is no place to cut
-_ODD = re.compile(r" (?=\s)|(?<=\s) ")
+# Texts with a space at other white space or at an end, where there is no place to cut.
+_WHITE = r"[\s\p{Z}\x{0B}\x{0C}\x{1C}-\x{1F}\x{85}]"
+_ODD = rf"^ | $| {_WHITE}|{_WHITE} "
 _BLANK = re.compile(r"\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -82,63 +85,91 @@ class Encoder:
         # words in a row could make up a name with white space
         self._apart = any(_BLANK.search(n) for n in names)
         self.size = self._tokenizer.get_vocab_size()
+        self._opens = np.zeros(self.size, dtype=bool)
+        for token, i in self._tokenizer.get_vocab(with_added_tokens=False).items():
+            self._opens[i] = token.startswith(_SPACE)
         self._words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("i", e.ids).tobytes() for e in found]
 
     def _ids_of_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each word with a space before it.
 
-        Words are encoded many in a row, which costs a third less than one by
-        one; the offsets tell where each ends. Words with white space of their
-        own, or without anything, might not be cut there: they go one by one.
+        Words are encoded many in a row, which costs a third less than one by one.
+        Only the first id of such a word opens with a space, which tells where each
+        begins. Words with white space of their own, or without anything, might not be
+        cut there: they go one by one.
         """
         odd = [w for w in words if not w or self._apart or _BLANK.search(w)]
         told = dict(zip(odd, self._ids([" " + w for w in odd]), strict=True))
-        plain = [w for w in words if w not in told]
-        for at in range(0, len(plain), 500):
-            part = plain[at : at + 500]
-            found = self._tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            begins = np.array([b for b, _ in found.offsets])
-            ends = np.cumsum([len(w) + 1 for w in part])
-            cuts = np.searchsorted(begins, ends[:-1]).tolist()
-            raw = array("i", found.ids).tobytes()
-            told |= {
-                w: raw[4 * b : 4 * e]
-                for w, b, e in zip(part, [0, *cuts], [*cuts, len(begins)], strict=True)
-            }
+        plain = [w for w in words if w not in told] if odd else words
+        parts = [plain[at : at + 500] for at in range(0, len(plain), 500)]
+        found = self._tokenizer.encode_batch_fast(
+            [" " + " ".join(part) for part in parts], add_special_tokens=False
+        )
+        for part, encoded in zip(parts, found, strict=True):
+            ids = np.array(encoded.ids, np.int32)
+            begins = np.flatnonzero(self._opens[ids])
+            if len(begins) != len(part):  # another pattern than the one this relies on
+                told.update(zip(part, self._ids([" " + w for w in part]), strict=True))
+                continue
+            cuts, raw = (4 * begins).tolist(), ids.tobytes()
+            told.update(
+                zip(part, (raw[b:e] for b, e in zip(cuts, [*cuts[1:], len(raw)], strict=True)))
+            )
         return told
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, each with the end id; their numbers)."""
-        firsts, words, counts = [], [], []
-        for text in texts:
-            text = text or ""
-            if self._names and self._names.search(text):
-                cut = [text]
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """All chunks of the texts, and where those of each text begin and how many they are."""
+        odd = pc.match_substring_regex(texts, _ODD)
+        if self._names:
+            odd = pc.or_(odd, pc.match_substring_regex(texts, self._names.pattern))
+        odd = odd.to_numpy(zero_copy_only=False)
+        flat, starts = [], np.zeros(len(texts), np.int64)
+        counts, held = np.zeros(len(texts), np.int64), 0
+        for mine in (~odd, odd):
+            chosen = texts.filter(pa.array(mine))
+            if mine is odd:
+                lists = pa.array([self._cut_odd(t) for t in chosen.to_pylist()], pa.list_(pa.string()))
             else:
-                cut = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-            firsts.append(cut[0])
-            words += cut[1:]
-            counts.append(len(cut) - 1)
-        codes, distinct = numbered(words)
+                lists = pc.split_pattern(chosen, " ")
+            sizes = np.diff(lists.offsets.to_numpy())
+            counts[mine], starts[mine] = sizes, held + np.cumsum(sizes) - sizes
+            flat.append(lists.flatten().cast(pa.string()))
+            held += int(sizes.sum())
+        return pa.concat_arrays(flat), starts, counts
+
+    def _cut_odd(self, text: str) -> list[str]:
+        if self._names and self._names.search(text):
+            return [text]
+        return _CUT.split(text)
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, each with the end id; their numbers)."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        flat, starts, counts = self._cut(pc.fill_null(texts, ""))
+        first = np.zeros(len(flat), dtype=bool)
+        first[starts] = True
+        words = flat.filter(pa.array(~first)).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
         told = self._ids_of_words([w for w in distinct if w not in self._words])
         ids = [self._words[w] if w in self._words else told[w] for w in distinct]
         if len(self._words) < REMEMBERED:  # the first words are the frequent ones
             self._words.update(told)
         # the first chunks have no space before them; the end id is a chunk too
         n = len(ids)
-        ids += [*self._ids(firsts), np.array([END_ID], dtype=np.int32).tobytes()]
-        order = np.empty(len(codes) + 2 * len(texts), dtype=np.int64)
-        each = np.array(counts, dtype=np.int64) + 2
-        ends = np.cumsum(each)
-        middle = np.ones(len(order), dtype=bool)
-        middle[ends - each] = middle[ends - 1] = False
-        order[ends - each] = n + np.arange(len(texts))
-        order[ends - 1] = n + len(texts)
-        order[middle] = codes
+        ids += [*self._ids(flat.filter(pa.array(first)).to_pylist())]
+        ids.append(np.array([END_ID], dtype=np.int32).tobytes())
+        codes = np.empty(len(flat), dtype=np.int64)
+        codes[~first] = words.indices.to_numpy()
+        codes[first] = n + np.arange(first.sum())
+        ends = np.cumsum(counts + 1)
+        order = np.full(ends[-1] if len(ends) else 0, len(ids) - 1, dtype=np.int64)
+        inner = np.ones(len(order), dtype=bool)
+        inner[ends - 1] = False
+        order[inner] = ragged(codes, starts, counts)
         sizes = np.array([len(b) // 4 for b in ids], dtype=np.int64)
         values = np.frombuffer(b"".join(ids), np.int32)
         out = ragged(values, (np.cumsum(sizes) - sizes)[order], sizes[order])
@@ -168,8 +199,8 @@ def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(vocabulary)
         for whole in batches:
-            for batch in _blocks(whole):
-                ids, sizes = encoder.encode(batch.column("text").to_pylist())
+            for batch in _blocks(whole, pc.utf8_length(whole.column("text")), BLOCK_CHARS):
+                ids, sizes = encoder.encode(batch.column("text"))
                 ends = np.cumsum(sizes).tolist()
                 parts = [_squeeze(ids[b:e]) for b, e in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
