@@ -87,11 +87,11 @@ def test_pairs_are_forgotten_and_told_again(monkeypatch):
 
     texts = [f"some {w} words of {w[::-1]} and {i}" for i, w in enumerate(("alpha", "beta", "gamma")) for _ in (0, 1)]
     whole = pieces.PieceModel(PIECE_MODEL)
-    monkeypatch.setattr(pieces, "REMEMBERED_PAIRS", 3)
+    monkeypatch.setattr(pieces, "PAIR_BITS", 2)
     few = pieces.PieceModel(PIECE_MODEL)
     for text in texts:
         assert few.encode([text])[0].tolist() == whole.encode([text])[0].tolist()
-        assert len(few._pairs) < 60
+        assert len(few._pairs) == 4
     assert pieces.PieceTexts(PIECE_MODEL).decode(*whole.encode(texts)) == texts
 
 

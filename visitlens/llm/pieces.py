@@ -41,10 +41,10 @@ from visitlens.llm.shingles import mixed
 
 MARK = "▁"
 LONG = 48
-BLOCK_CHARS = 1_000_000  # encoded at once
+BLOCK_CHARS = 3_000_000  # encoded at once: longer batches advance more words together
 #: Words whose ids, and pairs of pieces whose verdict a Python worker remembers.
-REMEMBERED = 200_000
-REMEMBERED_PAIRS = 1 << 20
+REMEMBERED = 500_000
+PAIR_BITS = 21
 _WORD = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -139,13 +139,11 @@ class PieceModel(PieceTexts):
                 self.ids[piece] = i
         self._unknown_score = self.scores[list(self.ids.values())].min() - 10.0
         self._sort_pieces()
-        self._forget_pairs()
+        # a pair has one place in the table, and a later one of that place takes it over
+        self._pairs = np.full(1 << PAIR_BITS, -1, dtype=np.int64)
+        self._apart = np.zeros(1 << PAIR_BITS, dtype=bool)
         self._words: dict[str, bytes] = {}
 
-    def _forget_pairs(self) -> None:
-        self._pairs = np.array([-1], dtype=np.int64)  # sorted, with what is known of them
-        self._apart = np.array([False])
-
     def _sort_pieces(self) -> None:
         by_length = defaultdict(list)
         for piece in self.ids:
@@ -209,25 +207,22 @@ class PieceModel(PieceTexts):
     def _stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """True where merging the characters of two pieces gives the two again."""
         pairs = left * len(self.pieces) + right
-        if len(self._pairs) > REMEMBERED_PAIRS:
-            self._forget_pairs()
         at = self._place(pairs)
-        new = pairs[self._pairs[at] != pairs]
+        apart = self._apart[at]
+        new = np.flatnonzero(self._pairs[at] != pairs)
         if len(new):
-            new = np.unique(new)
-            told = []
-            for pair in new.tolist():
+            unknown, own = np.unique(pairs[new], return_inverse=True)
+            told = np.empty(len(unknown), dtype=bool)
+            for i, pair in enumerate(unknown.tolist()):
                 a, b = divmod(pair, len(self.pieces))
-                told.append(self.merge(self.pieces[a] + self.pieces[b]) == [a, b])
-            joined = np.concatenate((self._pairs, new))
-            order = np.argsort(joined, kind="stable")
-            self._pairs = joined[order]
-            self._apart = np.concatenate((self._apart, np.array(told, dtype=bool)))[order]
-            at = self._place(pairs)
-        return self._apart[at]
+                told[i] = self.merge(self.pieces[a] + self.pieces[b]) == [a, b]
+            apart[new] = told[own]
+            places, first = np.unique(self._place(unknown), return_index=True)
+            self._pairs[places], self._apart[places] = unknown[first], told[first]
+        return apart
 
     def _place(self, pairs: np.ndarray) -> np.ndarray:
-        return np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+        return ((pairs.astype(np.uint64) * _BASE) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
     # ---- Viterbi: words of one length ----------------------------------
 

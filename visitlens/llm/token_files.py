@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm import huffman
-from visitlens.llm.pieces import BLOCK_CHARS, _blocks, ragged
+from visitlens.llm.pieces import _blocks, ragged
 from visitlens.llm.scratch import save, shared_folder
 
 END_ID = 0
@@ -48,9 +48,11 @@ BLOCK = 1 << 18
 LANE = 128
 #: Ids that a file holds, about.
 FILE_IDS = 8_000_000
+#: Characters tokenized at once: the more, the fewer words come again in a later block.
+BLOCK_CHARS = 3_000_000
 SYNC = b"\xf1\x0d\xfe\xa7\x91\xc3\x5a\x0b"
 #: Chunks whose ids a Python worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 _SPACE = "\u0120"  # how the vocabulary writes a space
 _HEAD = struct.Struct("<4sIIQIIII")
 # Texts with a space at other white space or at an end, where there is no place to cut.
