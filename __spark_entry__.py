@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import importlib
+import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
@@ -734,11 +735,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _corpus_part(name: str):
-    """A module of the corpus operations, None where they are not installed."""
+    """A module of the corpus operations, None where they or a package they need is missing.
+
+    A module of this library that is missing from an installed part is an error.
+    """
     try:
         return importlib.import_module(name)
     except ModuleNotFoundError as missing:
-        if missing.name not in ("visitlens.llm", "corpus_pipeline"):
+        own = (missing.name or "").split(".")[0] == "visitlens" and missing.name != "visitlens.llm"
+        if own and importlib.util.find_spec("visitlens.llm"):
             raise
         return None
 
