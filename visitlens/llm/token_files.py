@@ -184,53 +184,72 @@ def load(path: str) -> Encoder:
     return Encoder(path, added=True)
 
 
+@lru_cache(maxsize=1)
+def _packers() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _squeeze(ids: np.ndarray) -> bytes:
     """Ids by byte planes, compressed, for the way to the sorted files."""
     planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _packers()[0].compress(planes)
 
 
 def _restore(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    planes = np.frombuffer(_packers()[1].decompress(data), np.uint8)
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
-def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) with the ids of each text, compressed."""
+_TOKENS = ["doc_id", "n_tokens", "ids"]
+
+
+def _tokenize_and_count(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """A row for each text, and from each task one more: ``counts`` of all its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(vocabulary)
+        counts = np.zeros(0, dtype=np.int64)
         for whole in batches:
             for batch in _blocks(whole, pc.utf8_length(whole.column("text")), BLOCK_CHARS):
                 ids, sizes = encoder.encode(batch.column("text"))
+                own = np.bincount(ids, minlength=len(counts))
+                own[: len(counts)] += counts
+                counts = own
                 ends = np.cumsum(sizes).tolist()
                 parts = [_squeeze(ids[b:e]) for b, e in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(sizes, pa.int64()),
-                     pa.array(parts, pa.binary())],
-                    ["doc_id", "n_tokens", "ids"],
+                     pa.array(parts, pa.binary()), pa.nulls(len(parts), pa.binary())],
+                    [*_TOKENS, "counts"],
                 )
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+             pa.array([zlib.compress(counts.astype("<i8").tobytes())], pa.binary())],
+            [*_TOKENS, "counts"],
+        )
 
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return named.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return named.mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
+
+
+def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) with the ids of each text, compressed."""
+    return _tokenize_and_count(docs, vocabulary).where(F.col("ids").isNotNull()).select(*_TOKENS)
 
 
-def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, dtype=np.int64)
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for data in batch.column("ids").to_pylist():
-            own = np.bincount(_restore(data))
-            if len(own) > len(counts):
-                counts = np.concatenate((counts, np.zeros(len(own) - len(counts), np.int64)))
-            counts[: len(own)] += own
-    ids = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "n"])
+        for data in batch.column("counts").to_pylist():
+            counts = np.frombuffer(zlib.decompress(data), "<i8")
+            ids = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "n"])
 
 
-def count_ids(tokens: DataFrame) -> np.ndarray:
+def _count_ids(counted: DataFrame) -> np.ndarray:
     """Global counts by id; there are as many as the vocabulary has ids."""
-    counted = tokens.select("ids").mapInArrow(_count_ids, "id long, n long")
-    rows = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()
+    parts = counted.where(F.col("counts").isNotNull()).select("counts")
+    summed = parts.mapInArrow(_sum_counts, "id long, n long")
+    rows = summed.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=-1) + 1, dtype=np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -307,8 +326,8 @@ def _write_blocks(lengths: np.ndarray):
 
 def write_token_files(docs: DataFrame, vocabulary: str, folder: str) -> None:
     """Tokenize ``docs`` (doc_id, text) and write the files below ``folder``."""
-    tokens = save(tokenize(docs, vocabulary))
-    counts = count_ids(tokens)
+    counted = save(_tokenize_and_count(docs, vocabulary))
+    counts, tokens = _count_ids(counted), counted.where(F.col("ids").isNotNull())
     lengths = huffman.code_lengths(counts)
     files = max(1, -(-int(counts.sum()) // FILE_IDS))
     ordered = (
