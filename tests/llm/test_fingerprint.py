@@ -2,13 +2,35 @@ import re
 from hashlib import sha256
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from visitlens.llm import fingerprint, queries
 
 
+def signed_hash(text):
+    value = xxhash.xxh64(text.encode(), seed=42).intdigest()
+    return value - (1 << 64 if value >> 63 else 0)
+
+
+def cut(piece, between, share):
+    """Parts of a long piece, ended by items whose own hash says so."""
+    if len(piece) <= 240:
+        return [piece]
+    items = piece.split(" ") if between else list(piece)
+    return "".join(w + ("\n" if signed_hash(w) % share == 0 else between) for w in items).split("\n")
+
+
 def paragraphs(text):
-    return {p for p in re.split(r"\s*\n\s*|(?<=[.!?,;:])\s+", (text or "").strip(" ")) if p}
+    text = text or ""
+    if len(text) <= 200:
+        pieces = re.split(r"\s+", text)
+    else:
+        marked = re.split(
+            r"\s*\n\s*|(?<=[.!?,;:])\s+|(?<=[。！？；，、：])\s*", text.strip(" ")
+        )
+        pieces = [q for p in marked for part in cut(p, " ", 8) for q in cut(part, "", 24)]
+    return {p.strip(" ") for p in pieces} - {""}
 
 
 def likeness(a, b):
@@ -67,21 +89,62 @@ def test_ties_and_null_ids(documents):
     assert len(rows) == 4 and sum(r.doc_id is None for r in rows) == 1
 
 
+def pairs_of(spark, *rows):
+    frame = spark.createDataFrame(rows, "key long, one array<long>, two array<long>")
+    return frame.withColumn("a", fingerprint.sketch("one")).withColumn("b", fingerprint.sketch("two"))
+
+
+PAIRS = [
+    (1, list(range(100)), list(range(50, 150))), (2, [1, 2], [1, 2]), (3, [], list(range(300))),
+    (4, [], []), (5, list(range(5000)), list(range(4, 5004))), (6, [5, 6, 7], [7, 8]),
+]
+
+
+@pytest.mark.parametrize("hopeless", [22, 0])
+def test_recovers_the_digests(spark, monkeypatch, hopeless):
+    """From the sketches themselves, and from larger ones alone."""
+    monkeypatch.setattr(fingerprint, "MOST_DIFFERING", hopeless)
+    got = pairs_of(spark, *PAIRS).select(
+        "key", fingerprint.recovered(("a", "one"), ("b", "two")).alias("r")
+    )
+    found = {row.key: (row.r.done, sorted((f.x, f.n) for f in row.r.found)) for row in got.collect()}
+    assert found == {
+        key: (True, sorted([(x, 1) for x in set(one) - set(two)]
+                           + [(x, -1) for x in set(two) - set(one)]))
+        for key, one, two in PAIRS
+    }
+
+
+def test_few_differences_are_read_from_the_sketches_alone(spark):
+    """Without the digests, so that nothing larger can be tried."""
+    none = F.expr("cast(array() as array<bigint>)")
+    frame = pairs_of(spark, PAIRS[4], PAIRS[5]).withColumn("one", none).withColumn("two", none)
+    got = frame.select(fingerprint.recovered(("a", "one"), ("b", "two")).alias("r")).collect()
+    assert [(r.r.done, len(r.r.found)) for r in got] == [(True, 8), (True, 3)]
+
+
 def test_small_sketches_are_tried_again_larger(spark, monkeypatch):
     """Far too few cells at first: every digest is still recovered in the end."""
-    monkeypatch.setattr(fingerprint, "ROOM", 0.01)
-    pairs = [(1, list(range(100)), list(range(50, 150)), 100), (2, [1, 2], [1, 2], 0),
-             (3, [], list(range(300)), 300)]
-    frame = spark.createDataFrame(
-        pairs, "key long, one array<long>, two array<long>, expected long"
+    monkeypatch.setattr(fingerprint, "LOAD", 3000)
+    monkeypatch.setattr(fingerprint, "RETRY_LOAD", 500)
+    got = pairs_of(spark, *PAIRS).select(
+        "key", fingerprint.recovered(("a", "one"), ("b", "two")).alias("r")
     )
-    got = {r.key: r.differing for r in fingerprint.differences(frame).collect()}
-    assert got == {1: 100, 3: 300}
+    assert {r.key: (r.r.done, len(r.r.found)) for r in got.collect()} == {
+        1: (True, 100), 2: (True, 0), 3: (True, 300), 4: (True, 0), 5: (True, 8), 6: (True, 3)
+    }
 
 
-def test_recovers_the_digests(spark):
-    frame = spark.createDataFrame(
-        [(1, [5, 6, 7], [7, 8], 16)], "key long, one array<long>, two array<long>, cells long"
-    )
-    got = sorted((r.digest, r.side) for r in fingerprint.differing_paragraphs(frame).collect())
-    assert got == [(5, 1), (6, 1), (8, -1)]
+def test_edits_change_few_pieces_of_texts_without_marks(documents):
+    spaced = " ".join(f"word{i * 7919 % 1013}" for i in range(400))
+    unspaced = "".join(chr(0x4E00 + i * 7919 % 1999) for i in range(900))
+    rows = [(1, spaced), (2, unspaced), (3, "six words and not one mark")]
+    got = fingerprint.fingerprints(documents(*rows)).collect()
+    assert told(got) == by_force(rows)
+    assert all(r.near_edited >= 0.5 for r in got)
+
+
+def test_texts_are_shuffled_once(spark, sf_docs, monkeypatch):
+    monkeypatch.setattr(fingerprint, "SLICE_DOCUMENTS", 50)
+    plan = fingerprint.fingerprints(sf_docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == plan.count("Exchange hash") == 1

@@ -1,17 +1,24 @@
 """Document fingerprints as invertible Bloom lookup sketches, built-in functions only.
 
 A text is the set of its paragraphs: pieces between line ends, and between marks
-that end a sentence or clause, so that one long line isn't one unit. A paragraph
-is a 64-bit digest. A sketch has three rows of cells; each digest is in one cell
-of each row, and a cell holds how many digests it got and their XOR. Subtracting
-the sketches of two texts cancels what they share. A cell that is left with one
-digest reveals it (a second XOR of hashes confirms that it is one); taking it out
-of its other two cells reveals more, until all differing digests are known.
-
-The fingerprint of a text is its small sketch of ``CELLS`` cells a row. The
-differences of two fingerprints' counts estimate how many digests differ, and
-sketches of about that size are compared; pairs that don't peel to the end are
-compared again with twice the cells and other hashes until all do.
+that end a sentence or clause. Pieces without such marks that are long are cut
+after words that their own hash chooses, what is still long after characters, so
+that an edit changes few of them; the pieces of a short text are its words. A
+paragraph is a 64-bit digest.
+
+A sketch has 2**levels blocks, which bits of a digest's hash choose; a block has
+``ROWS`` rows of ``CELLS`` cells, and each digest is in one cell of each row. A
+cell holds how many digests it got, their XOR and the XOR of their check hashes.
+Subtracting the sketches of two texts cancels what they share. A cell that is left
+with one digest reveals it; taking it out of its other cells reveals more, until
+all differing digests are known and every cell is empty.
+
+The fingerprint of a text is its sketch with at most ``LOAD`` digests a block on
+average. Two fingerprints are brought to the size of the smaller one (two blocks
+that differ in their last bit add up to one) and subtracted. Where they differ too
+much to peel, larger sketches of the same texts with other hashes are compared,
+twice as large each time, until the cells are empty. All of it happens within
+the row, in time that grows as the text does, times the logarithm of its length.
 
 The likeness of two texts is the share of their paragraphs that is common,
 2 * common / (both), 1 for two texts without paragraphs.
@@ -27,182 +34,188 @@ from pyspark.sql import functions as F
 
 from visitlens.llm.scratch import save
 
-CELLS = 8
-ROWS = 3
-#: Cells of a row for each digest that is expected to differ.
-ROOM = 0.7
-LEAST_CELLS = 8
-#: Peeling steps, each over one row of cells, before a larger sketch is tried.
-STEPS = 15
+ROWS, CELLS = 5, 8
+#: Digests of a block of a fingerprint, at most on average.
+LOAD = 32
+#: Differing digests of a block that are tried to peel; of larger sketches' blocks.
+MOST_DIFFERING, RETRY_LOAD = 22, 20
+#: Peeling steps of a block, and sketches that are tried (one in a hundred fails).
+STEPS, ATTEMPTS = 20, 24
+#: Characters of a text whose words are its pieces, and of a piece that stays whole.
+SHORT_TEXT, WHOLE_PIECE = 200, 240
+#: One word (character) in so many ends a piece.
+WORDS_A_PIECE, CHARACTERS_A_PIECE = 8, 24
 #: Documents of a slice of the order, and the greatest number of slices.
 SLICE_DOCUMENTS, MOST_SLICES = 500, 65_536
-#: Sketch entries that one task peels, about.
-TASK_ENTRIES = 1_000_000
-_PARAGRAPH = r"\s*\n\s*|(?<=[.!?,;:])\s+"
 
+_PARAGRAPH = r"\s*\n\s*|(?<=[.!?,;:])\s+|(?<=[。！？；，、：])\s*"
+_BLOCK_BITS = 16  # bits of a digest's hash below this one choose its cells
+_BITS = f"array({', '.join(f'{1 << i}L' for i in range(ROWS * CELLS))})"  # one for each cell
 
-def paragraphs(text: Column) -> Column:
-    """Distinct digests of a text's paragraphs."""
-    pieces = F.filter(F.split(F.trim(text), _PARAGRAPH), lambda p: p != "")
-    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
+# ---- texts to digests ------------------------------------------------------
 
-def sketch(digests: Column) -> Column:
-    """array<struct<n, x>>: count and XOR of each of the ROWS * CELLS cells."""
-    return F.concat(*(_sketch_row(digests, row) for row in range(ROWS)))
 
+def _cut(piece: str, between: str, share: int) -> str:
+    """SQL: the parts of a piece, cut after the items whose hash is 0 modulo ``share``."""
+    ended = f"if(pmod(xxhash64(w), {share}) = 0, concat(w, '\\n'), concat(w, '{between}'))"
+    return f"split(array_join(transform(split({piece}, '{between}'), w -> {ended}), ''), '\\n')"
 
-def _sketch_row(digests: Column, row: int) -> Column:
-    zero = F.lit(0).cast("long")
-
-    def cell(c: Column) -> Column:
-        own = F.filter(
-            digests, lambda d: F.shiftright(d, 8 * row).bitwiseAND(F.lit(CELLS - 1)) == c
-        )
-        return F.struct(
-            F.size(own).alias("n"),
-            F.aggregate(own, zero, lambda x, d: x.bitwiseXOR(d)).alias("x"),
-        )
-
-    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), cell)
 
+def paragraphs(text: str) -> Column:
+    """Distinct digests of the paragraphs of the column named ``text``."""
+    marked = f"split(trim({text}), r'{_PARAGRAPH}')"
+    parts = marked
+    for between, share in ((" ", WORDS_A_PIECE), ("", CHARACTERS_A_PIECE)):
+        whole = f"char_length(p) <= {WHOLE_PIECE}"
+        parts = f"flatten(transform({parts}, p -> if({whole}, array(p), {_cut('p', between, share)})))"
+    words = f"split({text}, r'\\s+')"
+    pieces = f"if(char_length({text}) <= {SHORT_TEXT}, {words}, {parts})"
+    return F.expr(
+        f"array_distinct(transform(filter(transform({pieces}, p -> trim(p)), p -> p <> ''),"
+        " p -> xxhash64(p)))"
+    )
 
-def fingerprint(sketched: Column) -> Column:
-    """A sketch as text: count and XOR of each cell in hexadecimal digits."""
-    cells = F.transform(sketched, lambda c: F.concat_ws(":", F.hex(c["n"]), F.hex(c["x"])))
-    return F.array_join(cells, ".")
 
+# ---- sketches, as SQL ------------------------------------------------------
 
-def estimated_difference(one: Column, two: Column) -> Column:
-    """About how many digests differ, from the counts of two fingerprints.
 
-    The squared count differences of a row add up to that number on average,
-    if as many are missing on either side, and to more otherwise.
-    """
-    squares = F.zip_with(one, two, lambda a, b: (a["n"] - b["n"]) * (a["n"] - b["n"]))
-    total = F.aggregate(squares, F.lit(0), lambda x, y: x + y)
-    return F.ceil(total / ROWS * CELLS / (CELLS - 1.0))
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-# ---- peeling ---------------------------------------------------------------
+def _cell(n: str, x: str, m: str) -> str:
+    return f"named_struct('n', {n}, 'x', {x}, 'm', {m})"
 
 
-def _cell_of(digest: Column, row: int, seed: int, cells: Column) -> Column:
-    return F.pmod(F.xxhash64(digest, F.lit(seed), F.lit(row)), cells)
+def _hits(hashed: str) -> str:
+    """Bit set of the cells of its block that a digest is in, one in each row."""
+    width = CELLS.bit_length() - 1
+    return " | ".join(
+        f"shiftleft(1L, cast({CELLS * r} + (shiftright({hashed}, {width * r}) & {CELLS - 1}) as int))"
+        for r in range(ROWS)
+    )
 
 
-def _mark(digest: Column, seed: int) -> Column:
-    return F.xxhash64(digest, F.lit(-1 - seed))
+def _dealt(entries: str, levels: str) -> str:
+    """Entries dealt to 2**levels blocks, one bit of their hash after the other."""
 
+    def side(bit: int) -> str:
+        return f"filter(g, d -> getbit(d.h, {_BLOCK_BITS} + l) = {bit})"
 
-def _entries(pairs: DataFrame, seed: int) -> DataFrame:
-    """Cells of the subtracted sketches of each pair (key, cells, one, two)."""
-    signed = F.concat(
-        F.transform("one", lambda d: F.struct(d.alias("x"), F.lit(1).alias("n"))),
-        F.transform("two", lambda d: F.struct(d.alias("x"), F.lit(-1).alias("n"))),
-    )
-    digests = pairs.select("key", "cells", F.explode(signed).alias("d")).select(
-        "key", "cells", "d.x", F.col("d.n").cast("long").alias("n")
-    )
-    x = F.col("x")
-    places = F.array(
-        *(
-            F.struct(F.lit(r).alias("row"), _cell_of(x, r, seed, F.col("cells")).alias("cell"))
-            for r in range(ROWS)
-        )
-    )
-    each = digests.withColumn("mark", _mark(x, seed)).withColumn("place", F.explode(places))
-    return _summed(
-        each.select("key", "cells", "place.row", "place.cell", "n", "x", "mark")
+    halved = f"flatten(transform(groups, g -> array({side(0)}, {side(1)})))"
+    return (
+        f"if({levels} <= 0, array({entries}),"
+        f" aggregate(sequence(0, {levels} - 1), array({entries}), (groups, l) -> {halved}))"
     )
 
 
-def _summed(entries: DataFrame) -> DataFrame:
-    """One entry for each cell; empty cells go."""
+def _entries(digests: str, seed: str, sign: int = 1) -> str:
+    """Digests with sign, hash, check hash and cells."""
     return (
-        entries.groupBy("key", "cells", "row", "cell")
-        .agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("mark").alias("mark"))
-        .where((F.col("n") != 0) | (F.col("x") != 0) | (F.col("mark") != 0))
+        f"transform(transform({digests}, d -> named_struct('x', d, 'h', xxhash64(d, {seed}))),"
+        f" d -> named_struct('n', {sign}, 'x', d.x, 'h', d.h, 'm', hash(d.x), 'hits', {_hits('d.h')}))"
     )
 
 
-def _peel(entries: DataFrame, row: int, seed: int) -> DataFrame:
-    """Take the digests that single cells of one row reveal out of the other rows.
+def _cells(entries: str, levels: str) -> str:
+    """array<array<cell>>: the cells of each block."""
+    sums = _cell(*(f"aggregate(own, {zero}, (a, d) -> a {add} d.{name})"
+                   for name, zero, add in (("n", "0", "+"), ("x", "0L", "^"), ("m", "0", "^"))))
+    own = "filter(block, d -> (d.hits & bit) <> 0L)"
+    cells = f"transform({_BITS}, bit -> {_let(own, 'own', sums)})"
+    return f"transform({_dealt(entries, levels)}, block -> {cells})"
 
-    A digest is in one cell of a row only, so none is taken out twice. What is
-    found stays in the table as row ``ROWS``, with the digest as its cell.
-    """
-    x, n, mark = F.col("x"), F.col("n"), F.col("mark")
-    single = (F.col("row") == row) & (F.abs(n) == 1) & (mark == _mark(x, seed))
 
-    def entry(r, cell, n_, x_, mark_) -> Column:
-        return F.struct(
-            r.alias("row"), cell.alias("cell"), n_.alias("n"), x_.alias("x"), mark_.alias("mark")
-        )
+def _levels(expected: str, load: int) -> str:
+    """Levels at which blocks expect at most ``load`` digests."""
+    return f"cast(greatest(0, ceil(log2(greatest(1, {expected}) / {load}.0))) as int)"
+
+
+def _added(one: str, two: str, sign: str) -> str:
+    """Two blocks added or subtracted cell by cell."""
+    return f"zip_with({one}, {two}, (u, v) -> {_cell(f'u.n {sign} v.n', 'u.x ^ v.x', 'u.m ^ v.m')})"
+
+
+def _folded(sketched: str, times: str) -> str:
+    """A sketch brought to half its blocks ``times`` times."""
+    halves = "sequence(0, cast(size(t) / 2 as int) - 1)"
+    half = f"transform({halves}, i -> {_added('t[2 * i]', 't[2 * i + 1]', '+')})"
+    return f"if({times} <= 0, {sketched}, aggregate(sequence(1, {times}), {sketched}, (t, k) -> {half}))"
+
 
-    taken = [
-        entry(F.lit(r), _cell_of(x, r, seed, F.col("cells")), -n, x, mark)
-        for r in range(ROWS) if r != row
-    ]
-    found = entry(F.lit(ROWS), x, n, x, mark)
-    same = entry(F.col("row"), F.col("cell"), n, x, mark)
-    moved = entries.select(
-        "key", "cells",
-        F.explode(F.when(single, F.array(found, *taken)).otherwise(F.array(same))).alias("e"),
+def _subtracted(one: str, two: str) -> str:
+    return f"zip_with({one}, {two}, (p, q) -> {_added('p', 'q', '-')})"
+
+
+def _peeled(difference: str, seed: str) -> str:
+    """struct<found, done>: the differing digests (x, and n = 1 or -1 for their
+    side) of a subtracted sketch, and whether every cell came out empty."""
+    pure = "array_distinct(filter(s.cells, c -> abs(c.n) = 1 AND c.m = hash(c.x)))"
+    known = (
+        "transform(pure, p -> named_struct('n', p.n, 'x', p.x, 'm', p.m, 'hits',"
+        f" {_let(f'xxhash64(p.x, {seed})', 'h', _hits('h'))}))"
+    )
+    taken = _cell("u.n - p.n", "u.x ^ p.x", "u.m ^ p.m")
+    cells = (
+        f"zip_with(s.cells, {_BITS}, (c, bit) ->"
+        f" aggregate(known, c, (u, p) -> if((p.hits & bit) <> 0L, {taken}, u)))"
+    )
+    more = "concat(s.found, transform(pure, p -> named_struct('x', p.x, 'n', p.n)))"
+    state = "named_struct('cells', {}, 'found', {}, 'on', {})".format
+    step = _let(pure, "pure", f"if(size(pure) = 0, {state('s.cells', 's.found', 'false')},"
+                + _let(known, "known", state(cells, more, "true")) + ")")
+    nothing = "cast(array() as array<struct<x: bigint, n: int>>)"
+    block = (
+        f"aggregate(sequence(1, {STEPS}), {state('block', nothing, 'true')},"
+        f" (s, k) -> if(s.on, {step}, s),"
+        " s -> named_struct('found', s.found, 'done',"
+        " forall(s.cells, c -> c.n = 0 AND c.x = 0 AND c.m = 0)))"
+    )
+    return _let(
+        f"transform({difference}, block -> {block})", "blocks",
+        "named_struct('found', flatten(transform(blocks, b -> b.found)),"
+        " 'done', forall(blocks, b -> b.done))",
     )
-    return _summed(moved.select("key", "cells", "e.row", "e.cell", "e.n", "e.x", "e.mark"))
 
 
-def peeled(pairs: DataFrame, seed: int) -> DataFrame:
-    """Entries of each pair after ``STEPS`` peeling steps.
+def sketch(digests: str) -> Column:
+    """The sketch of the digests of the column of that name, as its fingerprint holds it."""
+    return F.expr(_cells(_entries(digests, "0"), _levels(f"size({digests})", LOAD)))
 
-    ``pairs`` has key, cells, one and two and is partitioned by key, so all steps
-    run without a shuffle. Entries of row ``ROWS`` are the differing digests (n is
-    1 on the side of ``one``, -1 on that of ``two``); others could not be peeled.
-    """
-    entries = _entries(pairs, seed)
-    for step in range(STEPS):
-        entries = _peel(entries, step % ROWS, seed)
-    return entries
+
+def fingerprint(sketched: str) -> Column:
+    """A sketch as text: count, XOR and check of each cell in hexadecimal digits."""
+    cell = "if(c.n = 0, '', concat_ws(':', hex(c.n), hex(c.x), right(hex(c.m), 8)))"
+    return F.expr(f"array_join(transform(flatten({sketched}), c -> {cell}), '.')")
 
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """(key, differing): the number of differing digests of each pair that has any.
+def recovered(one: tuple[str, str], two: tuple[str, str]) -> Column:
+    """struct<found array<struct<x, n>>, done>: the digests that differ.
 
-    ``pairs`` (key, one, two, expected) has one row for each key. Each round
-    writes what it found; the pairs that did not peel go into the next one.
+    ``one`` and ``two`` name a text's sketch and its digests. The sketches are
+    compared first, which is enough where few digests differ.
     """
-    cells = F.greatest(
-        F.lit(LEAST_CELLS), F.ceil(F.col("expected") * ROOM) + LEAST_CELLS // 2
-    ).cast("long")
-    left = pairs.select("key", cells.alias("cells"), "one", "two")
-    done: DataFrame | None = None
-    seed = 0
-    while True:
-        size = left.agg(F.sum(F.size("one") + F.size("two"))).first()[0] or 0
-        if not size and done is not None:
-            return done
-        parts = max(1, -(-size * ROWS // TASK_ENTRIES))
-        entries = peeled(left.repartition(parts, "key"), seed)
-        rest = F.sum(F.when(F.col("row") < ROWS, 1).otherwise(0))
-        result = save(
-            entries.groupBy("key").agg(
-                F.sum(F.when(F.col("row") == ROWS, 1).otherwise(0)).alias("differing"),
-                rest.alias("rest"),
-            )
-        )
-        found = result.where("rest = 0").select("key", "differing")
-        done = found if done is None else done.union(found)
-        failed = result.where("rest > 0").select("key")
-        left = save(left.join(failed, "key").withColumn("cells", F.col("cells") * 2))
-        seed += 1
-
-
-def differing_paragraphs(pairs: DataFrame, seed: int = 0) -> DataFrame:
-    """(key, digest, side) as recovered from sketches of ``cells`` cells a row."""
-    entries = peeled(pairs.repartition("key"), seed)
-    return entries.where(F.col("row") == ROWS).select(
-        "key", F.col("x").alias("digest"), F.col("n").cast("int").alias("side")
+    (sketch1, digests1), (sketch2, digests2) = one, two
+    size1, size2 = f"cast(round(log2(size({sketch1}))) as int)", f"cast(round(log2(size({sketch2}))) as int)"
+    small = _subtracted(_folded(sketch1, f"({size1} - {size2})"),
+                        _folded(sketch2, f"({size2} - {size1})"))
+    # the squared counts of a row add up to the number of differing digests or more
+    squares = "aggregate(flatten(small), 0L, (a, c) -> a + c.n * c.n)"
+    hopeless = f"{squares} > {MOST_DIFFERING * ROWS} * size(small)"
+    failed = "named_struct('found', cast(array() as array<struct<x: bigint, n: int>>), 'done', false)"
+    first = _let(small, "small", f"if({hopeless}, {failed}, {_peeled('small', '0')})")
+    both = f"(size({digests1}) + size({digests2}))"
+    # one text's digests put in, the other's taken out
+    signed = f"concat({_entries(digests1, 'attempt')}, {_entries(digests2, 'attempt', -1)})"
+    larger = _let(
+        f"{_levels(both, RETRY_LOAD)} + attempt - 1", "levels",
+        _peeled(_cells(signed, "levels"), "attempt"),
+    )
+    return F.expr(
+        f"aggregate(sequence(1, {ATTEMPTS}), {first},"
+        f" (got, attempt) -> if(got.done, got, {larger}))"
     )
 
 
@@ -237,11 +250,12 @@ def _slices(docs: DataFrame) -> tuple[Column, int]:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, text, digests, next_text, next_digests) of each document.
+    """(doc_id, text, digests, own, next) of each document; ``own`` is its sketch,
+    ``next`` has text, digests and sketch of the next one.
 
     Slices of the order are sorted side by side. A slice's last document goes on
     with the first of the next slice that isn't empty; of those there is one row
-    for each slice.
+    for each slice. Texts are shuffled once; what follows stays in its slice.
     """
     named = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -259,32 +273,30 @@ def with_next(docs: DataFrame) -> DataFrame:
         )
     )
     # at most MOST_SLICES narrow rows
-    texts = save(
+    firsts = save(
         placed.join(
             F.broadcast(following.withColumnRenamed("slice", "before")),
             placed["doc_id"].eqNullSafe(F.col("first.doc_id"))
             & (placed["hash"] == F.col("first.hash")),
         )
-        .select(F.col("before").alias("slice"), F.col("text").alias("other_text"))
-        .dropDuplicates(["slice"])
-        .withColumn("other_digests", paragraphs(F.col("other_text")))
+        .select(F.col("before").alias("slice"), "text").dropDuplicates(["slice"])
+    )
+    other = _sketched(firsts).select(
+        "slice", F.struct("text", "digests", "own").alias("other")
     )
     order = Window.partitionBy("slice").orderBy("doc_id", "hash")
-    sorted_ = (
-        placed.withColumn("digests", paragraphs(F.col("text")))
-        .withColumn("place", F.row_number().over(order))
-        .withColumn("next", F.lead(F.struct("text", "digests")).over(order))
+    sorted_ = _sketched(placed.repartition("slice")).withColumn(
+        "next", F.lead(F.struct("text", "digests", "own")).over(order)
     )
-    is_last = F.col("next").isNull()
-    return sorted_.join(texts, "slice", "left").select(
-        (F.col("slice").cast("long") * 2**32 + F.col("place")).alias("key"),
-        "doc_id", "text", "digests",
-        F.when(is_last, F.col("other_text")).otherwise(F.col("next.text")).alias("next_text"),
-        F.when(is_last, F.col("other_digests")).otherwise(F.col("next.digests"))
-        .alias("next_digests"),
+    return sorted_.join(other, "slice", "left").select(
+        "doc_id", "text", "digests", "own", F.coalesce("next", "other").alias("next")
     )
 
 
+def _sketched(texts: DataFrame) -> DataFrame:
+    return texts.withColumn("digests", paragraphs("text")).withColumn("own", sketch("digests"))
+
+
 def edited(text: Column, following: Column) -> Column:
     """The last quarter of a text, rounded down, replaced by as much of the next."""
     n = F.char_length(text)
@@ -293,53 +305,30 @@ def edited(text: Column, following: Column) -> Column:
                     F.substring(following, F.lit(1), quarter))
 
 
-def likeness(differing: Column, one: Column, two: Column) -> Column:
+def likeness(found: Column, one: Column, two: Column) -> Column:
+    """Share of the digests that is common, from the recovered differences; NULL
+    should no sketch have come out empty."""
     both = F.size(one) + F.size(two)
-    return F.when(both > 0, 1.0 - F.coalesce(differing, F.lit(0)) / both).otherwise(F.lit(1.0))
+    return F.when(found["done"], F.when(both > 0, 1.0 - F.size(found["found"]) / both).otherwise(1.0))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """For each document (doc_id, text) its fingerprint, that of its edited text,
     and their likeness and the likeness to the next document."""
-    change = edited(F.col("text"), F.col("next_text"))
-    told = with_next(docs).withColumn("edited", change)
-    work = save(
-        told.select(
-            "key", "doc_id", F.char_length("text").cast("long").alias("n_chars"),
-            F.sha2("edited", 256).alias("edited_sha256"), "digests", "next_digests",
-            paragraphs(F.col("edited")).alias("edited_digests"),
-        )
-        .withColumn("own", sketch(F.col("digests")))
-        .withColumn("changed", sketch(F.col("edited_digests")))
-        .select(
-            "key", "doc_id", "n_chars", "edited_sha256", "digests", "next_digests",
-            "edited_digests", fingerprint(F.col("own")).alias("fingerprint"),
-            fingerprint(F.col("changed")).alias("edited_fingerprint"),
-            F.least(
-                estimated_difference(F.col("own"), F.col("changed")),
-                F.size("digests") + F.size("edited_digests"),
-            ).alias("expected_edited"),
-            F.least(
-                estimated_difference(F.col("own"), sketch(F.col("next_digests"))),
-                F.size("digests") + F.size("next_digests"),
-            ).alias("expected_next"),
-        )
-    )
-
-    def compared(other: str, expected: str, name: str) -> DataFrame:
-        pairs = work.select(
-            "key", F.col("digests").alias("one"), F.col(other).alias("two"),
-            F.col(expected).alias("expected"),
-        )
-        return differences(pairs).withColumnRenamed("differing", name)
-
-    result = (
-        work.join(compared("edited_digests", "expected_edited", "from_edited"), "key", "left")
-        .join(compared("next_digests", "expected_next", "from_next"), "key", "left")
+    told = (
+        with_next(docs)
+        .withColumn("edited", edited(F.col("text"), F.col("next.text")))
+        .withColumn("edited_digests", paragraphs("edited"))
+        .withColumn("changed", sketch("edited_digests"))
+        .withColumn("from_edited", recovered(("own", "digests"), ("changed", "edited_digests")))
+        .withColumn("from_next", recovered(("own", "digests"), ("next.own", "next.digests")))
     )
-    return result.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    return told.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint("own").alias("fingerprint"),
+        fingerprint("changed").alias("edited_fingerprint"),
         likeness(F.col("from_edited"), F.col("digests"), F.col("edited_digests"))
         .alias("near_edited"),
-        likeness(F.col("from_next"), F.col("digests"), F.col("next_digests")).alias("near_next"),
+        likeness(F.col("from_next"), F.col("digests"), F.col("next.digests")).alias("near_next"),
     )
