@@ -1,4 +1,5 @@
 import re
+import time
 from hashlib import sha256
 
 import pytest
@@ -108,3 +109,40 @@ def test_empty_table_and_clashing_column(documents):
     assert pii.redact(docs).columns == docs.columns
     plan = pii.redact(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def redacted_by_force(text, spans):
+    """Stretches one after the other, named by the span that starts first."""
+    out, at = "", 0
+    for start, end, kind in sorted((s.start, s.end, s.kind) for s in spans):
+        if start >= at:
+            out += text[at:start] + f"<{kind.upper()}>"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_of_whole_texts(spark, documents, sf_docs):
+    texts = [t for t in TEXTS if t]
+    texts += [(f"😀 a{i}@b.cd, " * 90 + "x" * i + " 10.0.0.1 ") * 3 for i in (0, 511, 512, 513)]
+    docs = documents(*enumerate(texts)).select("doc_id", "text").union(
+        sf_docs.select(F.col("doc_id") + 1000, "text")
+    )
+    found = {r.doc_id: (r.text, r.pii) for r in pii.find_pii(docs).collect()}
+    for row in pii.redact(docs).collect():
+        assert row.text == redacted_by_force(*found[row.doc_id])
+
+
+def test_context_is_read_over_chunk_borders(documents):
+    texts = [" " * n + "server 10.0.0.1" for n in (500, 503, 505, 509, 512, 1020)]
+    rows = pii.find_pii(documents(*enumerate(texts))).collect()
+    assert [[s.score for s in r.pii] for r in rows] == [[1.0]] * len(texts)
+
+
+def test_time_grows_with_the_spans(documents):
+    """16,000 addresses in one text; a square in their number takes a minute."""
+    docs = documents((1, "".join(f"write to user{i}@mail.example.com " for i in range(16_000))))
+    for work in (pii.find_pii, pii.redact):
+        work(documents((1, "a@b.cd"))).collect()
+        began = time.monotonic()
+        work(docs).collect()
+        assert time.monotonic() - began < 12

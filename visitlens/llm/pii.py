@@ -19,6 +19,8 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
 MIN_SCORE = 0.6
 CONTEXT_CHARS = 48
+#: Characters of the pieces by which places in a text are found.
+CHUNK_CHARS = 512
 
 # The base patterns find the same leftmost matches as these plain forms:
 #   email  [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -51,35 +53,69 @@ CONTEXT = {
 AGAINST = "version|release|build|example|sample|order|invoice|isbn|serial"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, join) -> Column:
+    """Each value joined with all before it, doubling the reach step by step."""
+
+    def step(done: Column, k: Column) -> Column:
+        reach = F.pow(F.lit(2), k).cast("int")
+        return F.transform(
+            done, lambda v, i: F.when(i >= reach, join(F.get(done, i - reach), v)).otherwise(v)
+        )
+
+    last = F.greatest(F.lit(0), F.ceil(F.log2(F.size(values))).cast("int") - 1)
+    return F.aggregate(F.sequence(F.lit(0), last), values, step)
+
+
+def _chunks(text: Column) -> Column:
+    """A text in pieces of ``CHUNK_CHARS``, so that a place is found without
+    counting from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0))
+
+
+def _stretch(chunks: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to ``end``."""
+    first = F.floor(start / CHUNK_CHARS).cast("int")
+    count = F.floor(end / CHUNK_CHARS).cast("int") - first + 1
+    joined = F.array_join(F.slice(chunks, first + 1, count), "")
+    return F.when(
+        start < end, F.substring(joined, start - first * CHUNK_CHARS + 1, end - start)
+    ).otherwise("")
+
+
 def _found(text: Column, kind: str) -> Column:
     """array<struct<start, end, value>> of the pattern's matches.
 
     The gaps that ``split`` leaves and the matches themselves alternate, so
-    their lengths give the offsets.
+    their running lengths give the offsets.
     """
     pattern = F.lit(PATTERNS[kind])
     steps = F.zip_with(
         F.split(text, PATTERNS[kind], -1),
         F.regexp_extract_all(text, pattern, F.lit(0)),
-        lambda gap, value: F.struct(F.char_length(gap).alias("gap"), value.alias("value")),
-    )
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)").alias("spans"),
+        lambda gap, value: F.struct(
+            (F.char_length(gap) + F.char_length(value)).alias("length"), value.alias("value")
+        ),
     )
 
-    def step(done: Column, s: Column) -> Column:
-        begin = done["at"] + s["gap"]
-        end = begin + F.char_length(s["value"])
-        span = F.struct(begin.alias("start"), end.alias("end"), s["value"].alias("value"))
-        return F.struct(
-            end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans")
+    def placed(matched: Column) -> Column:
+        lengths = F.transform(matched, lambda s: s["length"])
+        return F.zip_with(
+            matched, _let(lengths, lambda each: _running(each, lambda x, y: x + y)),
+            lambda s, end: F.struct(
+                (end - F.char_length(s["value"])).alias("start"), end.alias("end"),
+                s["value"].alias("value"),
+            ),
         )
 
-    matched = F.filter(steps, lambda s: s["value"].isNotNull())
-    spans = F.aggregate(matched, start, step, lambda done: done["spans"])
+    spans = _let(F.filter(steps, lambda s: s["value"].isNotNull()), placed)
+    nothing = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
     needed = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
-    return F.when(needed, spans).otherwise(start["spans"])
+    return F.when(needed, spans).otherwise(nothing)
 
 
 def _digits(value: Column) -> Column:
@@ -131,10 +167,10 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _score(text: Column, kind: str, start: Column) -> Column:
+def _score(chunks: Column, kind: str, start: Column) -> Column:
     """The kind's base score, moved by the words shortly before the span."""
     begin = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-    before = F.lower(F.substring(text, begin + 1, start - begin))
+    before = F.lower(_stretch(chunks, begin, start))
     score = (
         F.lit(BASE_SCORE[kind])
         + F.when(F.regexp_like(before, F.lit(rf"\b({CONTEXT[kind]})")), 0.4).otherwise(0.0)
@@ -143,14 +179,14 @@ def _score(text: Column, kind: str, start: Column) -> Column:
     return F.round(F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)), 3)
 
 
-def _spans(text: Column, kind: str) -> Column:
+def _spans(text: Column, chunks: Column, kind: str) -> Column:
     """Confirmed spans of one kind in order of their starts."""
     confirmed = F.filter(_found(text, kind), lambda s: _valid(kind, s["value"]))
     scored = F.transform(
         confirmed,
         lambda s: F.struct(
             F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-            _score(text, kind, s["start"]).alias("score"), s["value"].alias("value"),
+            _score(chunks, kind, s["start"]).alias("score"), s["value"].alias("value"),
         ),
     )
     return scored if kind in BASE_KINDS else F.filter(scored, lambda s: s["score"] >= MIN_SCORE)
@@ -162,8 +198,14 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFram
     array<struct<kind, start, end, score, value>>, empty where nothing is found.
     A column of that name is replaced.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn(into, F.concat(*(_spans(whole, kind) for kind in KINDS)))
+    return _with_spans(docs, text, into).drop("__chunks")
+
+
+def _with_spans(docs: DataFrame, text: str, into: str) -> DataFrame:
+    whole, chunks = F.coalesce(F.col(text), F.lit("")), F.col("__chunks")
+    return docs.withColumn("__chunks", _chunks(whole)).withColumn(
+        into, F.concat(*(_spans(whole, chunks, kind) for kind in KINDS))
+    )
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -172,27 +214,35 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     Where spans overlap, the one that starts first (then ends first) names the
     stretch and the union is removed. A null text stays null.
     """
-    found = find_pii(docs, text, "__pii")
+    found = _with_spans(docs, text, "__pii")
     places = F.array_sort(
         F.transform("__pii", lambda s: F.struct(s["start"], s["end"], s["kind"]))
     )
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(done: Column, s: Column) -> Column:
-        gap = F.substring(F.col(text), done["at"] + 1, s["start"] - done["at"])
-        mark = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        out = F.when(
-            s["start"] >= done["at"], F.concat(done["out"], gap, mark)
-        ).otherwise(done["out"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
-
-    cleaned = F.aggregate(
-        places, start, step,
-        lambda done: F.concat(
-            done["out"],
-            F.substring(F.col(text), done["at"] + 1, F.char_length(F.col(text))),
-        ),
-    )
+    chunks = F.col("__chunks")
+
+    def cleaned(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: s["end"])
+        return _let(_let(ends, lambda each: _running(each, F.greatest)), lambda covered: marked(
+            spans, covered))
+
+    def marked(spans: Column, covered: Column) -> Column:
+        # covered: up to where each span and those before it reach
+        named = F.transform(
+            spans,
+            lambda s, i: F.struct(
+                F.when(i > 0, F.get(covered, i - 1)).otherwise(0).alias("at"),
+                s["start"].alias("start"), s["kind"].alias("kind"),
+            ),
+        )
+        pieces = F.transform(
+            F.filter(named, lambda s: s["start"] >= s["at"]),
+            lambda s: F.concat(
+                _stretch(chunks, s["at"], s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")
+            ),
+        )
+        rest = _stretch(chunks, F.element_at(covered, -1), F.char_length(F.col(text)))
+        return F.concat(F.array_join(pieces, ""), rest)
+
     return found.withColumn(
-        text, F.when(F.size("__pii") > 0, cleaned).otherwise(F.col(text))
-    ).drop("__pii")
+        text, F.when(F.size("__pii") > 0, _let(places, cleaned)).otherwise(F.col(text))
+    ).drop("__pii", "__chunks")
