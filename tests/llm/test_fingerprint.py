@@ -126,7 +126,7 @@ def test_few_differences_are_read_from_the_sketches_alone(spark):
 def test_small_sketches_are_tried_again_larger(spark, monkeypatch):
     """Far too few cells at first: every digest is still recovered in the end."""
     monkeypatch.setattr(fingerprint, "LOAD", 3000)
-    monkeypatch.setattr(fingerprint, "RETRY_LOAD", 500)
+    monkeypatch.setattr(fingerprint, "RETRY_LOAD", 200)
     got = pairs_of(spark, *PAIRS).select(
         "key", fingerprint.recovered(("a", "one"), ("b", "two")).alias("r")
     )

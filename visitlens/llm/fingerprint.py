@@ -16,8 +16,8 @@ all differing digests are known and every cell is empty.
 The fingerprint of a text is its sketch with at most ``LOAD`` digests a block on
 average. Two fingerprints are brought to the size of the smaller one (two blocks
 that differ in their last bit add up to one) and subtracted. Where they differ too
-much to peel, larger sketches of the same texts with other hashes are compared,
-twice as large each time, until the cells are empty. All of it happens within
+much to peel, larger sketches of the same texts with other hashes are compared;
+blocks that fail are tried again twice as large, until all cells are empty. All of it happens within
 the row, in time that grows as the text does, times the logarithm of its length.
 
 The likeness of two texts is the share of their paragraphs that is common,
@@ -37,9 +37,11 @@ from visitlens.llm.scratch import save
 ROWS, CELLS = 5, 8
 #: Digests of a block of a fingerprint, at most on average.
 LOAD = 32
-#: Differing digests of a block that are tried to peel; of larger sketches' blocks.
-MOST_DIFFERING, RETRY_LOAD = 22, 20
-#: Peeling steps of a block, and sketches that are tried (one in a hundred fails).
+#: Differing digests of a block that are tried to peel.
+MOST_DIFFERING = 22
+#: Digests and cells a row of a block of the larger sketches.
+RETRY_LOAD, RETRY_CELLS = 10, 4
+#: Peeling steps of a block, and larger sketches that are tried (one in twenty fails).
 STEPS, ATTEMPTS = 20, 24
 #: Characters of a text whose words are its pieces, and of a piece that stays whole.
 SHORT_TEXT, WHOLE_PIECE = 200, 240
@@ -50,7 +52,6 @@ SLICE_DOCUMENTS, MOST_SLICES = 500, 65_536
 
 _PARAGRAPH = r"\s*\n\s*|(?<=[.!?,;:])\s+|(?<=[。！？；，、：])\s*"
 _BLOCK_BITS = 16  # bits of a digest's hash below this one choose its cells
-_BITS = f"array({', '.join(f'{1 << i}L' for i in range(ROWS * CELLS))})"  # one for each cell
 
 
 # ---- texts to digests ------------------------------------------------------
@@ -89,15 +90,20 @@ def _cell(n: str, x: str, m: str) -> str:
     return f"named_struct('n', {n}, 'x', {x}, 'm', {m})"
 
 
-def _hits(hashed: str) -> str:
+def _hits(hashed: str, cells: int) -> str:
     """Bit set of the cells of its block that a digest is in, one in each row."""
-    width = CELLS.bit_length() - 1
+    width = cells.bit_length() - 1
     return " | ".join(
-        f"shiftleft(1L, cast({CELLS * r} + (shiftright({hashed}, {width * r}) & {CELLS - 1}) as int))"
+        f"shiftleft(1L, cast({cells * r} + (shiftright({hashed}, {width * r}) & {cells - 1}) as int))"
         for r in range(ROWS)
     )
 
 
+def _bits(cells: int) -> str:
+    """One bit for each cell of a block."""
+    return f"array({', '.join(f'{1 << i}L' for i in range(ROWS * cells))})"
+
+
 def _dealt(entries: str, levels: str) -> str:
     """Entries dealt to 2**levels blocks, one bit of their hash after the other."""
 
@@ -111,21 +117,29 @@ def _dealt(entries: str, levels: str) -> str:
     )
 
 
-def _entries(digests: str, seed: str, sign: int = 1) -> str:
-    """Digests with sign, hash, check hash and cells."""
+def _signed(digests: str, sign: int) -> str:
+    return f"transform({digests}, d -> named_struct('n', {sign}, 'x', d))"
+
+
+def _hashed(entries: str, seed: str) -> str:
+    return f"transform({entries}, d -> named_struct('n', d.n, 'x', d.x, 'h', xxhash64(d.x, {seed})))"
+
+
+def _entries(signed: str, seed: str, cells: int) -> str:
+    """Signed digests with hash, check hash and cells."""
     return (
-        f"transform(transform({digests}, d -> named_struct('x', d, 'h', xxhash64(d, {seed}))),"
-        f" d -> named_struct('n', {sign}, 'x', d.x, 'h', d.h, 'm', hash(d.x), 'hits', {_hits('d.h')}))"
+        f"transform({_hashed(signed, seed)}, d -> named_struct('n', d.n, 'x', d.x, 'h', d.h,"
+        f" 'm', hash(d.x), 'hits', {_hits('d.h', cells)}))"
     )
 
 
-def _cells(entries: str, levels: str) -> str:
+def _cells(entries: str, levels: str, cells: int) -> str:
     """array<array<cell>>: the cells of each block."""
     sums = _cell(*(f"aggregate(own, {zero}, (a, d) -> a {add} d.{name})"
                    for name, zero, add in (("n", "0", "+"), ("x", "0L", "^"), ("m", "0", "^"))))
     own = "filter(block, d -> (d.hits & bit) <> 0L)"
-    cells = f"transform({_BITS}, bit -> {_let(own, 'own', sums)})"
-    return f"transform({_dealt(entries, levels)}, block -> {cells})"
+    each = f"transform({_bits(cells)}, bit -> {_let(own, 'own', sums)})"
+    return f"transform({_dealt(entries, levels)}, block -> {each})"
 
 
 def _levels(expected: str, load: int) -> str:
@@ -149,23 +163,23 @@ def _subtracted(one: str, two: str) -> str:
     return f"zip_with({one}, {two}, (p, q) -> {_added('p', 'q', '-')})"
 
 
-def _peeled(difference: str, seed: str) -> str:
+def _peeled(difference: str, seed: str, cells: int) -> str:
     """struct<found, done>: the differing digests (x, and n = 1 or -1 for their
     side) of a subtracted sketch, and whether every cell came out empty."""
     pure = "array_distinct(filter(s.cells, c -> abs(c.n) = 1 AND c.m = hash(c.x)))"
     known = (
         "transform(pure, p -> named_struct('n', p.n, 'x', p.x, 'm', p.m, 'hits',"
-        f" {_let(f'xxhash64(p.x, {seed})', 'h', _hits('h'))}))"
+        f" {_let(f'xxhash64(p.x, {seed})', 'h', _hits('h', cells))}))"
     )
     taken = _cell("u.n - p.n", "u.x ^ p.x", "u.m ^ p.m")
-    cells = (
-        f"zip_with(s.cells, {_BITS}, (c, bit) ->"
+    left = (
+        f"zip_with(s.cells, {_bits(cells)}, (c, bit) ->"
         f" aggregate(known, c, (u, p) -> if((p.hits & bit) <> 0L, {taken}, u)))"
     )
     more = "concat(s.found, transform(pure, p -> named_struct('x', p.x, 'n', p.n)))"
     state = "named_struct('cells', {}, 'found', {}, 'on', {})".format
     step = _let(pure, "pure", f"if(size(pure) = 0, {state('s.cells', 's.found', 'false')},"
-                + _let(known, "known", state(cells, more, "true")) + ")")
+                + _let(known, "known", state(left, more, "true")) + ")")
     nothing = "cast(array() as array<struct<x: bigint, n: int>>)"
     block = (
         f"aggregate(sequence(1, {STEPS}), {state('block', nothing, 'true')},"
@@ -173,8 +187,13 @@ def _peeled(difference: str, seed: str) -> str:
         " s -> named_struct('found', s.found, 'done',"
         " forall(s.cells, c -> c.n = 0 AND c.x = 0 AND c.m = 0)))"
     )
+    return _joined(f"transform({difference}, block -> {block})")
+
+
+def _joined(blocks: str) -> str:
+    """What the blocks gave, as one struct<found, done>."""
     return _let(
-        f"transform({difference}, block -> {block})", "blocks",
+        blocks, "blocks",
         "named_struct('found', flatten(transform(blocks, b -> b.found)),"
         " 'done', forall(blocks, b -> b.done))",
     )
@@ -182,7 +201,9 @@ def _peeled(difference: str, seed: str) -> str:
 
 def sketch(digests: str) -> Column:
     """The sketch of the digests of the column of that name, as its fingerprint holds it."""
-    return F.expr(_cells(_entries(digests, "0"), _levels(f"size({digests})", LOAD)))
+    return F.expr(
+        _cells(_entries(_signed(digests, 1), "0", CELLS), _levels(f"size({digests})", LOAD), CELLS)
+    )
 
 
 def fingerprint(sketched: str) -> Column:
@@ -205,18 +226,20 @@ def recovered(one: tuple[str, str], two: tuple[str, str]) -> Column:
     squares = "aggregate(flatten(small), 0L, (a, c) -> a + c.n * c.n)"
     hopeless = f"{squares} > {MOST_DIFFERING * ROWS} * size(small)"
     failed = "named_struct('found', cast(array() as array<struct<x: bigint, n: int>>), 'done', false)"
-    first = _let(small, "small", f"if({hopeless}, {failed}, {_peeled('small', '0')})")
+    first = _let(small, "small", f"if({hopeless}, {failed}, {_peeled('small', '0', CELLS)})")
     both = f"(size({digests1}) + size({digests2}))"
-    # one text's digests put in, the other's taken out
-    signed = f"concat({_entries(digests1, 'attempt')}, {_entries(digests2, 'attempt', -1)})"
-    larger = _let(
-        f"{_levels(both, RETRY_LOAD)} + attempt - 1", "levels",
-        _peeled(_cells(signed, "levels"), "attempt"),
+    # one text's digests put in, the other's taken out, in blocks of few
+    signed = f"concat({_signed(digests1, 1)}, {_signed(digests2, -1)})"
+    parts = _dealt(_hashed(signed, "0"), _levels(both, RETRY_LOAD))
+    again = _peeled(
+        _cells(_entries("part", "attempt", RETRY_CELLS), "(attempt - 1)", RETRY_CELLS),
+        "attempt", RETRY_CELLS,
     )
-    return F.expr(
-        f"aggregate(sequence(1, {ATTEMPTS}), {first},"
-        f" (got, attempt) -> if(got.done, got, {larger}))"
+    larger = _joined(
+        f"transform({parts}, part -> aggregate(sequence(1, {ATTEMPTS}), {failed},"
+        f" (got, attempt) -> if(got.done, got, {again})))"
     )
+    return F.expr(_let(first, "tried", f"if(tried.done, tried, {larger})"))
 
 
 # ---- documents and their successors ----------------------------------------
