@@ -61,6 +61,51 @@ def test_ids_that_are_slugs_of_titles(around):
     )
 
 
+def test_names_that_only_begin_like_side_matter():
+    html = (
+        "<article><div class='related-work'><p>Others did this before.</p></div>"
+        "<div class='search-algorithm'>It looks for the best.</div>"
+        "<ul class='legal-basis'><li>Section one.<li>Section two.</ul>"
+        "<div class='share-buttons'>Share</div><div class='post-comments'><p>Never!</p></div></article>"
+    )
+    assert main_text(html) == "\n\n".join(
+        ["Others did this before.", "It looks for the best.", "Section one.", "Section two."]
+    )
+
+
+def _plain_pages():
+    """Pages without class names or article elements, and their main text."""
+    rng = np.random.default_rng(11)
+
+    def words(n):
+        return " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n))
+
+    for page in range(40):
+        blocks = [words(int(rng.integers(25, 60))) for _ in range(int(rng.integers(4, 12)))]
+        links = "".join(f"<li><a href='/{i}'>{words(2)}</a></li>" for i in range(8))
+        inside = f"<ul>{links}</ul>" if page % 2 else f"<p class='advert'>{words(12)}</p>"
+        body = [f"<p>{b}</p>" for b in blocks]
+        at = int(rng.integers(1, len(body)))
+        short = words(2)
+        yield (
+            f"<body><div><ul>{links}</ul></div><div><h1>{short}</h1>{''.join(body[:at])}{inside}"
+            f"{''.join(body[at:])}</div><div>{''.join(f'<a>{words(1)}</a><br>' for _ in range(6))}</div></body>",
+            "\n\n".join([short, *blocks]),
+        )
+
+
+def test_ratios_decide_on_pages_without_article_elements(monkeypatch):
+    pages = list(_plain_pages())
+    assert [main_text(html) for html, _ in pages] == [text for _, text in pages]
+    monkeypatch.setattr(html_extract, "cluster_threshold", lambda values: -1.0)
+    assert all(main_text(html) != text for html, text in pages)
+
+
+def test_page_of_side_matter_only():
+    assert main_text("<div class='ad'>Buy!</div>") == ""
+    assert main_text("<p>Text <span class='ad'>Buy!</span>goes on</p>") == "Text goes on"
+
+
 def test_smoothing_and_threshold():
     flat = html_extract.smoothed(np.full(7, 3.0))
     assert np.allclose(flat, 3.0)

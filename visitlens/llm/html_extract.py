@@ -1,16 +1,23 @@
 """Main text of web pages.
 
 The standard library's parser turns a page into events; the events into lines,
-one for each block of text. Parts that are never main text (menus, scripts,
-forms, adverts, comments of readers and the like, known by element, role or
-class) are passed over. Every line has a ratio of text to tags. The ratios are
-smoothed with a Gaussian and cut by a threshold between their two clusters, and
-the lines above it elect the container that holds most of the content. All lines
-of that container are the main text, the short ones too.
+one for each block of text. Elements that are never main text by what they are
+(menus, scripts, forms, asides, hidden parts) are passed over. Every line has a
+ratio of text to tags; the text of links counts as none. The ratios are smoothed
+with a Gaussian and cut by a threshold between their two clusters. The lines
+above it elect the container that holds most of the content.
+
+Inside that container the same threshold decides about regions in doubt: blocks
+whose class or id is wholly made of names such as "advert", "share-buttons" or
+"comments" ("related-work" is none), and lists that consist of links only. A
+named block is smoothed for itself, and its lines count as an eighth of their
+ratio, at most of the page's median; a list counts by its mean. All other lines
+of the container are the main text, the short ones too.
 
 Cases: a null or empty page, and one without text, gives an empty text. Unclosed
 elements end where HTML ends them; a tag cut off at the end of a page is ignored.
-Nothing is dropped for its length.
+Named inline elements are no lines and are passed over. Nothing is dropped for
+its length.
 """
 
 from __future__ import annotations
@@ -58,48 +65,64 @@ MARKED = frozenset(
 REMARKS = frozenset("comment comments reply replies respond disqus discussion responses".split())
 #: Elements whose ids inside an article are mostly slugs of titles.
 TITLED = frozenset("h1 h2 h3 h4 h5 h6 p section span a b i em strong".split())
-MODIFIERS = frozenset("has no with without is not".split())
+#: Words that a name may hold beside one of the above and still mean the same.
+GENERIC = frozenset(
+    "area bar block box button buttons bottom container feed footer form global group icons inner "
+    "item items left link links list main outer page panel posts primary right row section site "
+    "slot stories top unit wrap wrapper".split()
+)
+#: Words that may stand beside those of ``REMARKS`` too.
+OWNERS = frozenset("article blog post reader readers user users".split())
+LINKED_LISTS = frozenset("ul ol dl table".split())
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 _CUT_OFF = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 _NAME = re.compile(r"[a-z]+")
 
 SMOOTH_RADIUS, SMOOTH_SIGMA = 2, 1.0
+#: What a named line's ratio is divided by.
+LOWERED = 8
 
 
 @dataclass
 class Line:
-    """A block of text: its words, the tags around them, its containers."""
+    """A block of text: its words, the tags around them, its container, the named
+    element and the outermost list around it (0: none), and how much is linked."""
 
     text: str
     tags: int
     container: int
+    named: int = 0
+    listed: int = 0
+    linked: int = 0
 
 
-def _passed_over(tag: str, attrs: dict[str, str | None], in_article: bool, in_text: bool) -> bool:
-    """True for an element that holds no main text."""
+def _passed_over(tag: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+    """True for an element that is no main text by what it is."""
     if tag in PASSED or (tag == "header" and not in_article):
         return True
+    if tag in ("html", "body", "main", "article"):
+        return False
+    hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"
+    role = (attrs.get("role") or "").lower()
+    return bool(hidden or role in ROLES or _HIDDEN.search(attrs.get("style") or ""))
+
+
+def _named(tag: str, attrs: dict[str, str | None], in_text: bool) -> bool:
+    """True for an element with a class or id wholly made of names of side matter."""
     if tag in ("html", "body", "main"):
         return False
-    words: set[str] = set()
     own = attrs.get("id") or ""
-    if in_text and tag in TITLED:  # "responses-to-critics" is a title, "comments" is none
+    if in_text and tag in TITLED:  # ids of titles are slugs: "legal" is the title of a part
         parts = _NAME.findall(_HUMP.sub(" ", own).lower())
         own = own if tag == "section" and REMARKS.issuperset(parts) else ""
     for name in f"{attrs.get('class') or ''} {own}".split():
-        parts = _NAME.findall(_HUMP.sub(" ", name).lower())
-        if parts and parts[0] not in MODIFIERS:  # "has-sidebar" is no sidebar
-            words.update(parts)
-    if words & REMARKS:
-        return True
-    if tag == "article":
-        return False
-    role = (attrs.get("role") or "").lower()
-    hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"
-    return bool(
-        hidden or role in ROLES or words & MARKED or _HIDDEN.search(attrs.get("style") or "")
-    )
+        parts = set(_NAME.findall(_HUMP.sub(" ", name).lower()))
+        if parts & REMARKS and parts <= REMARKS | MARKED | GENERIC | OWNERS:
+            return True
+        if tag != "article" and parts & MARKED and parts <= MARKED | GENERIC:
+            return True
+    return False
 
 
 class Lines(HTMLParser):
@@ -114,15 +137,27 @@ class Lines(HTMLParser):
         self._counts: Counter[str] = Counter()
         self._container = 0
         self._passing: int | None = None  # depth of the element that is passed over
+        self._regions: dict[str, tuple[int, int]] = {}  # depth and number of named and listed
+        self._started = 0
         self._text: list[str] = []
         self._tags = 0
+        self._linked = 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.lines.append(Line(text, self._tags, self._container))
+            named, listed = (self._regions.get(r, (0, 0))[1] for r in ("named", "listed"))
+            self.lines.append(
+                Line(text, self._tags, self._container, named, listed, self._linked)
+            )
             self._tags = 0
-        self._text = []
+        self._text, self._linked = [], 0
+
+    def _start_region(self, kind: str) -> None:
+        """The element opened last starts a region unless it lies in one."""
+        if kind not in self._regions:
+            self._started += 1
+            self._regions[kind] = (len(self._open) - 1, self._started)
 
     def _close_to(self, depth: int) -> None:
         """End all elements from ``depth`` of the stack on."""
@@ -135,6 +170,7 @@ class Lines(HTMLParser):
             del self._open[depth:]
         if self._passing is not None and depth <= self._passing:
             self._passing = None
+        self._regions = {k: r for k, r in self._regions.items() if r[0] < depth}
 
     def _end_implied(self, tag: str) -> None:
         """A block ends an open paragraph, an item the item before it."""
@@ -164,9 +200,16 @@ class Lines(HTMLParser):
         if self._passing is None:
             in_article = self._counts["article"] > 0
             in_text = in_article or self._counts["main"] > 0
-            if _passed_over(tag, dict(attrs), in_article, in_text):
+            given = dict(attrs)
+            named = _named(tag, given, in_text)
+            if _passed_over(tag, given, in_article) or (named and tag not in BLOCKS):
                 self._passing = len(self._open) - 1
-            elif tag in CONTAINERS:
+                return
+            if named:
+                self._start_region("named")
+            elif tag in LINKED_LISTS:
+                self._start_region("listed")
+            if tag in CONTAINERS:
                 self.parents.append(self._container)
                 self._container = len(self.parents) - 1
                 if tag in ("article", "main"):
@@ -185,6 +228,8 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self._passing is None:
             self._text.append(data)
+            if self._counts["a"]:
+                self._linked += len("".join(data.split()))
 
     def finish(self) -> None:
         self.close()
@@ -215,15 +260,47 @@ def cluster_threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _unlinked(line: Line) -> float:
+    """The share of a line's characters that is in no link."""
+    return max(0.0, 1 - line.linked / len("".join(line.text.split())))
+
+
+def line_ratios(lines: list[Line]) -> np.ndarray:
+    """Smoothed ratio of text to tags of each line; see the module's text."""
+    plain = np.array([len(x.text) * _unlinked(x) for x in lines], dtype=np.float64)
+    ratios = plain / np.maximum(1, [x.tags for x in lines])
+    named = np.array([x.named for x in lines])
+    if named.any():
+        usual = float(np.median(ratios[named == 0])) if (named == 0).any() else np.inf
+        ratios = np.where(named > 0, np.minimum(ratios, usual) / LOWERED, ratios)
+    for region in np.unique(named):
+        ratios[named == region] = smoothed(ratios[named == region])
+    return ratios
+
+
+def _side_matter(lines: list[Line], even: np.ndarray, threshold: float) -> np.ndarray:
+    """True for the lines of regions in doubt that the threshold leaves out."""
+    named = np.array([x.named for x in lines])
+    out = (named > 0) & (even <= threshold)
+    listed = np.array([x.listed for x in lines])
+    linked = np.array([_unlinked(x) == 0 for x in lines])
+    for region in np.unique(listed[listed > 0]):
+        at = listed == region
+        if linked[at].all() and even[at].mean() < threshold:
+            out |= at
+    return out
+
+
 def content_lines(page: Lines) -> list[Line]:
-    """The lines of the container that the content elects."""
+    """The lines of the container that the content elects, without side matter."""
     lines = page.lines
     if not lines:
         return []
     sizes = np.array([len(line.text) for line in lines], dtype=np.float64)
-    ratios = sizes / np.maximum(1, [line.tags for line in lines])
-    even = smoothed(ratios)
-    votes = np.where(even >= cluster_threshold(even), sizes, 0.0)
+    even = line_ratios(lines)
+    threshold = cluster_threshold(even)
+    out = _side_matter(lines, even, threshold)
+    votes = np.where((even >= threshold) & ~out, sizes, 0.0)
     own, whole = np.zeros(len(page.parents)), np.zeros(len(page.parents))
     for line, vote in zip(lines, votes, strict=True):
         own[line.container] += vote
@@ -242,7 +319,7 @@ def content_lines(page: Lines) -> list[Line]:
     for container in range(len(page.parents)):
         parent = page.parents[container]
         keep[container] = container == above or (parent >= 0 and keep[parent])
-    return [line for line in lines if keep[line.container]]
+    return [x for x, side in zip(lines, out, strict=True) if keep[x.container] and not side]
 
 
 def _inside(page: Lines, container: int) -> bool:
