@@ -70,6 +70,43 @@ def test_labels_of_held_out_rows_are_not_read(spark, documents):
     assert toxicity.learn(docs, changed) == model
 
 
+@pytest.fixture(scope="module")
+def learned(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    return toxicity.Reader(toxicity.learn(docs, labels))
+
+
+@pytest.mark.parametrize("insult", ["idiot", "moron"])
+def test_clauses_of_the_learned_model(learned, insult):
+    scores = [
+        learned.score(f"{start} {insult} here today.")
+        for start in ("now you are an", "we saw the big", "he said it was an", "it was not an")
+    ]
+    assert scores == sorted(scores, reverse=True) and len(set(scores)) == 4  # aimed, plain, told, denied
+    assert scores[1] >= toxicity.THRESHOLD > scores[3]
+    assert learned.score("The pills kill germs.") < toxicity.THRESHOLD
+
+
+@pytest.mark.parametrize("text", ["The distance is not great.", "We took the train home today"])
+def test_one_word_marks_no_others_that_begin_alike(learned, text):
+    assert learned.sums(text)[0] == [0.0] * len(toxicity.KINDS)
+
+
+def test_stems_with_many_endings_are_learned(spark, documents):
+    ends = "abcdefghijklmnop"
+    docs = documents(
+        *((i, f"zworp{ends[i % 16]} man don't e\u0301te\u0301" if i % 3 == 0 else "good distant man") for i in range(600)),
+        *((600 + i, "discord man" if i % 3 == 0 else "good man") for i in range(600)),
+    )
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1200)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    reader = toxicity.Reader(model)
+    assert reader.read("zworpzz")[0] == toxicity.INSULT
+    assert reader.read("discord")[0] == toxicity.INSULT and reader.read("discover")[0] == toxicity.OTHER
+    assert "e\u0301te\u0301" in model.lexicon  # learned as it is read
+    assert reader.sums("e\u0301te\u0301")[0][0] > 0
+
+
 def test_cases(spark, documents):
     docs = documents((None, "you idiot"), (1, None), (1, ""), (2, "idiot " * 20_000), (2, "ok"))
     docs = docs.withColumn("score", F.lit("clash"))

@@ -60,7 +60,9 @@ def compose(first: Transducer, second: Transducer, alphabet: list[str]) -> Trans
 
 
 class Scorer:
-    """Weights of clauses under a deterministic transducer, as a table."""
+    """Weights of clauses under a deterministic transducer, as a table.
+
+    ``scored`` lists the emitted symbols that count, each apart from the others."""
 
     def __init__(self, machine: Transducer, scored: str, alphabet: list[str]):
         self._table = []
@@ -68,15 +70,15 @@ class Scorer:
             row = {}
             for symbol in alphabet:
                 ((emitted, weight, to),) = machine.step(state, symbol)
-                row[symbol] = (weight if emitted == scored else 0.0, to)
+                row[symbol] = (scored.find(emitted), weight, to)
             self._table.append(row)
 
-    def weight(self, clause: list[tuple[str, float]]) -> float:
-        """Sum over the emitted scored symbols of arc weight times strength.
+    def add(self, clause: list[tuple[str, float]], sums: list[float]) -> None:
+        """Add arc weight times strength to the sum of each emitted scored symbol.
 
         Each item of the clause is a symbol and its strength."""
-        state, total = 0, 0.0
+        state = 0
         for symbol, strength in clause:
-            weight, state = self._table[state][symbol]
-            total += weight * strength
-        return total
+            place, weight, state = self._table[state][symbol]
+            if place >= 0:
+                sums[place] += weight * strength
