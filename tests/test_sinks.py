@@ -4,7 +4,7 @@ import pytest
 from frame_rows import tuples
 
 from visitlens import schemas
-from visitlens.session import materialize, shared_dir
+from visitlens.session import Intermediates, materialize, shared_dir
 from visitlens.sinks import merge, tables
 from visitlens.sinks.batches import BatchTable
 from visitlens.sources import tables as sources
@@ -142,3 +142,17 @@ def test_materialize_reads_back_from_the_named_folder(spark, kv):
     assert tuples(stored) == [("a", 1, 2)]
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert stored.inputFiles()[0].startswith(f"file://{shared_dir(spark)}/x-")
+
+
+def test_intermediates_go_with_their_folder(spark, kv, tmp_path):
+    other = materialize(kv(("b", 1, 2)), "other", str(tmp_path))
+    with Intermediates(spark, str(tmp_path)) as work:
+        stored = materialize(kv(("a", 1, 2)), "x", work.path)
+        assert stored.count() == 1 and len(list(tmp_path.iterdir())) == 2
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["other"]
+    assert other.count() == 1
+    with pytest.raises(ValueError, match="on the way"), Intermediates(spark, str(tmp_path)) as work:
+        materialize(kv(("a", 1, 2)), "x", work.path)
+        raise ValueError("on the way")
+    assert len(list(tmp_path.iterdir())) == 1
+    Intermediates(spark, str(tmp_path)).remove()

@@ -58,3 +58,28 @@ def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Intermediates:
+    """A folder of its own for the tables a job writes on its way, removed at the end.
+
+    Give ``path`` to a job as its ``folder`` and write the job's results inside the
+    ``with`` block: they read these tables until then. A job that fails leaves no
+    table behind either; a driver that is lost leaves the one folder.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self._spark = spark
+        self.path = f"{folder or shared_dir(spark)}/run-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Intermediates:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.remove()
+
+    def remove(self) -> None:
+        """Remove the folder; nothing happens if it was never written."""
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = path.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf())
+        files.delete(path, True)
