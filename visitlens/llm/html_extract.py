@@ -11,7 +11,7 @@ Inside that container the same threshold decides about regions in doubt: blocks
 whose class or id is wholly made of names such as "advert", "share-buttons" or
 "comments" ("related-work" is none), and lists that consist of links only. A
 named block is smoothed for itself, and its lines count as an eighth of their
-ratio, at most of the page's median; a list counts by its mean. All other lines
+ratio, at most of the page's median, so that few stay; a list counts by its mean. All other lines
 of the container are the main text, the short ones too.
 
 Cases: a null or empty page, and one without text, gives an empty text. Unclosed

@@ -11,9 +11,9 @@ strength is multiplied by the weights of the arcs that its clause takes.
 Insults are learned: words that labelled toxic documents hold significantly more
 often than other documents, with the log ratio of the two rates as their
 strength, and beginnings of several such words, as stems with many endings are. The score is a
-logistic function of the clauses' weights alone: their sums, and a correction of
-the arcs' weights by kind that only much evidence moves, all fitted on the same
-rows. Without labels of both kinds the small lists below and fixed coefficients
+logistic function of the clauses' weights, divided by the log of the text's length:
+their sum, and a correction of the arcs' weights by kind that only much evidence
+moves, all fitted on the same rows. Without labels of both kinds the small lists below and fixed coefficients
 remain.
 
 Cases: a null or empty text has no clause and a low score, as has every text
