@@ -148,3 +148,25 @@ def test_texts_are_shuffled_once(spark, sf_docs, monkeypatch):
     monkeypatch.setattr(fingerprint, "SLICE_DOCUMENTS", 50)
     plan = fingerprint.fingerprints(sf_docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == plan.count("Exchange hash") == 1
+
+
+def test_values_are_bound_without_copies(spark, sf_docs):
+    """A transform of one value copies what it returns, again at every depth, and an
+    aggregate its state in every turn: together more time than the budget leaves."""
+    plan = fingerprint.fingerprints(sf_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "transform(array(" not in plan
+    assert fingerprint._repeated("0", "s", "k", "s < 3", "s + 1", 2, 20).count("aggregate(") == 2
+
+
+@pytest.mark.parametrize(("few", "most", "reached"), [(2, 20, 7), (7, 20, 7), (2, 5, 5), (1, 3, 3)])
+def test_steps_go_on_while_needed(spark, few, most, reached):
+    steps = F.expr(fingerprint._repeated("0", "s", "k", "s < 7", "s + 1", few, most))
+    assert spark.range(1).select(steps).first()[0] == reached
+
+
+def test_line_ends_and_marks_in_odd_white_space(documents):
+    items = ["a", ". ", "\n", " ", "\t\n ", "b,", "。", " \n\n", "c! \t", "！ ", ";\n", "\r\n", "d", ": : ", "、"]
+    texts = ["".join(items[(i * k + i // 3) % len(items)] for i in range(400)) for k in (1, 2, 4, 7, 11)]
+    plain = "".join(c for c in texts[0] if ord(c) < 128) * 2
+    rows = list(enumerate([*texts, plain], 1))
+    assert told(fingerprint.fingerprints(documents(*rows)).collect()) == by_force(rows)

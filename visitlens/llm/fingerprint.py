@@ -29,6 +29,8 @@ ids by the hash of their texts. A single document is its own next one.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,10 +41,10 @@ ROWS, CELLS = 5, 8
 LOAD = 32
 #: Differing digests of a block that are tried to peel.
 MOST_DIFFERING = 22
-#: Digests and cells a row of a block of the larger sketches.
-RETRY_LOAD, RETRY_CELLS = 10, 4
-#: Peeling steps of a block, and larger sketches that are tried (one in twenty fails).
-STEPS, ATTEMPTS = 20, 24
+#: Digests, rows and cells a row of a block of the larger sketches.
+RETRY_LOAD, RETRY_ROWS, RETRY_CELLS = 8, 4, 4
+#: Peeling steps of a block, those most blocks take, and larger sketches that are tried.
+STEPS, FEW_STEPS, ATTEMPTS = 20, 3, 24
 #: Characters of a text whose words are its pieces, and of a piece that stays whole.
 SHORT_TEXT, WHOLE_PIECE = 200, 240
 #: One word (character) in so many ends a piece.
@@ -50,7 +52,9 @@ WORDS_A_PIECE, CHARACTERS_A_PIECE = 8, 24
 #: Documents of a slice of the order, and the greatest number of slices.
 SLICE_DOCUMENTS, MOST_SLICES = 500, 65_536
 
-_PARAGRAPH = r"\s*\n\s*|(?<=[.!?,;:])\s+|(?<=[。！？；，、：])\s*"
+# white space that has a line end or follows a mark, told at its first character
+_PARAGRAPH = r"\s(?:(?<=\n)|(?<=[.!?,;:]\s)|[^\S\n]*+\n)\s*+"
+_WIDE_PARAGRAPH = _PARAGRAPH + r"|(?<=[。！？；，、：])\s*+"
 _BLOCK_BITS = 16  # bits of a digest's hash below this one choose its cells
 
 
@@ -65,8 +69,11 @@ def _cut(piece: str, between: str, share: int) -> str:
 
 def paragraphs(text: str) -> Column:
     """Distinct digests of the paragraphs of the column named ``text``."""
-    marked = f"split(trim({text}), r'{_PARAGRAPH}')"
-    parts = marked
+    # texts of single bytes have no full-width marks to look for
+    parts = (
+        f"if(octet_length({text}) = char_length({text}), split(trim({text}), r'{_PARAGRAPH}'),"
+        f" split(trim({text}), r'{_WIDE_PARAGRAPH}'))"
+    )
     for between, share in ((" ", WORDS_A_PIECE), ("", CHARACTERS_A_PIECE)):
         whole = f"char_length(p) <= {WHOLE_PIECE}"
         parts = f"flatten(transform({parts}, p -> if({whole}, array(p), {_cut('p', between, share)})))"
@@ -82,38 +89,66 @@ def paragraphs(text: str) -> Column:
 
 
 def _let(value: str, name: str, body: str) -> str:
-    """``body`` with ``name`` for ``value``, which is evaluated once."""
-    return f"transform(array({value}), {name} -> {body})[0]"
+    """``body`` with ``name`` for ``value``, which is evaluated once.
+
+    An aggregate over nothing copies neither, as a transform would at every depth.
+    """
+    return f"aggregate(cast(array() as array<int>), {value}, (v, i) -> v, {name} -> {body})"
+
+
+def _repeated(start: str, s: str, count: str, on: str, step: str, few: int, most: int) -> str:
+    """``step`` on ``s`` up to ``most`` times from ``start``, while ``on``.
+
+    Every turn of an aggregate copies its state: those after the first few are
+    only gone through where they are needed.
+    """
+    turns = f"array(sequence(1, {few}), sequence({few + 1}, {most}))"
+    return (
+        f"aggregate({turns}, {start}, ({s}, some) -> if({on},"
+        f" aggregate(some, {s}, ({s}, {count}) -> if({on}, {step}, {s})), {s}))"
+    )
 
 
 def _cell(n: str, x: str, m: str) -> str:
     return f"named_struct('n', {n}, 'x', {x}, 'm', {m})"
 
 
-def _hits(hashed: str, cells: int) -> str:
-    """Bit set of the cells of its block that a digest is in, one in each row."""
-    width = cells.bit_length() - 1
-    return " | ".join(
-        f"shiftleft(1L, cast({cells * r} + (shiftright({hashed}, {width * r}) & {cells - 1}) as int))"
-        for r in range(ROWS)
-    )
+def _longs(values: Iterable[int]) -> str:
+    return f"array({', '.join(f'{v}L' for v in values)})"
+
 
+def _hits(hashed: str, rows: int, cells: int) -> str:
+    """Bit set of the cells of its block that a digest is in, one in each row.
 
-def _bits(cells: int) -> str:
+    Two rows at a time are looked up by the bits of the hash that choose their cells.
+    """
+    width = cells.bit_length() - 1
+    found = []
+    for row in range(0, rows, 2):
+        some = range(row, min(row + 2, rows))
+        sets = [
+            sum(1 << (cells * r + (at >> width * (r - row) & cells - 1)) for r in some)
+            for at in range(cells ** len(some))
+        ]
+        at = f"shiftright({hashed}, {width * row})" if row else hashed
+        found.append(f"{_longs(sets)}[cast({at} & {len(sets) - 1}L as int)]")
+    return " | ".join(found)
+
+
+def _bits(rows: int, cells: int) -> str:
     """One bit for each cell of a block."""
-    return f"array({', '.join(f'{1 << i}L' for i in range(ROWS * cells))})"
+    return _longs(1 << i for i in range(rows * cells))
 
 
 def _dealt(entries: str, levels: str) -> str:
     """Entries dealt to 2**levels blocks, one bit of their hash after the other."""
 
-    def side(bit: int) -> str:
-        return f"filter(g, d -> getbit(d.h, {_BLOCK_BITS} + l) = {bit})"
-
-    halved = f"flatten(transform(groups, g -> array({side(0)}, {side(1)})))"
+    one = "cast(d.h & bit as boolean)"
+    halved = f"flatten(transform(groups, g -> array(filter(g, d -> NOT {one}), filter(g, d -> {one}))))"
+    bits = _longs(1 << i for i in range(_BLOCK_BITS, 63))
     return (
         f"if({levels} <= 0, array({entries}),"
-        f" aggregate(sequence(0, {levels} - 1), array({entries}), (groups, l) -> {halved}))"
+        f" aggregate(slice({bits}, 1, {levels}), array({entries}), (groups, bit) -> {halved}))"
     )
 
 
@@ -125,20 +160,18 @@ def _hashed(entries: str, seed: str) -> str:
     return f"transform({entries}, d -> named_struct('n', d.n, 'x', d.x, 'h', xxhash64(d.x, {seed})))"
 
 
-def _entries(signed: str, seed: str, cells: int) -> str:
+def _entries(signed: str, seed: str, rows: int, cells: int) -> str:
     """Signed digests with hash, check hash and cells."""
-    return (
-        f"transform({_hashed(signed, seed)}, d -> named_struct('n', d.n, 'x', d.x, 'h', d.h,"
-        f" 'm', hash(d.x), 'hits', {_hits('d.h', cells)}))"
-    )
+    entry = f"named_struct('n', d.n, 'x', d.x, 'h', h, 'm', hash(d.x), 'hits', {_hits('h', rows, cells)})"
+    return f"transform({signed}, d -> {_let(f'xxhash64(d.x, {seed})', 'h', entry)})"
 
 
-def _cells(entries: str, levels: str, cells: int) -> str:
+def _cells(entries: str, levels: str, rows: int, cells: int) -> str:
     """array<array<cell>>: the cells of each block."""
     sums = _cell(*(f"aggregate(own, {zero}, (a, d) -> a {add} d.{name})"
                    for name, zero, add in (("n", "0", "+"), ("x", "0L", "^"), ("m", "0", "^"))))
-    own = "filter(block, d -> (d.hits & bit) <> 0L)"
-    each = f"transform({_bits(cells)}, bit -> {_let(own, 'own', sums)})"
+    own = f"filter(block, d -> cast(d.hits & bit as boolean))"
+    each = f"transform({_bits(rows, cells)}, bit -> {_let(own, 'own', sums)})"
     return f"transform({_dealt(entries, levels)}, block -> {each})"
 
 
@@ -163,30 +196,45 @@ def _subtracted(one: str, two: str) -> str:
     return f"zip_with({one}, {two}, (p, q) -> {_added('p', 'q', '-')})"
 
 
-def _peeled(difference: str, seed: str, cells: int) -> str:
+_EMPTY = "c.n = 0 AND c.x = 0 AND c.m = 0"
+
+
+def _placed(block: str, rows: int, cells: int) -> str:
+    """The cells of a block that are not empty, each with its bit."""
+    placed = "named_struct('bit', bit, 'n', c.n, 'x', c.x, 'm', c.m)"
+    return f"filter(zip_with({block}, {_bits(rows, cells)}, (c, bit) -> {placed}), c -> NOT ({_EMPTY}))"
+
+
+def _peeled(difference: str, seed: str, rows: int, cells: int) -> str:
     """struct<found, done>: the differing digests (x, and n = 1 or -1 for their
-    side) of a subtracted sketch, and whether every cell came out empty."""
-    pure = "array_distinct(filter(s.cells, c -> abs(c.n) = 1 AND c.m = hash(c.x)))"
+    side) of a subtracted sketch, and whether every cell came out empty.
+
+    Only cells that are not empty are gone through. One with a single digest is
+    empty when that is taken out; the others lose those of its digests they hold.
+    """
+    single = "abs(c.n) = 1 AND c.m = hash(c.x)"
+    pure = f"array_distinct(transform(filter(s.cells, c -> {single}), c -> {_cell('c.n', 'c.x', 'c.m')}))"
     known = (
         "transform(pure, p -> named_struct('n', p.n, 'x', p.x, 'm', p.m, 'hits',"
-        f" {_let(f'xxhash64(p.x, {seed})', 'h', _hits('h', cells))}))"
+        f" {_let(f'xxhash64(p.x, {seed})', 'h', _hits('h', rows, cells))}))"
     )
-    taken = _cell("u.n - p.n", "u.x ^ p.x", "u.m ^ p.m")
+    taken = ", ".join(f"'{name}', aggregate(own, c.{name}, (u, p) -> u {take} p.{name})"
+                      for name, take in (("n", "-"), ("x", "^"), ("m", "^")))
+    own = _let("filter(known, p -> cast(p.hits & c.bit as boolean))", "own",
+               f"if(size(own) = 0, c, named_struct('bit', c.bit, {taken}))")
     left = (
-        f"zip_with(s.cells, {_bits(cells)}, (c, bit) ->"
-        f" aggregate(known, c, (u, p) -> if((p.hits & bit) <> 0L, {taken}, u)))"
+        f"filter(transform(filter(s.cells, c -> NOT ({single})), c -> {own}), c -> NOT ({_EMPTY}))"
     )
     more = "concat(s.found, transform(pure, p -> named_struct('x', p.x, 'n', p.n)))"
     state = "named_struct('cells', {}, 'found', {}, 'on', {})".format
-    step = _let(pure, "pure", f"if(size(pure) = 0, {state('s.cells', 's.found', 'false')},"
-                + _let(known, "known", state(left, more, "true")) + ")")
-    nothing = "cast(array() as array<struct<x: bigint, n: int>>)"
-    block = (
-        f"aggregate(sequence(1, {STEPS}), {state('block', nothing, 'true')},"
-        f" (s, k) -> if(s.on, {step}, s),"
-        " s -> named_struct('found', s.found, 'done',"
-        " forall(s.cells, c -> c.n = 0 AND c.x = 0 AND c.m = 0)))"
+    step = _let(
+        pure, "pure", f"if(size(pure) = 0, {state('s.cells', 's.found', 'false')}, "
+        + _let(known, "known", _let(left, "left", state("left", more, "size(left) > 0"))) + ")",
     )
+    nothing = "cast(array() as array<struct<x: bigint, n: int>>)"
+    start = _let(_placed("block", rows, cells), "start", state("start", nothing, "size(start) > 0"))
+    steps = _repeated(start, "s", "k", "s.on", step, FEW_STEPS, STEPS)
+    block = _let(steps, "s", "named_struct('found', s.found, 'done', size(s.cells) = 0)")
     return _joined(f"transform({difference}, block -> {block})")
 
 
@@ -202,7 +250,8 @@ def _joined(blocks: str) -> str:
 def sketch(digests: str) -> Column:
     """The sketch of the digests of the column of that name, as its fingerprint holds it."""
     return F.expr(
-        _cells(_entries(_signed(digests, 1), "0", CELLS), _levels(f"size({digests})", LOAD), CELLS)
+        _cells(_entries(_signed(digests, 1), "0", ROWS, CELLS),
+               _levels(f"size({digests})", LOAD), ROWS, CELLS)
     )
 
 
@@ -226,19 +275,18 @@ def recovered(one: tuple[str, str], two: tuple[str, str]) -> Column:
     squares = "aggregate(flatten(small), 0L, (a, c) -> a + c.n * c.n)"
     hopeless = f"{squares} > {MOST_DIFFERING * ROWS} * size(small)"
     failed = "named_struct('found', cast(array() as array<struct<x: bigint, n: int>>), 'done', false)"
-    first = _let(small, "small", f"if({hopeless}, {failed}, {_peeled('small', '0', CELLS)})")
+    first = _let(small, "small", f"if({hopeless}, {failed}, {_peeled('small', '0', ROWS, CELLS)})")
     both = f"(size({digests1}) + size({digests2}))"
     # one text's digests put in, the other's taken out, in blocks of few
     signed = f"concat({_signed(digests1, 1)}, {_signed(digests2, -1)})"
     parts = _dealt(_hashed(signed, "0"), _levels(both, RETRY_LOAD))
     again = _peeled(
-        _cells(_entries("part", "attempt", RETRY_CELLS), "(attempt - 1)", RETRY_CELLS),
-        "attempt", RETRY_CELLS,
-    )
-    larger = _joined(
-        f"transform({parts}, part -> aggregate(sequence(1, {ATTEMPTS}), {failed},"
-        f" (got, attempt) -> if(got.done, got, {again})))"
+        _cells(_entries("part", "attempt", RETRY_ROWS, RETRY_CELLS), "(attempt - 1)",
+               RETRY_ROWS, RETRY_CELLS),
+        "attempt", RETRY_ROWS, RETRY_CELLS,
     )
+    tries = _repeated(failed, "got", "attempt", "NOT got.done", again, 1, ATTEMPTS)
+    larger = _joined(f"transform({parts}, part -> {tries})")
     return F.expr(_let(first, "tried", f"if(tried.done, tried, {larger})"))
 
 
